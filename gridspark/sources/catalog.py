@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.operators.query import query
-from gridspark.sources.registry import GROUPS
+from gridspark.sources.registry import GROUP_VIEWS, GROUPS
 
 Source = str | DataFrame | Callable[[], DataFrame]
 
@@ -32,6 +32,10 @@ class Catalog:
             for main, others in tables.items():
                 dataset = (ids or {}).get(main, f"{group}/{main}")
                 names.update({n: dataset for n in (main, *others)})
+        if groups is None:
+            known = self.names()
+            for group, members in GROUP_VIEWS.items():
+                self._names[group] = {n: known[n] for n in members}
 
     def names(self, group: str | None = None) -> dict[str, str]:
         """Name to dataset id, for one group or for all."""

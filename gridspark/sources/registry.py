@@ -116,6 +116,18 @@ GROUPS: dict[str, dict[str, tuple[str, ...]]] = {
     },
 }
 
+# Groups that only collect names of other groups.
+GROUP_VIEWS: dict[str, tuple[str, ...]] = {
+    "network": (
+        "132kv_monthly",
+        "132kv_half_hourly",
+        "33kv_monthly",
+        "statistics",
+        "network_statistics",
+        "demand_profiles",
+    ),
+}
+
 # Tables with a geometry, which a bounds query reads by default.
 GEO_TABLES: tuple[str, ...] = (
     "primary_areas",
