@@ -147,7 +147,7 @@ def _segments(path: Column) -> Column:
 
 def _crosses(seg: Column, edge) -> Column:
     x1, y1, x2, y2 = (F.lit(float(v)) for v in edge)
-    ax, ay, bx, by = seg["0"][0], seg["0"][1], seg["1"][0], seg["1"][1]
+    ax, ay, bx, by = seg["a"][0], seg["a"][1], seg["b"][0], seg["b"][1]
     return (_side(x1, y1, x2, y2, ax, ay) != _side(x1, y1, x2, y2, bx, by)) & (
         _side(ax, ay, bx, by, x1, y1) != _side(ax, ay, bx, by, x2, y2)
     )
@@ -172,7 +172,7 @@ def intersects_ring(geometry: Column, ring: Ring) -> Column:
     px, py = (F.lit(float(v)) for v in ring[0])
 
     def ray(seg):
-        ax, ay, bx, by = seg["0"][0], seg["0"][1], seg["1"][0], seg["1"][1]
+        ax, ay, bx, by = seg["a"][0], seg["a"][1], seg["b"][0], seg["b"][1]
         at = (py - ay) / F.nullif(by - ay, F.lit(0.0)) * (bx - ax) + ax
         return F.when(((ay > py) != (by > py)) & (px < at), 1).otherwise(0)
 

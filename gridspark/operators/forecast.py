@@ -102,12 +102,12 @@ def interval_coverage(df: DataFrame, actual: str = "actual", low: str = "p10", h
     return df.groupBy(*keys).agg(F.avg(inside.cast("double")).alias("coverage"))
 
 
-def horizon_frame(df: DataFrame, steps: int, keys: Sequence[str] = (), ts: str = "ts", value: str = "load_mw", target_rows: int | None = None) -> DataFrame:
+def horizon_frame(df: DataFrame, steps: int, keys: Sequence[str] = (), ts: str = "ts", value: str = "load_mw", tiebreak: str | None = None, target_rows: int | None = None) -> DataFrame:
     """Rows with ``target`` (the value ``steps - 1`` rows on), its time, and ``persist`` (48 rows before it)."""
     names = df.columns
     rows, keys = keyed(df, keys)
     shift = steps - 1
-    rows, order = halo_blocks(positions(rows, keys, ts, target_rows=target_rows), keys, max(48 - shift, 0), max(shift, shift - 48), target_rows)
+    rows, order = halo_blocks(positions(rows, keys, ts, tiebreak, target_rows=target_rows), keys, max(48 - shift, 0), max(shift, shift - 48), target_rows)
     return (
         rows.withColumns(
             {
@@ -121,11 +121,11 @@ def horizon_frame(df: DataFrame, steps: int, keys: Sequence[str] = (), ts: str =
     )
 
 
-def persistence_by_horizon(df: DataFrame, test_start: str, keys: Sequence[str] = (), ts: str = "ts", value: str = "load_mw", horizons: Mapping[str, int] = HORIZONS) -> DataFrame:
+def persistence_by_horizon(df: DataFrame, test_start: str, keys: Sequence[str] = (), ts: str = "ts", value: str = "load_mw", horizons: Mapping[str, int] = HORIZONS, tiebreak: str | None = None) -> DataFrame:
     """Persistence metrics per horizon over the test period."""
     out = None
     for label, steps in horizons.items():
-        rows = horizon_frame(df, steps, keys, ts, value).where(F.col(ts) >= F.lit(test_start).cast(df.schema[ts].dataType))
+        rows = horizon_frame(df, steps, keys, ts, value, tiebreak).where(F.col(ts) >= F.lit(test_start).cast(df.schema[ts].dataType))
         m = forecast_metrics(rows, "target", "persist", keys).withColumn("horizon", F.lit(label)).withColumn("model", F.lit("Persistence"))
         out = m if out is None else out.unionByName(m)
     return out
@@ -146,18 +146,20 @@ def evaluate_horizons(df: DataFrame, train_end: str, test_start: str, ts: str =
     """
     base = load_features(df, (), ts, value)
     lags = [c for c in base.columns if c.startswith("load_lag_") or "rolling" in c]
-    base = base.dropna(subset=[value, *lags])
-    out = None
+    # Fitting reads its rows many times over, so they are kept while a horizon is worked on.
+    base = base.dropna(subset=[value, *lags]).persist()
+    found = []
     for label, steps in horizons.items():
         rows = horizon_frame(base, steps, (), ts, value).dropna(subset=["target", "persist"])
-        rows = calendar_features(rows, "target_ts")
+        rows = calendar_features(rows, "target_ts").persist()
         train, test = time_split(rows, train_end, test_start, ts)
-        if train.limit(MIN_TRAIN).count() < MIN_TRAIN or test.limit(MIN_TEST).count() < MIN_TEST:
-            continue
-        features = [*CALENDAR, *lags]
-        model = make(features, "target", **model_args).fit(train)
-        scored = predict(model, test)
-        for name, column in (("Persistence", "persist"), (model_name, "forecast")):
-            m = forecast_metrics(scored, "target", column).withColumn("horizon", F.lit(label)).withColumn("model", F.lit(name))
-            out = m if out is None else out.unionByName(m)
-    return out
+        if train.limit(MIN_TRAIN).count() >= MIN_TRAIN and test.limit(MIN_TEST).count() >= MIN_TEST:
+            scored = predict(make([*CALENDAR, *lags], "target", **model_args).fit(train), test)
+            for name, column in (("Persistence", "persist"), (model_name, "forecast")):
+                m = forecast_metrics(scored, "target", column)
+                # One row of metrics.
+                found.append((label, name, *m.first()))
+        rows.unpersist()
+    base.unpersist()
+    schema = "horizon string, model string, mae double, rmse double, mape double, r2 double"
+    return df.sparkSession.createDataFrame(found, schema)

@@ -15,7 +15,7 @@ def topology_nodes(table_2a: DataFrame, table_2b: DataFrame) -> DataFrame:
     two = table_2a.select(*fields, "hv_substation")
     sides = [F.struct(*[F.col(f"{f}_{i}").alias(f) for f in fields]) for i in (1, 2)]
     three = table_2b.select("hv_substation", F.explode(F.array(*sides)).alias("s")).select("s.*", "hv_substation")
-    return two.unionByName(three).where((F.col("lv_node") != "") & F.col("voltage_lv").isNotNull())
+    return two.unionByName(three).where((F.col("lv_node").cast("string") != "") & F.col("voltage_lv").isNotNull())
 
 
 def node_table(transformers: DataFrame) -> DataFrame:

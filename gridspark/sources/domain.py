@@ -247,7 +247,7 @@ class Domain:
         if substation is not None:
             rows = rows.where(F.col("substation") == F.lit(substation))
         kinds = rows.select("substation", "licence_area", F.explode("sides").alias("s")).where(
-            (F.col("s.node") != "") & F.col("s.kv").isNotNull()
+            (F.col("s.node").cast("string") != "") & F.col("s.kv").isNotNull()
         )
         kind = transformer_type(parse_voltage("s.kv")).alias("transformer_type")
         return kinds.select("substation", "licence_area", kind).where(F.col("transformer_type").isNotNull()).distinct()
@@ -273,7 +273,7 @@ class Domain:
         for kind in ("grid", "primary"):
             monthly = self._timeseries(f"{kind}_monthly", "transformer_id", licence_area=licence_area, order_by=None)
             names = types.where(F.col("transformer_type") == kind).select(F.col("substation").alias("ltds_name"))
-            ids = monthly.join(names, "ltds_name", "left_semi").select("tx_id").where(F.col("tx_id") != "")
+            ids = monthly.join(names, "ltds_name", "left_semi").select("tx_id").where(F.col("tx_id").cast("string") != "")
             wanted = ids if wanted is None else wanted.union(ids)
         wanted = wanted.distinct()
         for kind in ("grid", "primary"):

@@ -53,7 +53,9 @@ def compare(spark_df, con, sql) -> str | None:
     types = {(type(x).__name__, type(y).__name__) for a, b in zip(got, want) for x, y in zip(a, b) if x is not None and type(x) is not type(y)}
     if bad:
         return f"{len(bad)} of {len(got)} rows differ; first {bad[0]}"
-    return f"types differ {types}" if types else None
+    if types:
+        return f"types differ {types}"
+    return None if got else "no rows"
 
 
 def main():
