@@ -17,6 +17,11 @@ EARTH_RADIUS = 6_371_008.8
 _DEPTH = {"Point": 1, "MultiPoint": 2, "LineString": 2, "MultiLineString": 3, "Polygon": 3, "MultiPolygon": 4}
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once per row, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def geo_text(df: DataFrame, field: str) -> Column:
     """A geometry column as JSON text, whether it was read as text or as a struct."""
     c = F.col(f"`{field}`")
@@ -36,11 +41,15 @@ def unwrap_features(df: DataFrame) -> DataFrame:
 
 def usable_geometry(value: Column) -> Column:
     """GeoJSON geometry of a value: a geometry as it is, ``{lat, lon}`` as a Point, else null."""
-    g = unwrap_feature(value)
-    lon, lat = (F.get_json_object(g, f"$.{k}").try_cast("double") for k in ("lon", "lat"))
-    point = F.concat(F.lit('{"type":"Point","coordinates":['), lon.cast("string"), F.lit(","), lat.cast("string"), F.lit("]}"))
-    whole = F.get_json_object(g, "$.type").isNotNull() & F.get_json_object(g, "$.coordinates").isNotNull()
-    return F.when(whole, g).when(lon.isNotNull() & lat.isNotNull(), point)
+
+    def usable(g: Column) -> Column:
+        lon, lat = (F.get_json_object(g, f"$.{k}").try_cast("double") for k in ("lon", "lat"))
+        numbers = F.concat_ws(",", lon.cast("string"), lat.cast("string"))
+        point = F.concat(F.lit('{"type":"Point","coordinates":['), numbers, F.lit("]}"))
+        whole = F.get_json_object(g, "$.type").isNotNull() & F.get_json_object(g, "$.coordinates").isNotNull()
+        return F.when(whole, g).when(lon.isNotNull() & lat.isNotNull(), point)
+
+    return _once(unwrap_feature(value), usable)
 
 
 def resolve_geometry(df: DataFrame) -> Column:
@@ -71,12 +80,16 @@ def _per_leaf(coordinates: Column, depth: int, change) -> Column:
 
 
 def _with_leaves(geometry: Column, change) -> Column:
-    kind = F.get_json_object(geometry, "$.type")
-    out = None
-    for name, depth in _DEPTH.items():
-        changed = F.to_json(F.struct(F.lit(name).alias("type"), _per_leaf(_coordinates(geometry, depth), depth, change).alias("coordinates")))
-        out = F.when(kind == name, changed) if out is None else out.when(kind == name, changed)
-    return out.otherwise(geometry)
+    def changed(g: Column) -> Column:
+        kind = F.get_json_object(g, "$.type")
+        out = None
+        for name, depth in _DEPTH.items():
+            moved = _per_leaf(_coordinates(g, depth), depth, change).alias("coordinates")
+            text = F.to_json(F.struct(F.lit(name).alias("type"), moved))
+            out = F.when(kind == name, text) if out is None else out.when(kind == name, text)
+        return out.otherwise(g)
+
+    return _once(geometry, changed)
 
 
 def strip_z(geometry: Column) -> Column:
@@ -125,14 +138,17 @@ def point_in_ring(lon: Column, lat: Column, ring: Ring) -> Column:
 
 def geometry_paths(geometry: Column) -> Column:
     """All coordinate paths of a geometry as ``array<array<array<double>>>``."""
-    kind = F.get_json_object(geometry, "$.type")
-    return (
-        F.when(kind == "Point", F.array(F.array(_coordinates(geometry, 1))))
-        .when(kind == "MultiPoint", F.transform(_coordinates(geometry, 2), lambda c: F.array(c)))
-        .when(kind == "LineString", F.array(_coordinates(geometry, 2)))
-        .when(kind.isin("MultiLineString", "Polygon"), _coordinates(geometry, 3))
-        .when(kind == "MultiPolygon", F.flatten(_coordinates(geometry, 4)))
-    )
+
+    def paths(kind: Column) -> Column:
+        return (
+            F.when(kind == "Point", F.array(F.array(_coordinates(geometry, 1))))
+            .when(kind == "MultiPoint", F.transform(_coordinates(geometry, 2), lambda c: F.array(c)))
+            .when(kind == "LineString", F.array(_coordinates(geometry, 2)))
+            .when(kind.isin("MultiLineString", "Polygon"), _coordinates(geometry, 3))
+            .when(kind == "MultiPolygon", F.flatten(_coordinates(geometry, 4)))
+        )
+
+    return _once(F.get_json_object(geometry, "$.type"), paths)
 
 
 def _side(ax, ay, bx, by, cx, cy) -> Column:
@@ -158,30 +174,35 @@ def intersects_ring(geometry: Column, ring: Ring) -> Column:
 
     A vertex inside the ring, an edge across it, or (for areas) the ring lying wholly inside.
     """
-    paths = geometry_paths(geometry)
-    vertex = F.exists(paths, lambda p: F.exists(p, lambda c: point_in_ring(c[0], c[1], ring)))
     edges = _edges(ring)
+    px, py = (F.lit(float(v)) for v in ring[0])
 
-    def any_cross(seg):
+    def any_cross(seg: Column) -> Column:
         hit = F.lit(False)
         for e in edges:
             hit = hit | _crosses(seg, e)
         return hit
 
-    crossing = F.exists(paths, lambda p: F.exists(_segments(p), any_cross))
-    px, py = (F.lit(float(v)) for v in ring[0])
-
-    def ray(seg):
+    def ray(seg: Column) -> Column:
         ax, ay, bx, by = seg["a"][0], seg["a"][1], seg["b"][0], seg["b"][1]
         at = (py - ay) / F.nullif(by - ay, F.lit(0.0)) * (bx - ax) + ax
         return F.when(((ay > py) != (by > py)) & (px < at), 1).otherwise(0)
 
-    def count(p):
-        return F.aggregate(_segments(p), F.lit(0), lambda acc, s: acc + ray(s))
+    def count(path: Column) -> Column:
+        return F.aggregate(_segments(path), F.lit(0), lambda acc, s: acc + ray(s))
+
+    def meets(g: Column) -> Column:
+        area = F.get_json_object(g, "$.type").isin("Polygon", "MultiPolygon")
+
+        def tests(paths: Column) -> Column:
+            vertex = F.exists(paths, lambda p: F.exists(p, lambda c: point_in_ring(c[0], c[1], ring)))
+            crossing = F.exists(paths, lambda p: F.exists(_segments(p), any_cross))
+            around = F.aggregate(paths, F.lit(0), lambda acc, p: acc + count(p)) % 2 == 1
+            return vertex | crossing | (area & around)
+
+        return _once(geometry_paths(g), tests)
 
-    inside = F.aggregate(paths, F.lit(0), lambda acc, p: acc + count(p)) % 2 == 1
-    area = F.get_json_object(geometry, "$.type").isin("Polygon", "MultiPolygon")
-    return F.coalesce(vertex | crossing | (area & inside), F.lit(False))
+    return F.coalesce(_once(geometry, meets), F.lit(False))
 
 
 def _lonlat(df: DataFrame) -> tuple[Column, Column] | None:

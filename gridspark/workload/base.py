@@ -78,5 +78,5 @@ DAILY = """SELECT o_orderpriority AS key, date_trunc('day', o_orderdate) AS ts,
 # Single orders as an irregular multi-year series per priority.
 ORDERS = """SELECT o_orderpriority AS key, o_orderkey, o_orderdate AS ts, o_totalprice AS value FROM {orders}"""
 # Hourly weather stand-in per event type.
-WEATHER = """SELECT event_type AS key, date_trunc('hour', ts) AS ts, ROUND(AVG(value) / 6 - 3, 4) AS temperature_2m,
-       ROUND(MIN(value) / 3, 4) AS wind_speed_10m, ROUND(MAX(value) * 3, 4) AS shortwave_radiation FROM {events} GROUP BY 1, 2"""
+WEATHER = """SELECT event_type AS key, date_trunc('hour', ts) AS ts, ROUND(SUM(value), 2) / 40 - 3 AS temperature_2m,
+       MIN(value) / 3 AS wind_speed_10m, MAX(value) * 3 AS shortwave_radiation FROM {events} GROUP BY 1, 2"""

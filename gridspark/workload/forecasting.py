@@ -71,15 +71,15 @@ def _(spark, sf):
 @check(
     "weather_features",
     f"""WITH w AS ({WEATHER}), c AS (SELECT *, 13.12 + 0.6215 * temperature_2m - 11.37 * power(wind_speed_10m, 0.16) + 0.3965 * temperature_2m * power(wind_speed_10m, 0.16) AS chill FROM w)
-        SELECT key, CAST(ts AS TIMESTAMP) AS ts, ROUND(temperature_2m, 8) AS temperature_2m, ROUND(wind_speed_10m, 8) AS wind_speed_10m, ROUND(shortwave_radiation, 8) AS shortwave_radiation,
-          ROUND(GREATEST(15.5 - temperature_2m, 0), 8) + 0.0 AS hdd, ROUND(GREATEST(temperature_2m - 22.0, 0), 8) + 0.0 AS cdd,
-          ROUND(CASE WHEN temperature_2m >= 10 OR wind_speed_10m <= 4.8 THEN temperature_2m ELSE chill END, 8) AS wind_chill,
-          ROUND(GREATEST(0.0, LEAST(1.0, shortwave_radiation / 1000)), 8) AS solar_capacity_factor,
-          ROUND(CASE WHEN wind_speed_10m < 10 THEN 0.0 ELSE LEAST(power((wind_speed_10m - 10) / 35, 3), 1.0) END, 8) AS wind_power_proxy,
+        SELECT key, CAST(ts AS TIMESTAMP) AS ts, ROUND(temperature_2m, 10) AS temperature_2m, ROUND(wind_speed_10m, 10) AS wind_speed_10m, ROUND(shortwave_radiation, 10) AS shortwave_radiation,
+          ROUND(GREATEST(15.5 - temperature_2m, 0), 10) + 0.0 AS hdd, ROUND(GREATEST(temperature_2m - 22.0, 0), 10) + 0.0 AS cdd,
+          ROUND(CASE WHEN temperature_2m >= 10 OR wind_speed_10m <= 4.8 THEN temperature_2m ELSE chill END, 10) AS wind_chill,
+          ROUND(GREATEST(0.0, LEAST(1.0, shortwave_radiation / 1000)), 10) AS solar_capacity_factor,
+          ROUND(CASE WHEN wind_speed_10m < 10 THEN 0.0 ELSE LEAST(power((wind_speed_10m - 10) / 35, 3), 1.0) END, 10) AS wind_power_proxy,
           CAST(CASE WHEN shortwave_radiation > 10 THEN 1 ELSE 0 END AS BIGINT) AS is_daylight,
-          ROUND(AVG(temperature_2m) OVER (PARTITION BY key ORDER BY ts ROWS BETWEEN 11 PRECEDING AND CURRENT ROW), 8) AS temp_rolling_6h,
-          ROUND(AVG(temperature_2m) OVER (PARTITION BY key ORDER BY ts ROWS BETWEEN 47 PRECEDING AND CURRENT ROW), 8) AS temp_rolling_24h FROM c""",
-    digits=8,
+          ROUND(AVG(temperature_2m) OVER (PARTITION BY key ORDER BY ts ROWS BETWEEN 11 PRECEDING AND CURRENT ROW), 10) AS temp_rolling_6h,
+          ROUND(AVG(temperature_2m) OVER (PARTITION BY key ORDER BY ts ROWS BETWEEN 47 PRECEDING AND CURRENT ROW), 10) AS temp_rolling_24h FROM c""",
+    digits=10,
 )
 def _(spark, sf):
     return ft.weather_features(frame(spark, sf, WEATHER), K)
