@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.operators.features import calendar_features, load_features, time_split
-from gridspark.plans import exact_quantiles, halo_blocks, keyed, positions
+from gridspark.plans import exact_quantiles, halo_blocks, keyed, largest_group, positions
 from gridspark.plans.skew import HOME
 
 SEED = 42
@@ -102,12 +102,12 @@ def interval_coverage(df: DataFrame, actual: str = "actual", low: str = "p10", h
     return df.groupBy(*keys).agg(F.avg(inside.cast("double")).alias("coverage"))
 
 
-def horizon_frame(df: DataFrame, steps: int, keys: Sequence[str] = (), ts: str = "ts", value: str = "load_mw", tiebreak: str | None = None, target_rows: int | None = None) -> DataFrame:
+def horizon_frame(df: DataFrame, steps: int, keys: Sequence[str] = (), ts: str = "ts", value: str = "load_mw", tiebreak: str | None = None, target_rows: int | None = None, at_most: int | None = None) -> DataFrame:
     """Rows with ``target`` (the value ``steps - 1`` rows on), its time, and ``persist`` (48 rows before it)."""
     names = df.columns
     rows, keys = keyed(df, keys)
     shift = steps - 1
-    rows, order = halo_blocks(positions(rows, keys, ts, tiebreak, target_rows=target_rows), keys, max(48 - shift, 0), max(shift, shift - 48), target_rows)
+    rows, order = halo_blocks(positions(rows, keys, ts, tiebreak, target_rows=target_rows, at_most=at_most), keys, max(48 - shift, 0), max(shift, shift - 48), target_rows)
     return (
         rows.withColumns(
             {
@@ -124,8 +124,9 @@ def horizon_frame(df: DataFrame, steps: int, keys: Sequence[str] = (), ts: str =
 def persistence_by_horizon(df: DataFrame, test_start: str, keys: Sequence[str] = (), ts: str = "ts", value: str = "load_mw", horizons: Mapping[str, int] = HORIZONS, tiebreak: str | None = None) -> DataFrame:
     """Persistence metrics per horizon over the test period."""
     out = None
+    at_most = largest_group(*keyed(df, keys))
     for label, steps in horizons.items():
-        rows = horizon_frame(df, steps, keys, ts, value, tiebreak).where(F.col(ts) >= F.lit(test_start).cast(df.schema[ts].dataType))
+        rows = horizon_frame(df, steps, keys, ts, value, tiebreak, at_most=at_most).where(F.col(ts) >= F.lit(test_start).cast(df.schema[ts].dataType))
         m = forecast_metrics(rows, "target", "persist", keys).withColumn("horizon", F.lit(label)).withColumn("model", F.lit("Persistence"))
         out = m if out is None else out.unionByName(m)
     return out

@@ -63,14 +63,14 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     """Count, mean, std, min, quartiles and max per numeric column, long form."""
     columns = list(columns or numeric_columns(df))
     long = df.select(F.explode(F.array(*[_cell(c) for c in columns])).alias("_c")).select("_c.*").where(F.col("value").isNotNull())
-    stats = long.groupBy("column").agg(
+    stats = [
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-    )
-    return stats.join(exact_quantiles(long, ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}), "column")
+    ]
+    return exact_quantiles(long, ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, stats)
 
 
 def _cell(c: str):

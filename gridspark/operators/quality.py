@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gridspark.functions.scalars import is_redacted
 from gridspark.functions.timeparts import duration_micros, micros, period_unit, truncate
 from gridspark.operators.series import align, neighbours, previous_time, regular_grid
-from gridspark.plans import CHUNK, attach, exact_quantiles, halo_blocks, is_split, keyed, positions, split_hot, unkeyed
+from gridspark.plans import CHUNK, attach, exact_quantiles, halo_blocks, is_split, keyed, largest_group, positions, split_hot, unkeyed
 from gridspark.plans.skew import HOME, POS
 
 # Rows of step candidates handled by one call of the grouping helper.
@@ -33,12 +33,13 @@ def step_candidates(
     min_confidence: float = 0.7,
     tiebreak: str | None = None,
     target_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Every place where the mean of the next window departs from the mean of the window before."""
     df, keys = keyed(df, keys)
     w = window_size
     pick = list(dict.fromkeys([*keys, ts, value, *([tiebreak] if tiebreak else [])]))
-    rows = positions(df.where(F.col(value).isNotNull()).select(*pick), keys, ts, tiebreak, target_rows=target_rows)
+    rows = positions(df.where(F.col(value).isNotNull()).select(*pick), keys, ts, tiebreak, target_rows=target_rows, at_most=at_most)
     rows, order = halo_blocks(rows, keys, w, w - 1, target_rows)
     before, after = order.rowsBetween(-w, -1), order.rowsBetween(0, w - 1)
     rows = rows.select(
@@ -84,16 +85,18 @@ def detect_step_changes(
     the most confident one (the earliest on ties) is reported.
     """
     out_keys = list(keys)
-    found = step_candidates(df, keys, ts, value, threshold, window_size, min_confidence, tiebreak, target_rows)
-    keys = out_keys or ["_series"]
+    df, keys = keyed(df, keys)
+    # A series has no more candidates than rows.
+    at_most = largest_group(df, keys)
+    found = step_candidates(df, keys, ts, value, threshold, window_size, min_confidence, tiebreak, target_rows, at_most)
     found = found.withColumn("_us", micros(ts))
-    anchored = _with_anchor(found, keys, window_size * _HOUR, target_rows)
+    anchored = _with_anchor(found, keys, window_size * _HOUR, target_rows, at_most)
     fields = [ts, "value_before", "value_after", "magnitude", "relative_change", "direction", "confidence"]
     best = F.max_by(F.struct(*fields), F.struct("confidence", -F.col(POS)))
     return anchored.groupBy(*keys, "_anchor").agg(best.alias("_b")).select(*out_keys, "_b.*")
 
 
-def _with_anchor(found: DataFrame, keys: list[str], span: int, target_rows: int | None) -> DataFrame:
+def _with_anchor(found: DataFrame, keys: list[str], span: int, target_rows: int | None, at_most: int | None) -> DataFrame:
     """Give each candidate the time of its group's first member.
 
     Groups form a chain: the next one starts at the first candidate ``span`` or more after the last
@@ -101,7 +104,7 @@ def _with_anchor(found: DataFrame, keys: list[str], span: int, target_rows: int
     a chain that enters it would leave it, for every place it may enter; following those reports gives
     each chunk its real entry.
     """
-    rows = split_hot(found, keys, "_us", POS, target_rows or _CANDIDATE_ROWS)
+    rows = split_hot(found, keys, "_us", POS, target_rows or _CANDIDATE_ROWS, at_most)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
     if not is_split(rows):
         rows = rows.withColumn("_entry", F.lit(None).cast("long"))
@@ -183,11 +186,12 @@ def identify_gaps(
     expected_frequency: str = "30min",
     min_gap_hours: float = 1.0,
     target_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Spans between consecutive filled points that are longer than ``min_gap_hours``."""
     step = duration_micros(expected_frequency)
     df, keys = keyed(df, keys)
-    rows = previous_time(df.where(F.col(value).isNotNull()).select(*keys, ts), keys, ts, target_rows=target_rows)
+    rows = previous_time(df.where(F.col(value).isNotNull()).select(*keys, ts), keys, ts, target_rows=target_rows, at_most=at_most)
     span = micros(ts) - micros("_before")
     return unkeyed(
         rows.withColumn("_span", span)
@@ -227,15 +231,13 @@ def fill_gaps(
     df, keys = keyed(df, keys)
     bounded = max_gap_hours is not None
     if method in ("mean", "median"):
+        at_most = largest_group(df, keys)
         if method == "mean":
             stats = df.groupBy(*keys).agg(F.avg(value).alias("_fill"))
         else:
-            stats = exact_quantiles(df, keys, value, {"_fill": 0.5})
-        if bounded:
-            df = neighbours(df, keys, ts, value, tiebreak, target_rows)
-        # Series without any value have no statistics; they keep their nulls.
-        known = df.groupBy(*keys).agg(F.count("*").alias("_c")).drop("_c").join(stats, list(keys), "left")
-        rows = attach(df, known, keys, target_rows)
+            stats = exact_quantiles(df, keys, value, {"_fill": 0.5}, at_most=at_most)
+        rows = neighbours(df, keys, ts, value, tiebreak, target_rows, at_most) if bounded else df
+        rows = attach(rows, stats, keys, target_rows, at_most)
         fill = F.col("_fill")
     else:
         rows = neighbours(df, keys, ts, value, tiebreak, target_rows)
@@ -270,26 +272,29 @@ def flag_outliers(
     method: str = "iqr",
     threshold: float = 3.0,
     target_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Keep rows with a value and add ``is_outlier`` (zscore, iqr or mad rule per series)."""
     names = df.columns
     df, keys = keyed(df.where(F.col(value).isNotNull()), keys)
     v = F.col(value)
+    if at_most is None:
+        at_most = largest_group(df, keys)
     if method == "zscore":
         stats = df.groupBy(*keys).agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"))
         flag = F.abs(v - F.col("_m")) / F.nullif(F.col("_s"), F.lit(0.0)) > threshold
     elif method == "iqr":
-        stats = exact_quantiles(df, keys, value, {"_a": 0.25, "_b": 0.75})
+        stats = exact_quantiles(df, keys, value, {"_a": 0.25, "_b": 0.75}, at_most=at_most)
         reach = threshold * (F.col("_b") - F.col("_a"))
         flag = (v < F.col("_a") - reach) | (v > F.col("_b") + reach)
     elif method == "mad":
-        medians = exact_quantiles(df, keys, value, {"_m": 0.5})
-        dev = attach(df.select(*keys, value), medians, keys, target_rows).withColumn("_d", F.abs(v - F.col("_m")))
-        stats = medians.join(exact_quantiles(dev, keys, "_d", {"_mad": 0.5}), keys)
+        medians = exact_quantiles(df, keys, value, {"_m": 0.5}, at_most=at_most)
+        dev = attach(df.select(*keys, value), medians, keys, target_rows, at_most).withColumn("_d", F.abs(v - F.col("_m")))
+        stats = exact_quantiles(dev, keys, "_d", {"_mad": 0.5}, [F.first("_m").alias("_m")], at_most=at_most)
         flag = 0.6745 * F.abs(v - F.col("_m")) / F.nullif(F.col("_mad"), F.lit(0.0)) > threshold
     else:
         raise ValueError(f"Unknown method: {method}. Use 'zscore', 'iqr', or 'mad'.")
-    return attach(df, stats, keys, target_rows).withColumn("is_outlier", F.coalesce(flag, F.lit(False))).select(*names, "is_outlier")
+    return attach(df, stats, keys, target_rows, at_most).withColumn("is_outlier", F.coalesce(flag, F.lit(False))).select(*names, "is_outlier")
 
 
 def drop_outliers(df: DataFrame, keys: Sequence[str] = (), value: str = "value", method: str = "iqr", threshold: float = 3.0, target_rows: int | None = None) -> DataFrame:
@@ -301,12 +306,12 @@ def screen_low(df: DataFrame, keys: Sequence[str] = (), value: str = "value", fl
     """Blank zeros and values below max(``floor``, ``share`` of the median); adds ``screened``."""
     names = df.columns
     df, keys = keyed(df, keys)
-    medians = exact_quantiles(df, keys, value, {"_med": 0.5})
-    known = df.groupBy(*keys).agg(F.count("*").alias("_c")).drop("_c").join(medians, list(keys), "left")
+    at_most = largest_group(df, keys)
+    medians = exact_quantiles(df, keys, value, {"_med": 0.5}, at_most=at_most)
     v = F.col(value)
     limit = F.greatest(F.lit(floor), F.col("_med") * share)
     bad = F.coalesce((v == 0) | ((v > 0) & (v < limit)), F.lit(False))
-    rows = attach(df, known, keys, target_rows).withColumn("screened", bad)
+    rows = attach(df, medians, keys, target_rows, at_most).withColumn("screened", bad)
     return rows.withColumn(value, F.when(~F.col("screened"), v)).select(*names, "screened")
 
 
@@ -462,10 +467,11 @@ def quality_control(
 ) -> DataFrame:
     """One quality row per series. Gap details come from :func:`identify_gaps` as rows of their own."""
     df, keys = keyed(df, keys)
+    at_most = largest_group(df, keys)
     totals = df.groupBy(*keys).agg(F.count("*").alias("total_points"), F.count(value).alias("valid_points"))
-    flags = flag_outliers(df.select(*keys, value), keys, value, outlier_method, outlier_threshold, target_rows)
+    flags = flag_outliers(df.select(*keys, value), keys, value, outlier_method, outlier_threshold, target_rows, at_most)
     outliers = flags.groupBy(*keys).agg(F.sum(F.col("is_outlier").cast("long")).alias("outlier_points"))
-    gaps = identify_gaps(df, keys, ts, value, expected_frequency, target_rows=target_rows)
+    gaps = identify_gaps(df, keys, ts, value, expected_frequency, target_rows=target_rows, at_most=at_most)
     gaps = gaps.groupBy(*keys).agg(F.count("*").alias("gap_count"), F.sum("duration_hours").alias("gap_hours"))
     zero = F.lit(0).cast("long")
     rows = (

@@ -79,9 +79,9 @@ def carry_forward(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
     return rows.withColumns(filled).select(*names)
 
 
-def neighbours(df: DataFrame, keys: Sequence[str], ts: str, value: str, tiebreak: str | None = None, target_rows: int | None = None) -> DataFrame:
+def neighbours(df: DataFrame, keys: Sequence[str], ts: str, value: str, tiebreak: str | None = None, target_rows: int | None = None, at_most: int | None = None) -> DataFrame:
     """Add ``_prev`` / ``_next``: time and value of the nearest filled points at or around each row."""
-    rows = split_hot(df, keys, ts, tiebreak, target_rows)
+    rows = split_hot(df, keys, ts, tiebreak, target_rows, at_most)
     order = [ts, *([tiebreak] if tiebreak else [])]
     point = F.when(F.col(value).isNotNull(), F.struct(*order, F.col(value).alias("_v")))
     rows = rows.withColumn("_point", point)
@@ -104,9 +104,9 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, value: str, tiebreak
     return rows.withColumn("_prev", prev).withColumn("_next", nxt).drop("_point", CHUNK)
 
 
-def previous_time(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str | None = None, target_rows: int | None = None) -> DataFrame:
+def previous_time(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str | None = None, target_rows: int | None = None, at_most: int | None = None) -> DataFrame:
     """Add ``_before``: the time of the row before in the series."""
-    rows = split_hot(df, keys, ts, tiebreak, target_rows)
+    rows = split_hot(df, keys, ts, tiebreak, target_rows, at_most)
     before = F.lag(ts).over(Window.partitionBy(*keys, CHUNK).orderBy(ts))
     if is_split(rows):
         per_chunk = rows.groupBy(*keys, CHUNK).agg(F.max(ts).alias("_max"))

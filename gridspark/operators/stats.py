@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.functions.timeparts import micros
-from gridspark.plans import CHUNK, attach, exact_quantiles, halo_blocks, is_split, keyed, positions, unkeyed
-from gridspark.plans.skew import HOME, POS
+from gridspark.plans import CHUNK, attach, exact_quantiles, halo_blocks, is_split, keyed, largest_group, positions, unkeyed
+from gridspark.plans.skew import BLOCK, HOME, POS
 
 # Reported percentiles.
 _PERCENTILES = {"p10": 0.10, "p25": 0.25, "p50": 0.50, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
@@ -32,7 +34,7 @@ def describe_timeseries(df: DataFrame, keys: Sequence[str] = (), ts: str | None
     std = F.stddev_samp("_x")
     flat = std == 0
     excluded = F.sum((F.col("_given") & F.col("_x").isNull()).cast("long"))
-    stats = rows.groupBy(*keys).agg(
+    shape = [
         n.alias("count"),
         F.avg("_x").alias("mean"),
         std.alias("std"),
@@ -41,8 +43,8 @@ def describe_timeseries(df: DataFrame, keys: Sequence[str] = (), ts: str | None
         F.when(n >= 3, F.when(flat, 0.0).otherwise(F.skewness("_x") * F.pow(scale, F.lit(1.5)))).alias("skewness"),
         F.when(n >= 4, F.when(flat, 0.0).otherwise((F.kurtosis("_x") + 3) * scale * scale - 3)).alias("kurtosis"),
         excluded.alias("excluded_non_finite_count"),
-    )
-    out = stats.join(exact_quantiles(rows, keys, "_x", _PERCENTILES), keys, "left")
+    ]
+    out = exact_quantiles(rows, keys, "_x", _PERCENTILES, shape)
     out = out.withColumn("median", F.col("p50")).withColumn("has_non_finite_values", F.col("excluded_non_finite_count") > 0)
     if ts:
         out = out.join(_hints(rows.where(F.col("_x").isNotNull()), keys, ts), keys, "left")
@@ -84,21 +86,25 @@ def autocorrelation(
     rows = df.where(F.col(value).isNotNull()).select(*pick)
     stats = rows.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.var_samp(value).alias("_var"))
     rows = positions(rows, keys, ts, tiebreak, stats, target_rows)
-    rows, order = halo_blocks(rows, keys, lags, 0, target_rows)
-    here = F.col(value) - F.col("_mean")
-    # One window pass gives all lagged values; the products are summed on the map side.
-    rows = rows.select(*keys, HOME, "_n", "_var", "_mean", value, *[F.lag(value, k).over(order).alias(f"_l{k}") for k in range(1, lags + 1)])
-    sums = rows.where(F.col(HOME)).groupBy(*keys, "_n", "_var").agg(
-        *[F.sum(here * (F.col(f"_l{k}") - F.col("_mean"))).alias(f"_s{k}") for k in range(1, lags + 1)]
-    )
-    value_at = [F.struct(F.lit(0).alias("lag"), F.lit(1.0).alias("r"))]
-    for k in range(1, lags + 1):
-        r = F.when(F.col("_var") == 0, 1.0).otherwise(F.col(f"_s{k}") / F.col("_n") / F.nullif(F.col("_var"), F.lit(0.0)))
-        value_at.append(F.struct(F.lit(k).alias("lag"), r.alias("r")))
+    rows, _ = halo_blocks(rows, keys, lags, 0, target_rows)
+    rows = rows.select(*keys, BLOCK, POS, HOME, (F.col(value) - F.col("_mean")).alias("_d"), "_n", "_var")
+    key_fields = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
+
+    def products(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Sum of products with the row ``k`` before, over the block's own rows, for every lag."""
+        pdf = pdf.sort_values(POS)
+        d, own = pdf["_d"].to_numpy(), int((~pdf[HOME]).sum())
+        sums = [float(np.dot(d[max(own, k) :], d[max(own, k) - k : len(d) - k])) for k in range(min(lags, len(d) - 1) + 1)]
+        head = pdf[[*keys, "_n", "_var"]].iloc[[0] * len(sums)].reset_index(drop=True)
+        return head.assign(lag=range(len(sums)), _s=sums)
+
+    parts = rows.groupBy(*keys, BLOCK).applyInPandas(products, f"{key_fields}, _n long, _var double, lag long, _s double")
+    r = F.col("_s") / F.col("_n") / F.nullif(F.col("_var"), F.lit(0.0))
     return unkeyed(
-        sums.withColumn("_p", F.explode(F.array(*value_at)))
-        .where(F.col("_p.lag") <= F.col("_n") - 1)
-        .select(*keys, F.col("_p.lag").alias("lag"), F.col("_p.r").alias("autocorrelation"))
+        parts.groupBy(*keys, "_n", "_var", "lag")
+        .agg(F.sum("_s").alias("_s"))
+        .where(F.col("lag") < F.col("_n"))
+        .select(*keys, "lag", F.when((F.col("lag") == 0) | (F.col("_var") == 0), 1.0).otherwise(r).alias("autocorrelation"))
     )
 
 
@@ -128,9 +134,7 @@ def seasonal_summary(df: DataFrame, period: str = "daily", keys: Sequence[str] =
 def quantile_bands(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", value: str = "value") -> DataFrame:
     """Quartiles and mean by hour of day."""
     rows = df.select(*keys, F.hour(ts).alias("hour"), value)
-    by = [*keys, "hour"]
-    means = rows.groupBy(*by).agg(F.avg(value).alias("mean"))
-    return exact_quantiles(rows, by, value, {"q25": 0.25, "q75": 0.75}).join(means, by)
+    return exact_quantiles(rows, [*keys, "hour"], value, {"q25": 0.25, "q75": 0.75}, [F.avg(value).alias("mean")])
 
 
 def peak_analysis(
@@ -147,22 +151,24 @@ def peak_analysis(
     v = F.col(value)
     ratio = F.when(F.col("trough_value") != 0, F.col("peak_value") / F.nullif(F.col("trough_value"), F.lit(0.0)))
     load = F.when(F.col("peak_value") != 0, F.col("_mean") / F.nullif(F.col("peak_value"), F.lit(0.0)))
+    at_most = largest_group(df, keys)
+    extremes = [
+        F.max(value).alias("peak_value"),
+        F.max_by(ts, F.when(v.isNotNull(), F.struct(v, -micros(ts)))).alias("peak_timestamp"),
+        F.min(value).alias("trough_value"),
+        F.min_by(ts, F.when(v.isNotNull(), F.struct(v, micros(ts)))).alias("trough_timestamp"),
+        F.avg(value).alias("_mean"),
+        F.count(value).alias("_n"),
+    ]
+    wanted = {"threshold_value": threshold_percentile / 100.0}
+    found = exact_quantiles(df, keys, value, wanted, extremes, at_most=at_most)
+    threshold = found.select(*keys, "threshold_value")
     base = (
-        df.groupBy(*keys)
-        .agg(
-            F.max(value).alias("peak_value"),
-            F.max_by(ts, F.when(v.isNotNull(), F.struct(v, -micros(ts)))).alias("peak_timestamp"),
-            F.min(value).alias("trough_value"),
-            F.min_by(ts, F.when(v.isNotNull(), F.struct(v, micros(ts)))).alias("trough_timestamp"),
-            F.avg(value).alias("_mean"),
-            F.count(value).alias("_n"),
-        )
-        .withColumn("peak_to_trough_ratio", ratio.when(F.col("peak_value") != 0, float("inf")).when(F.col("peak_value") == 0, 1.0))
+        found.withColumn("peak_to_trough_ratio", ratio.when(F.col("peak_value") != 0, float("inf")).when(F.col("peak_value") == 0, 1.0))
         .withColumn("mean_to_peak_ratio", load.when(F.col("_mean") == 0, 1.0).when(F.col("_mean").isNotNull(), float("inf")))
         .withColumn("threshold_percentile", F.lit(float(threshold_percentile)))
     )
-    threshold = exact_quantiles(df, keys, value, {"threshold_value": threshold_percentile / 100.0})
-    above = attach(df.where(v.isNotNull()).select(*keys, ts, value), threshold, keys, target_rows).where(v > F.col("threshold_value"))
+    above = attach(df.where(v.isNotNull()).select(*keys, ts, value), threshold, keys, target_rows, at_most).where(v > F.col("threshold_value"))
     parts = F.explode(
         F.array(
             F.struct(F.lit("peak_hours").alias("kind"), F.hour(ts).alias("unit")),
@@ -181,11 +187,10 @@ def peak_analysis(
     # At most three entries per kind are left to list.
     timing = top.groupBy(*keys).agg(*[picked(k) for k in ("peak_hours", "peak_days", "peak_months")])
     share = above.groupBy(*keys).agg(F.count("*").alias("_above"))
-    runs = longest_run(df, threshold, "threshold_value", keys, ts, value, tiebreak, target_rows)
+    runs = longest_run(df, threshold, "threshold_value", keys, ts, value, tiebreak, target_rows, at_most)
     empty = F.array().cast("array<int>")
     return unkeyed(
-        base.join(threshold, keys, "left")
-        .join(share, keys, "left")
+        base.join(share, keys, "left")
         .join(timing, keys, "left")
         .join(runs, keys, "left")
         .withColumn("time_above_threshold_pct", F.coalesce(100.0 * F.col("_above") / F.col("_n"), F.lit(0.0)))
@@ -204,11 +209,12 @@ def longest_run(
     value: str = "value",
     tiebreak: str | None = None,
     target_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Longest stretch of consecutive filled points above each series' threshold."""
     keys = list(keys)
     pick = list(dict.fromkeys([*keys, ts, value, *([tiebreak] if tiebreak else [])]))
-    rows = positions(df.where(F.col(value).isNotNull()).select(*pick), keys, ts, tiebreak, thresholds, target_rows)
+    rows = positions(df.where(F.col(value).isNotNull()).select(*pick), keys, ts, tiebreak, thresholds, target_rows, at_most)
     number = F.row_number().over(Window.partitionBy(*keys, CHUNK).orderBy(POS))
     runs = (
         rows.where(F.col(value) > F.col(threshold))

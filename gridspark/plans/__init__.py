@@ -9,6 +9,7 @@ from gridspark.plans.skew import (
     hot_groups,
     is_split,
     keyed,
+    largest_group,
     positions,
     split_hot,
     unkeyed,
@@ -23,6 +24,7 @@ __all__ = [
     "hot_groups",
     "is_split",
     "keyed",
+    "largest_group",
     "positions",
     "split_hot",
     "unkeyed",

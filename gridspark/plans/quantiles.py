@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 
 from gridspark.plans.skew import hot_groups
 
-# Largest group handed to the built-in percentile.
-BUILTIN_ROWS = 500_000
-# Sketch accuracy: ranks are off by at most rows / ACCURACY.
-ACCURACY = 10_000
+# Largest group handed to the built-in percentile. A hash-aggregating task holds at most 128 groups
+# at once before it turns to sorting, which bounds its buffers.
+BUILTIN_ROWS = 200_000
+# Sketch accuracy: ranks are off by at most rows / accuracy. It grows with the largest group, so that
+# about 4 * RANKED_ROWS values are left to rank however large the group is.
+ACCURACY, MAX_ACCURACY = 10_000, 200_000
+RANKED_ROWS = 100_000
 
 
 def exact_quantiles(
@@ -26,31 +29,36 @@ def exact_quantiles(
     keys: Sequence[str],
     value: str,
     probs: Mapping[str, float],
+    aggs: Sequence[Column] = (),
     builtin_rows: int | None = None,
     accuracy: int = ACCURACY,
+    at_most: int | None = None,
 ) -> DataFrame:
     """One row per group with a column per entry of ``probs`` (name -> probability).
 
-    Nulls and NaN are ignored; groups without values give no row. ``keys`` must not be empty (use
+    Nulls and NaN are ignored. Further aggregates of the same rows go in ``aggs`` and share the pass.
+    Groups without any value have null quantiles. ``keys`` must not be empty (use
     :func:`gridspark.plans.keyed`).
     """
     # The bracket argument below needs groups of at least 2 * accuracy rows.
     limit = max(builtin_rows or BUILTIN_ROWS, 2 * accuracy)
     keys = list(keys)
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
-    )
-    hot = hot_groups(rows, keys, target_rows=limit)
+    v = F.col(value).cast("double")
+    v = F.when(~F.isnan(v), v)
+    rows = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
+    hot = hot_groups(rows, keys, target_rows=limit, at_most=at_most)
     plist = F.array(*[F.lit(float(p)) for p in probs.values()])
-    ordinary = rows if hot is None else rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    small = (
-        ordinary.groupBy(*keys)
-        .agg(F.percentile("_v", plist).alias("_q"))
-        .select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)])
-    )
+    quantiles = [F.col("_q")[i].alias(n) for i, n in enumerate(probs)]
     if hot is None:
-        return small
-    return small.unionByName(_bracketed(rows.join(F.broadcast(hot.select(*keys)), keys), keys, probs, accuracy))
+        out = df.groupBy(*keys).agg(F.percentile(v, plist).alias("_q"), *aggs)
+        return out.select("*", *quantiles).drop("_q")
+    largest = hot.agg(F.max("_rows")).first()[0]
+    accuracy = max(accuracy, min(MAX_ACCURACY, largest // RANKED_ROWS))
+    hot = F.broadcast(hot.where(F.col("_rows") > 2 * accuracy).select(*keys))
+    small = rows.join(hot, keys, "left_anti").groupBy(*keys).agg(F.percentile("_v", plist).alias("_q")).select(*keys, *quantiles)
+    found = small.unionByName(_bracketed(rows.join(hot, keys), keys, probs, accuracy))
+    every = df.groupBy(*keys).agg(F.count("*").alias("_rows"), *aggs).drop("_rows")
+    return every.join(found, keys, "left")
 
 
 def _bracketed(rows: DataFrame, keys: list[str], probs: Mapping[str, float], accuracy: int) -> DataFrame:

@@ -43,14 +43,16 @@ def unkeyed(df: DataFrame) -> DataFrame:
     return df.drop(_SERIES)
 
 
-def hot_groups(df: DataFrame, group: Sequence[str], *aggs: Column, target_rows: int | None = None, limit: int = MAX_HOT_GROUPS) -> DataFrame | None:
+def hot_groups(df: DataFrame, group: Sequence[str], *aggs: Column, target_rows: int | None = None, limit: int = MAX_HOT_GROUPS, at_most: int | None = None) -> DataFrame | None:
     """Groups with more than ``target_rows`` rows, with their size ``_rows`` and ``aggs``; None if there are none.
 
     This runs one job when the plan is built, because the size decides the layout: ordinary data then
     gets a plan with no splitting at all. Counting combines on the map side, so a hot group sends one
     row per map task, and the result is small enough to broadcast whatever the data: at most
-    ``limit`` rows.
+    ``limit`` rows. A caller that knows no group has more than ``at_most`` rows saves the job.
     """
+    if at_most is not None and at_most <= (target_rows or TARGET_ROWS):
+        return None
     found = (
         df.groupBy(*group)
         .agg(F.count("*").alias("_rows"), *aggs)
@@ -62,6 +64,12 @@ def hot_groups(df: DataFrame, group: Sequence[str], *aggs: Column, target_rows:
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group: one number, for operators that lay out the same rows several times."""
+    sizes = df.groupBy(*group).agg(F.count("*").alias("_rows"))
+    return sizes.agg(F.max("_rows")).first()[0] or 0
+
+
 def _as_number(df: DataFrame, column: str) -> Column:
     dtype = df.schema[column].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -80,6 +88,7 @@ def split_hot(
     order: str,
     tiebreak: str | None = None,
     target_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add ``_chunk``: 0 for ordinary series, ascending along ``order`` for oversized ones.
 
@@ -94,7 +103,7 @@ def split_hot(
         "_tie", _as_number(df, tiebreak).cast("double") if tiebreak else F.lit(0.0)
     )
     lo, hi = F.min("_ord").alias("_lo"), F.max("_ord").alias("_hi")
-    hot = hot_groups(base, keys, lo, hi, target_rows=target)
+    hot = hot_groups(base, keys, lo, hi, target_rows=target, at_most=at_most)
     if hot is None:
         return df.withColumn(CHUNK, F.lit(0).cast("long").alias(CHUNK, metadata=_WHOLE))
     parts = F.ceil(F.col("_rows") / F.lit(float(target)))
@@ -167,12 +176,13 @@ def positions(
     tiebreak: str | None = None,
     key_stats: DataFrame | None = None,
     target_rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add ``_pos`` (0-based place in the series) and ``_n`` (its length), plus ``key_stats`` columns.
 
     The place is the chunk's starting offset plus the row number inside the chunk.
     """
-    rows = split_hot(df, keys, order, tiebreak, target_rows)
+    rows = split_hot(df, keys, order, tiebreak, target_rows, at_most)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(order, *([tiebreak] if tiebreak else []))
     if not is_split(rows):
         whole = Window.partitionBy(*keys)
@@ -217,14 +227,14 @@ def halo_blocks(df: DataFrame, keys: Sequence[str], back: int, ahead: int, block
     return out, Window.partitionBy(*keys, BLOCK).orderBy(POS)
 
 
-def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], target_rows: int | None = None) -> DataFrame:
+def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], target_rows: int | None = None, at_most: int | None = None) -> DataFrame:
     """Join one row of statistics per series onto the rows of that series.
 
     Spark broadcasts ``stats`` by itself when it is measured to be small. When it is not, rows of an
     oversized series are spread over salts, with one copy of its statistics per salt.
     """
     target = target_rows or TARGET_ROWS
-    hot = hot_groups(rows, keys, target_rows=target)
+    hot = hot_groups(rows, keys, target_rows=target, at_most=at_most)
     if hot is None:
         return rows.join(stats, list(keys))
     hot = hot.select(*keys, F.ceil(F.col("_rows") / F.lit(float(target))).cast("int").alias("_salts"))
