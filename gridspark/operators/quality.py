@@ -190,6 +190,7 @@ def identify_gaps(
 ) -> DataFrame:
     """Spans between consecutive filled points that are longer than ``min_gap_hours``."""
     step = duration_micros(expected_frequency)
+    asked = keys
     df, keys = keyed(df, keys)
     rows = previous_time(df.where(F.col(value).isNotNull()).select(*keys, ts), keys, ts, target_rows=target_rows, at_most=at_most)
     span = micros(ts) - micros("_before")
@@ -202,7 +203,8 @@ def identify_gaps(
             F.col(ts).alias("end"),
             (F.col("_span") / float(_HOUR)).alias("duration_hours"),
             F.greatest(F.lit(0), F.floor(F.col("_span") / F.lit(step)) - 1).cast("long").alias("missing_points"),
-        )
+        ),
+        asked,
     )
 
 
@@ -466,6 +468,7 @@ def quality_control(
     target_rows: int | None = None,
 ) -> DataFrame:
     """One quality row per series. Gap details come from :func:`identify_gaps` as rows of their own."""
+    asked = keys
     df, keys = keyed(df, keys)
     at_most = largest_group(df, keys)
     totals = df.groupBy(*keys).agg(F.count("*").alias("total_points"), F.count(value).alias("valid_points"))
@@ -507,5 +510,6 @@ def quality_control(
             "gap_hours",
             F.coalesce(score, F.lit(0.0)).alias("quality_score"),
             issues.alias("issues"),
-        )
+        ),
+        asked,
     )

@@ -137,15 +137,17 @@ def time_grid(df: DataFrame, keys: Sequence[str], ts: str, every: str, anchor: s
 
 def regular_grid(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", value: str = "value", every: str = "30min", anchor: str = "first") -> DataFrame:
     """Sum duplicates of a time, then show the series on a complete grid with nulls where it has no row."""
+    asked = keys
     df, keys = keyed(df, keys)
     summed = df.where(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(F.coalesce(F.sum(value), F.lit(0.0)).alias(value), F.count("*").alias("_c"), F.count(value).alias("_f"))
     # A time that occurs once keeps its null; only real duplicates follow the sum rule.
     summed = summed.withColumn(value, F.when((F.col("_c") > 1) | (F.col("_f") > 0), F.col(value))).drop("_c", "_f")
-    return unkeyed(time_grid(df, keys, ts, every, anchor).join(summed, [*keys, ts], "left"))
+    return unkeyed(time_grid(df, keys, ts, every, anchor).join(summed, [*keys, ts], "left"), asked)
 
 
 def resample(df: DataFrame, unit: str, keys: Sequence[str] = (), ts: str = "ts", value: str = "value") -> DataFrame:
     """Calendar buckets with mean, min, max, sum and count; buckets without rows are kept (sum and count 0)."""
+    asked = keys
     df, keys = keyed(df, keys)
     bucket = truncate(ts, unit, df, ts)
     stats = (
@@ -158,7 +160,7 @@ def resample(df: DataFrame, unit: str, keys: Sequence[str] = (), ts: str = "ts",
         stats.groupBy(*keys).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi")).select(*keys, F.explode(steps).alias(ts))
     )
     full = grid.join(stats, [*keys, ts], "left")
-    return unkeyed(full.withColumn("sum", F.coalesce("sum", F.lit(0.0))).withColumn("count", F.coalesce("count", F.lit(0))))
+    return unkeyed(full.withColumn("sum", F.coalesce("sum", F.lit(0.0))).withColumn("count", F.coalesce("count", F.lit(0))), asked)
 
 
 def total_by_time(df: DataFrame, ts: str = "ts", value: str = "value", min_count: int = 0, keys: Sequence[str] = ()) -> DataFrame:

@@ -25,6 +25,7 @@ def describe_timeseries(df: DataFrame, keys: Sequence[str] = (), ts: str | None
     Skewness and kurtosis divide population moments by the sample standard deviation. Results that need
     more points than there are come back null.
     """
+    asked = keys
     df, keys = keyed(df, keys)
     v = F.col(value)
     whole = F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v)
@@ -48,13 +49,14 @@ def describe_timeseries(df: DataFrame, keys: Sequence[str] = (), ts: str | None
     out = out.withColumn("median", F.col("p50")).withColumn("has_non_finite_values", F.col("excluded_non_finite_count") > 0)
     if ts:
         out = out.join(_hints(rows.where(F.col("_x").isNotNull()), keys, ts), keys, "left")
-    return unkeyed(out)
+    return unkeyed(out, asked)
 
 
 def seasonal_hints(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", value: str = "value") -> DataFrame:
     """Variation of hourly and weekday means; null where there are too few points or units."""
+    asked = keys
     df, keys = keyed(df, keys)
-    return unkeyed(_hints(df.where(F.col(value).isNotNull()).select(*keys, ts, F.col(value).alias("_x")), keys, ts))
+    return unkeyed(_hints(df.where(F.col(value).isNotNull()).select(*keys, ts, F.col(value).alias("_x")), keys, ts), asked)
 
 
 def _hints(rows: DataFrame, keys: list[str], ts: str) -> DataFrame:
@@ -81,6 +83,7 @@ def autocorrelation(
     target_rows: int | None = None,
 ) -> DataFrame:
     """``(keys..., lag, autocorrelation)`` by place in the series, for lags up to its length."""
+    asked = keys
     df, keys = keyed(df, keys)
     pick = list(dict.fromkeys([*keys, ts, value, *([tiebreak] if tiebreak else [])]))
     rows = df.where(F.col(value).isNotNull()).select(*pick)
@@ -104,7 +107,8 @@ def autocorrelation(
         parts.groupBy(*keys, "_n", "_var", "lag")
         .agg(F.sum("_s").alias("_s"))
         .where(F.col("lag") < F.col("_n"))
-        .select(*keys, "lag", F.when((F.col("lag") == 0) | (F.col("_var") == 0), 1.0).otherwise(r).alias("autocorrelation"))
+        .select(*keys, "lag", F.when((F.col("lag") == 0) | (F.col("_var") == 0), 1.0).otherwise(r).alias("autocorrelation")),
+        asked,
     )
 
 
@@ -147,6 +151,7 @@ def peak_analysis(
     target_rows: int | None = None,
 ) -> DataFrame:
     """Peak and trough, time above a percentile, usual peak hours / weekdays / months, longest run."""
+    asked = keys
     df, keys = keyed(df, keys)
     v = F.col(value)
     ratio = F.when(F.col("trough_value") != 0, F.col("peak_value") / F.nullif(F.col("trough_value"), F.lit(0.0)))
@@ -196,7 +201,8 @@ def peak_analysis(
         .withColumn("time_above_threshold_pct", F.coalesce(100.0 * F.col("_above") / F.col("_n"), F.lit(0.0)))
         .withColumns({k: F.coalesce(F.col(k), empty) for k in ("peak_hours", "peak_days", "peak_months")})
         .withColumn("max_consecutive_above_threshold", F.coalesce("longest_run", F.lit(0).cast("long")))
-        .drop("_mean", "_n", "_above", "longest_run")
+        .drop("_mean", "_n", "_above", "longest_run"),
+        asked,
     )
 
 

@@ -39,8 +39,9 @@ def keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return df.withColumn(_SERIES, F.lit(0)), [_SERIES]
 
 
-def unkeyed(df: DataFrame) -> DataFrame:
-    return df.drop(_SERIES)
+def unkeyed(df: DataFrame, asked: Sequence[str]) -> DataFrame:
+    """Drop the constant key again unless the caller had asked for it."""
+    return df if asked else df.drop(_SERIES)
 
 
 def hot_groups(df: DataFrame, group: Sequence[str], *aggs: Column, target_rows: int | None = None, limit: int = MAX_HOT_GROUPS, at_most: int | None = None) -> DataFrame | None:
