@@ -59,7 +59,7 @@ def step_candidates(
         rows.where(F.col(HOME) & (F.col(POS) >= w) & (F.col(POS) < F.col("_n") - w))
         .where(F.abs("value_before") >= 1e-10)
         .withColumn("magnitude", F.col("value_after") - F.col("value_before"))
-        .withColumn("relative_change", F.abs(F.col("magnitude") / F.col("value_before")))
+        .withColumn("relative_change", F.abs(F.col("magnitude") / F.nullif(F.col("value_before"), F.lit(0.0))))
         .where(F.col("relative_change") >= threshold)
         .withColumn("direction", F.when(F.col("magnitude") > 0, "increase").otherwise("decrease"))
         .withColumn("confidence", confidence)
@@ -249,7 +249,9 @@ def fill_gaps(
         elif method == "backward":
             fill = nxt["_v"]
         else:
-            share = (micros(ts) - micros(prev[ts])) / (micros(nxt[ts]) - micros(prev[ts]))
+            # Neighbours at one and the same time leave nothing to weight: the first of them is taken.
+            span = F.nullif(micros(nxt[ts]) - micros(prev[ts]), F.lit(0))
+            share = F.coalesce((micros(ts) - micros(prev[ts])) / span, F.lit(0.0))
             between = prev["_v"] + (nxt["_v"] - prev["_v"]) * share
             fill = F.when(nxt.isNull(), prev["_v"]).when(prev.isNotNull(), between)
     if bounded:

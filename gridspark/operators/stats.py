@@ -31,7 +31,7 @@ def describe_timeseries(df: DataFrame, keys: Sequence[str] = (), ts: str | None
     whole = F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v)
     rows = df.select(*keys, *([ts] if ts else []), whole.alias("_x"), (v.isNotNull() & ~F.isnan(v)).alias("_given"))
     n = F.count("_x")
-    scale = (n - 1) / n
+    scale = (n - 1) / F.nullif(n, F.lit(0))
     std = F.stddev_samp("_x")
     flat = std == 0
     excluded = F.sum((F.col("_given") & F.col("_x").isNull()).cast("long"))
@@ -198,7 +198,7 @@ def peak_analysis(
         base.join(share, keys, "left")
         .join(timing, keys, "left")
         .join(runs, keys, "left")
-        .withColumn("time_above_threshold_pct", F.coalesce(100.0 * F.col("_above") / F.col("_n"), F.lit(0.0)))
+        .withColumn("time_above_threshold_pct", F.coalesce(100.0 * F.col("_above") / F.nullif(F.col("_n"), F.lit(0)), F.lit(0.0)))
         .withColumns({k: F.coalesce(F.col(k), empty) for k in ("peak_hours", "peak_days", "peak_months")})
         .withColumn("max_consecutive_above_threshold", F.coalesce("longest_run", F.lit(0).cast("long")))
         .drop("_mean", "_n", "_above", "longest_run"),
