@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.functions.scalars import is_redacted
@@ -134,9 +135,35 @@ def _anchors(t: np.ndarray, entry: int | None, span: int) -> np.ndarray:
     return out
 
 
+class _Report(NamedTuple):
+    """Where chains leave a chunk: entering at the first candidate up to ``upto``, the last start is ``leave``."""
+
+    begin: int
+    upto: np.ndarray
+    leave: np.ndarray
+    final: int
+
+    def passed(self, opened: np.ndarray, span: int) -> np.ndarray:
+        """The open starts after this chunk, for starts that were open before it."""
+        at = np.minimum(np.searchsorted(self.upto, opened + span), len(self.upto) - 1)
+        # Without a candidate late enough to start a group, the open one stays open.
+        return np.where(opened + span <= self.final, self.leave[at], opened)
+
+
+def _reports(pdf: pd.DataFrame, by: str) -> Iterator[tuple[int, _Report]]:
+    for number, part in pdf.sort_values([by, "_upto"]).groupby(by, sort=True):
+        first = part.iloc[0]
+        yield number, _Report(int(first["_begin"]), part["_upto"].to_numpy(), part["_leave"].to_numpy(), int(first["_final"]))
+
+
 def _chunk_entries(rows: DataFrame, keys: list[str], span: int) -> DataFrame:
-    """The anchor that is open where each chunk begins (null for the first)."""
+    """The start that is open where each chunk begins (null for the first).
+
+    Chunks of a series are followed in sections, and sections in turn, so that one call sees about the
+    square root of the number of chunks however long the series is.
+    """
     key_fields = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
+    report_fields = "_begin long, _upto long, _leave long, _final long"
 
     def exits(pdf: pd.DataFrame) -> pd.DataFrame:
         t = np.unique(pdf["_us"].to_numpy())
@@ -149,30 +176,61 @@ def _chunk_entries(rows: DataFrame, keys: list[str], span: int) -> DataFrame:
         last = min(len(t) - 1, int(np.searchsorted(t, t[0] + span)))
         keep = [i for i in range(last + 1) if i == last or leave[i] != leave[i + 1]]
         head = pdf[[*keys, CHUNK]].iloc[[0] * len(keep)].reset_index(drop=True)
-        return head.assign(_upto=t[keep], _leave=leave[keep], _final=t[-1])
+        return head.assign(_begin=t[0], _upto=t[keep], _leave=leave[keep], _final=t[-1])
 
     reports = (
         rows.select(*keys, CHUNK, "_us")
         .groupBy(*keys, CHUNK)
-        .applyInPandas(exits, f"{key_fields}, {CHUNK} long, _upto long, _leave long, _final long")
+        .applyInPandas(exits, f"{key_fields}, {CHUNK} long, {report_fields}")
+    )
+    whole = Window.partitionBy(*keys)
+    order = F.row_number().over(whole.orderBy(CHUNK)) - 1
+    width = F.ceil(F.sqrt(F.count("*").over(whole)))
+    sections = rows.select(*keys, CHUNK).distinct().select(*keys, CHUNK, F.floor(order / width).alias("_section"))
+    reports = reports.join(sections, [*keys, CHUNK])
+
+    def section_exits(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [r for _, r in _reports(pdf, CHUNK)]
+        upto, leave = [], []
+        for i, part in enumerate(parts):
+            # Later chunks can be entered from outside only within a span of the section's begin.
+            if i and parts[i - 1].final >= parts[0].begin + span:
+                break
+            opened = part.leave
+            for later in parts[i + 1 :]:
+                opened = later.passed(opened, span)
+            upto.append(part.upto)
+            leave.append(opened)
+        upto, leave = np.concatenate(upto), np.concatenate(leave)
+        head = pdf[[*keys, "_section"]].iloc[[0] * len(upto)].reset_index(drop=True)
+        return head.assign(_begin=parts[0].begin, _upto=upto, _leave=leave, _final=parts[-1].final)
+
+    def follow(by: str):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            given = pdf["_opened"].iloc[0]
+            opened = None if pd.isna(given) else int(given)
+            numbers, entries = [], []
+            for number, part in _reports(pdf, by):
+                numbers.append(number)
+                entries.append(opened)
+                opened = int(part.leave[0] if opened is None else part.passed(np.array([opened]), span)[0])
+            head = pdf[keys].iloc[[0] * len(numbers)].reset_index(drop=True)
+            return head.assign(**{by: numbers, "_entry": pd.array(entries, dtype="Int64")})
+
+        return run
+
+    by_section = reports.groupBy(*keys, "_section").applyInPandas(section_exits, f"{key_fields}, _section long, {report_fields}")
+    opened = (
+        by_section.withColumn("_opened", F.lit(None).cast("long"))
+        .groupBy(*keys)
+        .applyInPandas(follow("_section"), f"{key_fields}, _section long, _entry long")
+        .withColumnRenamed("_entry", "_opened")
+    )
+    return (
+        reports.join(opened, [*keys, "_section"])
+        .groupBy(*keys, "_section")
+        .applyInPandas(follow(CHUNK), f"{key_fields}, {CHUNK} long, _entry long")
     )
-
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, entry = [], None
-        for chunk, part in pdf.sort_values([CHUNK, "_upto"]).groupby(CHUNK, sort=True):
-            out.append((chunk, entry))
-            upto = part["_upto"].to_numpy()
-            i = 0 if entry is None else int(np.searchsorted(upto, entry + span))
-            # No candidate of this chunk is late enough to start a group: the open one stays open.
-            if entry is None or entry + span <= part["_final"].iloc[0]:
-                entry = int(part["_leave"].iloc[min(i, len(part) - 1)])
-        head = pdf[keys].iloc[[0] * len(out)].reset_index(drop=True)
-        head[CHUNK] = [c for c, _ in out]
-        head["_entry"] = pd.array([e for _, e in out], dtype="Int64")
-        return head
-
-    # One short list per series: its chunks, with a few entry places each.
-    return reports.groupBy(*keys).applyInPandas(follow, f"{key_fields}, {CHUNK} long, _entry long")
 
 
 # --- gaps and filling -------------------------------------------------------------------------

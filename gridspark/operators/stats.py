@@ -118,6 +118,7 @@ def seasonal_pattern(df: DataFrame, period: str = "daily", keys: Sequence[str] =
         raise ValueError(f"Unknown period: {period}. Use 'daily', 'weekly', or 'annual'.")
     return (
         df.where(F.col(value).isNotNull() & F.col(ts).isNotNull())
+        .dropna(subset=list(keys) or [ts])
         .groupBy(*keys, _UNITS[period](ts).alias("unit"))
         .agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max"))
     )
@@ -137,7 +138,7 @@ def seasonal_summary(df: DataFrame, period: str = "daily", keys: Sequence[str] =
 
 def quantile_bands(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", value: str = "value") -> DataFrame:
     """Quartiles and mean by hour of day."""
-    rows = df.select(*keys, F.hour(ts).alias("hour"), value)
+    rows = df.select(*keys, F.hour(ts).alias("hour"), value).dropna(subset=[*keys, "hour"])
     return exact_quantiles(rows, [*keys, "hour"], value, {"q25": 0.25, "q75": 0.75}, [F.avg(value).alias("mean")])
 
 

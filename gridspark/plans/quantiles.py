@@ -56,12 +56,12 @@ def exact_quantiles(
     accuracy = max(accuracy, min(MAX_ACCURACY, largest // RANKED_ROWS))
     hot = F.broadcast(hot.where(F.col("_rows") > 2 * accuracy).select(*keys))
     small = rows.join(hot, keys, "left_anti").groupBy(*keys).agg(F.percentile("_v", plist).alias("_q")).select(*keys, *quantiles)
-    found = small.unionByName(_bracketed(rows.join(hot, keys), keys, probs, accuracy))
+    found = small.unionByName(_bracketed(rows, hot, keys, probs, accuracy))
     every = df.groupBy(*keys).agg(F.count("*").alias("_rows"), *aggs).drop("_rows")
     return every.join(found, keys, "left")
 
 
-def _bracketed(rows: DataFrame, keys: list[str], probs: Mapping[str, float], accuracy: int) -> DataFrame:
+def _bracketed(rows: DataFrame, hot: DataFrame, keys: list[str], probs: Mapping[str, float], accuracy: int) -> DataFrame:
     # A sketch value for p -/+ 2/accuracy is off by at most 1/accuracy, so its rank is at least
     # rows/accuracy >= 2 away from the wanted order statistics, on the right side of them.
     margin = 2.0 / accuracy
@@ -69,7 +69,7 @@ def _bracketed(rows: DataFrame, keys: list[str], probs: Mapping[str, float], acc
     for p in probs.values():
         ends += [max(0.0, p - margin), min(1.0, p + margin)]
     # One sketch row per oversized group: bounded like the list of those groups.
-    sketch = rows.groupBy(*keys).agg(
+    sketch = rows.join(hot, keys).groupBy(*keys).agg(
         F.count("*").alias("_n"),
         F.percentile_approx("_v", F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("_ends"),
     )
@@ -77,13 +77,14 @@ def _bracketed(rows: DataFrame, keys: list[str], probs: Mapping[str, float], acc
     lows = [F.col("_ends")[2 * i] for i in range(len(probs))]
     highs = [F.col("_ends")[2 * i + 1] for i in range(len(probs))]
     wanted = _any([(v >= lo) & (v <= hi) for lo, hi in zip(lows, highs)])
-    # Slots ascend with the value, so all of slot s sorts before slot s + 1.
+    # Slots ascend with the value, so all of slot s sorts before slot s + 1. A slot lies wholly inside or
+    # wholly outside the brackets; outside, its rows are counted under one null.
     slot: Column = F.lit(0)
     for lo, hi in zip(lows, highs):
         slot = slot + (v >= lo).cast("int") + (v > hi).cast("int")
     counted = (
         rows.join(F.broadcast(sketch), keys)
-        .select(*keys, "_n", slot.alias("_slot"), F.when(wanted, v).alias("_c"))
+        .select(*keys, "_n", F.coalesce(slot, F.lit(0)).alias("_slot"), F.when(wanted, v).alias("_c"))
         .groupBy(*keys, "_n", "_slot", "_c")
         .agg(F.count("*").alias("_k"))
     )
@@ -95,8 +96,7 @@ def _bracketed(rows: DataFrame, keys: list[str], probs: Mapping[str, float], acc
     )
     in_slot = Window.partitionBy(*keys, "_slot").orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        counted.where(F.col("_c").isNotNull())
-        .join(starts, [*keys, "_slot"])
+        counted.join(starts, [*keys, "_slot"])
         .withColumn("_end", F.col("_start") + F.sum("_k").over(in_slot))
         .withColumn("_first", F.col("_end") - F.col("_k"))
     )

@@ -33,9 +33,12 @@ _WHOLE = {"whole": True}
 
 
 def keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Give a single series (no keys) a constant key so that every plan has one."""
+    """Give a single series (no keys) a constant key so that every plan has one.
+
+    Rows with a null key belong to no series and are left out, as a grouping by key leaves them out.
+    """
     if keys:
-        return df, list(keys)
+        return df.dropna(subset=list(keys)), list(keys)
     return df.withColumn(_SERIES, F.lit(0)), [_SERIES]
 
 
@@ -239,8 +242,9 @@ def attach(rows: DataFrame, stats: DataFrame, keys: Sequence[str], target_rows:
     if hot is None:
         return rows.join(stats, list(keys))
     hot = hot.select(*keys, F.ceil(F.col("_rows") / F.lit(float(target))).cast("int").alias("_salts"))
+    plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType))]
     salted = rows.join(F.broadcast(hot), list(keys), "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("_salts")).cast("int"), F.lit(0))
+        "_salt", F.coalesce(F.pmod(F.xxhash64(*plain), F.col("_salts")).cast("int"), F.lit(0))
     )
     copies = stats.join(F.broadcast(hot), list(keys), "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))

@@ -62,12 +62,17 @@ def _(spark, sf):
 
 @check(
     "resample_monthly",
-    """SELECT o_orderpriority AS key, date_trunc('month', o_orderdate) AS ts, ROUND(AVG(o_totalprice), 4) AS mean, ROUND(MIN(o_totalprice), 4) AS min,
-              ROUND(MAX(o_totalprice), 4) AS max, ROUND(SUM(o_totalprice), 4) AS sum, COUNT(*) AS count FROM {orders} GROUP BY 1, 2""",
-    digits=4,
+    """WITH d AS (SELECT o_orderpriority AS key, date_trunc('month', o_orderdate) AS ts, MIN(o_totalprice) AS min, MAX(o_totalprice) AS max,
+              SUM(o_totalprice) AS sum, COUNT(*) AS count FROM {orders} GROUP BY 1, 2),
+       b AS (SELECT key, MIN(ts) AS lo, MAX(ts) AS hi FROM d GROUP BY key),
+       g AS (SELECT key, UNNEST(generate_series(lo, hi, INTERVAL 1 MONTH)) AS ts FROM b)
+       SELECT g.key, CAST(g.ts AS TIMESTAMP) AS ts, ROUND(min, 2) AS min, ROUND(max, 2) AS max,
+              ROUND(COALESCE(sum, 0.0), 2) AS sum, CAST(COALESCE(count, 0) AS BIGINT) AS count
+       FROM g LEFT JOIN d ON d.key = g.key AND d.ts = g.ts""",
+    digits=2,
 )
 def _(spark, sf):
-    return s.resample(table(spark, sf, "orders").selectExpr("o_orderpriority AS key", "o_orderdate AS ts", "o_totalprice AS value"), "month", K)
+    return s.resample(table(spark, sf, "orders").selectExpr("o_orderpriority AS key", "o_orderdate AS ts", "o_totalprice AS value"), "month", K).drop("mean")
 
 
 LINE = "SELECT CAST(date_trunc('day', l_shipdate) AS TIMESTAMP) AS ts, ROUND(SUM(l_extendedprice), 2) AS value FROM {lineitem} GROUP BY 1"
@@ -215,7 +220,7 @@ def _(spark, sf):
 
 @check(
     "upsample",
-    """WITH h AS (SELECT event_type AS key, date_trunc('hour', ts) AS ts, ROUND(AVG(value), 4) AS value FROM {events} GROUP BY 1, 2),
+    """WITH h AS (SELECT event_type AS key, date_trunc('hour', ts) AS ts, ROUND(SUM(value), 2) AS value FROM {events} GROUP BY 1, 2),
        b AS (SELECT key, MIN(ts) AS lo, MAX(ts) AS hi FROM h GROUP BY key),
        g AS (SELECT key, UNNEST(generate_series(lo, hi, INTERVAL 30 MINUTE)) AS ts FROM b),
        s AS (SELECT g.key, g.ts, h.value FROM g LEFT JOIN h ON h.key = g.key AND h.ts = g.ts),
@@ -223,10 +228,11 @@ def _(spark, sf):
                 FIRST_VALUE(CASE WHEN value IS NOT NULL THEN ts END IGNORE NULLS) OVER a AS nt, FIRST_VALUE(value IGNORE NULLS) OVER a AS nv
              FROM s WINDOW b AS (PARTITION BY key ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
                            a AS (PARTITION BY key ORDER BY ts ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-       SELECT key, CAST(ts AS TIMESTAMP) AS ts, ROUND(COALESCE(value, """ + LINEAR + """), 6) AS value FROM f""",
+       SELECT key, CAST(ts AS TIMESTAMP) AS ts, ROUND(COALESCE(value, """ + LINEAR + """), 10) AS value FROM f""",
+    digits=10,
 )
 def _(spark, sf):
-    hourly = frame(spark, sf, "SELECT event_type AS key, date_trunc('hour', ts) AS ts, ROUND(AVG(value), 4) AS value FROM {events} GROUP BY 1, 2")
+    hourly = frame(spark, sf, "SELECT event_type AS key, date_trunc('hour', ts) AS ts, ROUND(SUM(value), 2) AS value FROM {events} GROUP BY 1, 2")
     return q.upsample(hourly, K)
 
 

@@ -73,10 +73,10 @@ SEASON = {
     "annual": (ORDERS, "EXTRACT(month FROM ts)"),
 }
 for _period, (_binding, _unit) in SEASON.items():
-    _profile = f"""SELECT key, CAST({_unit} AS BIGINT) AS unit, ROUND(AVG(value), 4) AS mean, ROUND(STDDEV_SAMP(value), 4) AS std,
-       ROUND(MIN(value), 4) AS min, ROUND(MAX(value), 4) AS max FROM ({_binding}) x WHERE value IS NOT NULL GROUP BY 1, 2"""
+    _profile = f"""SELECT key, CAST({_unit} AS BIGINT) AS unit, ROUND(AVG(value), 5) AS mean, ROUND(STDDEV_SAMP(value), 5) AS std,
+       ROUND(MIN(value), 5) AS min, ROUND(MAX(value), 5) AS max FROM ({_binding}) x WHERE value IS NOT NULL GROUP BY 1, 2"""
 
-    @check(f"seasonal_pattern_{_period}", _profile, digits=4)
+    @check(f"seasonal_pattern_{_period}", _profile, digits=5)
     def _(spark, sf, period=_period, binding=_binding):
         return st.seasonal_pattern(frame(spark, sf, binding), period, K)
 
