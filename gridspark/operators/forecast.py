@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.operators.features import calendar_features, load_features, time_split
-from gridspark.plans import exact_quantiles, halo_blocks, keyed, largest_group, positions
+from gridspark.plans import exact_quantiles, halo_blocks, keyed, positions
 from gridspark.plans.skew import HOME
 
 SEED = 42
@@ -121,15 +121,24 @@ def horizon_frame(df: DataFrame, steps: int, keys: Sequence[str] = (), ts: str =
     )
 
 
-def persistence_by_horizon(df: DataFrame, test_start: str, keys: Sequence[str] = (), ts: str = "ts", value: str = "load_mw", horizons: Mapping[str, int] = HORIZONS, tiebreak: str | None = None) -> DataFrame:
-    """Persistence metrics per horizon over the test period."""
-    out = None
-    at_most = largest_group(*keyed(df, keys))
-    for label, steps in horizons.items():
-        rows = horizon_frame(df, steps, keys, ts, value, tiebreak, at_most=at_most).where(F.col(ts) >= F.lit(test_start).cast(df.schema[ts].dataType))
-        m = forecast_metrics(rows, "target", "persist", keys).withColumn("horizon", F.lit(label)).withColumn("model", F.lit("Persistence"))
-        out = m if out is None else out.unionByName(m)
-    return out
+def persistence_by_horizon(df: DataFrame, test_start: str, keys: Sequence[str] = (), ts: str = "ts", value: str = "load_mw", horizons: Mapping[str, int] = HORIZONS, tiebreak: str | None = None, target_rows: int | None = None) -> DataFrame:
+    """Persistence metrics per horizon over the test period; all horizons share one layout and one pass."""
+    asked = list(keys)
+    rows, keys = keyed(df, keys)
+    pick = list(dict.fromkeys([*keys, ts, value, *([tiebreak] if tiebreak else [])]))
+    shifts = {label: steps - 1 for label, steps in horizons.items()}
+    back = max(max(48 - s, 0) for s in shifts.values())
+    ahead = max(max(s, s - 48) for s in shifts.values())
+    rows = positions(rows.select(*pick), keys, ts, tiebreak, target_rows=target_rows)
+    rows, order = halo_blocks(rows, keys, back, ahead, target_rows)
+    pairs = []
+    for label, shift in shifts.items():
+        target = F.lead(value, shift).over(order).alias("target")
+        pairs.append(F.struct(F.lit(label).alias("horizon"), target, F.lag(value, 48 - shift).over(order).alias("persist")))
+    start = F.lit(test_start).cast(df.schema[ts].dataType)
+    cases = rows.withColumn("_pairs", F.array(*pairs)).where(F.col(HOME) & (F.col(ts) >= start))
+    cases = cases.select(*asked, F.explode("_pairs").alias("_p")).select(*asked, "_p.*")
+    return forecast_metrics(cases, "target", "persist", [*asked, "horizon"]).withColumn("model", F.lit("Persistence"))
 
 
 # Calendar columns, which describe the target time of a forecast.
