@@ -121,7 +121,7 @@ def _top(kind: str, unit: str) -> str:
         lo AS (SELECT s.key, MIN(ts) AS ts FROM s JOIN b ON b.key = s.key AND s.value = b.lo GROUP BY s.key),
         n AS (SELECT key, COUNT(*) AS above FROM a GROUP BY key)
         SELECT b.key, ROUND(b.hi, 6) AS peak_value, hi.ts AS peak_timestamp, ROUND(b.lo, 6) AS trough_value, lo.ts AS trough_timestamp,
-               ROUND(b.hi / NULLIF(b.lo, 0), 6) AS peak_to_trough_ratio, ROUND(b.mean / b.hi, 6) AS mean_to_peak_ratio, CAST(90.0 AS DOUBLE) AS threshold_percentile,
+               CASE WHEN b.lo <> 0 THEN ROUND(b.hi / b.lo, 6) WHEN b.hi <> 0 THEN CAST('Infinity' AS DOUBLE) ELSE 1.0 END AS peak_to_trough_ratio, ROUND(b.mean / b.hi, 6) AS mean_to_peak_ratio, CAST(90.0 AS DOUBLE) AS threshold_percentile,
                ROUND(t.t, 6) AS threshold_value, ROUND(100.0 * above / b.n, 6) AS time_above_threshold_pct,
                peak_hours, peak_days, peak_months, r.longest AS max_consecutive_above_threshold
         FROM b JOIN hi ON hi.key = b.key JOIN lo ON lo.key = b.key JOIN t ON t.key = b.key JOIN n ON n.key = b.key JOIN r ON r.key = b.key
