@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, hd_language, mixing, quality_rules, token_counts, toxicity
+from . import bpe, exact_dedup, hd_language, license_scan, mixing, quality_rules, token_counts, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op6_license_scan": license_scan.op6_license_scan,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_bpe": bpe.op8_bpe,
     "op9_hd_language": hd_language.op9_hd_language,
