@@ -4,17 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridspark.llm import bpe, common, exact_dedup, mixing
+from gridspark.llm import bpe, common, exact_dedup, jaccard_join, mixing, toxicity
 
 #: Toxicity, near duplicates and mixing repeat rows or drop them; encoding has a result that SQL cannot express.
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are predicted toxic go; learned from the labels of the training part."""
+    return toxicity.reject(docs, common.read(spark, sf_dir, "labels"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id stays."""
     return exact_dedup.deduplicate(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by similar word shingles the one with the smallest id stays."""
+    return jaccard_join.one_of_each(docs)
+
+
 def take_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.take(docs)
@@ -25,7 +35,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, digest=True)
 
 
-STAGES = [("exact dedup", drop_copies), ("mixing", take_mix), ("bpe", encode)]
+STAGES = [("toxicity", drop_toxic), ("exact dedup", drop_copies), ("jaccard join", drop_near_copies), ("mixing", take_mix), ("bpe", encode)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,9 @@ def keep(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(_CLEANUP)
         else:
             spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
 
 
 def attach(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, salt_by: list[str], how: str = "inner") -> DataFrame:
@@ -82,3 +84,10 @@ def fold(id_col: str | Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null ids fall in part -1."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % parts, F.lit(-1))
+
+
+def discard(kept: DataFrame) -> None:
+    """Delete a table that ``keep`` wrote and nothing needs any more."""
+    spark = kept.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(kept.kept_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

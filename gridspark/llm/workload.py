@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, hd_language, jaccard_join, license_scan, mixing, quality_rules, token_counts, toxicity
+from . import bpe, exact_dedup, hd_language, jaccard_join, kneser_ney, license_scan, mixing, quality_rules, token_counts, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_token_counts": token_counts.op4_token_counts,
+    "op5_kneser_ney": kneser_ney.op5_kneser_ney,
     "op6_license_scan": license_scan.op6_license_scan,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_bpe": bpe.op8_bpe,
