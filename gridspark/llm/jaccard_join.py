@@ -34,7 +34,7 @@ BANDS, BAND_ROWS = 4, 2
 #: Members of a chunk of a group (on average), and postings of a token compared within one task.
 CHUNK, BLOCK = 64, 500
 #: Share of documents whose tokens are counted to order tokens by frequency, and how many frequent tokens are told apart.
-ORDER_SAMPLE, ORDER_MIN, ORDER_TOKENS = 64, 4, 50_000
+ORDER_SAMPLE, ORDER_MIN, ORDER_TOKENS = 16, 3, 200_000
 _SALTS = mix(np.arange(1000, 1000 + BANDS * BAND_ROWS, dtype=np.uint64))
 
 
@@ -157,14 +157,20 @@ def _meetings(members: DataFrame, similarity: int) -> DataFrame:
     bound = (F.col("g1") < F.col("g2")) & (F.col("centre1") != F.col("centre2")) & ((F.col("own1") != F.col("own2")) | (F.col("x") == F.col("y")))
     bound = bound & (100 * F.col("most1") >= similarity * F.col("least2")) & (100 * F.col("most2") >= similarity * F.col("least1"))
     bound = bound & ((100 + similarity) * (1 + F.least("rest1", "rest2")) >= similarity * (F.col("least1") + F.col("least2")))
-    return one.join(two, ["token", "x", "y"]).filter(bound).select("g1", "centre1", "g2", "centre2").distinct()
+    met = one.join(two, ["token", "x", "y"]).filter(bound).groupBy("g1", "centre1", "g2", "centre2")
+    met = met.agg(F.count(F.lit(1)).alias("common"), F.min("least1").alias("least1"), F.min("least2").alias("least2"), F.max("most1").alias("most1"), F.max("most2").alias("most2"))
+    # Common tokens lie in both prefixes or after the one that ends first, so their number has a bound.
+    after = lambda n: F.ceil(similarity * n / 100) - 1
+    most = F.col("common") + F.greatest(after(F.col("most1")), after(F.col("most2")))
+    return met.filter((100 + similarity) * most >= similarity * (F.col("least1") + F.col("least2"))).select("g1", "centre1", "g2", "centre2")
 
 
 def _opened(pairs: DataFrame, groups: DataFrame, similarity: int) -> DataFrame:
     """The pairs of groups with a link: a member of one whose overlap with the other's union reaches the bound, and
-    that is similar to one of the other's members. ``groups``: g, sets, tokens."""
+    that is similar to one of the other's members. ``groups``: g, sets, tokens (null where there is one set)."""
     left = pairs.join(groups.select(F.col("g").alias("g1"), F.col("sets").alias("s1")), "g1")
     both = left.join(groups.select(F.col("g").alias("g2"), F.col("sets").alias("s2"), F.col("tokens").alias("t2")), "g2")
+    both = both.withColumn("t2", F.when(F.size("s2") == 1, F.get("s2", F.lit(0))).otherwise(F.col("t2")))
     reaches = lambda m: 100 * F.size(F.array_intersect(m, F.col("t2"))) >= similarity * F.size(m)
     found = F.exists("s1", lambda m: reaches(m) & F.exists("s2", lambda k: _similar(m, k, similarity)))
     return both.filter(found).select(F.col("centre1").alias("a"), F.col("centre2").alias("b")).distinct()
@@ -219,7 +225,7 @@ def links(docs: DataFrame, prints: DataFrame, id_col: str, text_col: str, words:
     inside = keep(members.select("_id", "g").join(used, "g", "left_semi"), "inside")
     some = sets(only_ids(docs, inside.select(F.col("_id").alias(id_col)).distinct(), id_col, True), id_col, text_col, words)
     groups = inside.join(some, "_id").groupBy("g").agg(F.collect_list("set").alias("sets"))
-    groups = keep(groups.withColumn("tokens", F.array_distinct(F.flatten("sets"))), "groups")
+    groups = keep(groups.withColumn("tokens", F.when(F.size("sets") > 1, F.array_distinct(F.flatten("sets")))), "groups")
     return classes, near.unionByName(keep(_opened(pairs, groups, similarity), "opened"))
 
 
