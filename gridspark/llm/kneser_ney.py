@@ -32,7 +32,7 @@ from .hashing import blocks, mix, word_hashes
 
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 #: Words of a block and of a shard, about; and pair shards for one word shard.
-BLOCK_WORDS, SHARD_WORDS, PER_WORD_SHARD = 1_500_000, 2_000_000, 8
+BLOCK_WORDS, SHARD_WORDS, PER_WORD_SHARD = 800_000, 1_500_000, 8
 BLOCK_DOCS = 60_000
 CHARS_PER_WORD = 6
 _SIDE = np.uint64(0x9FB21C651E98DF25)
