@@ -31,7 +31,7 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.concatenate([one, np.cumprod(np.full(n, p, np.uint64))]) for p in (_P, _INVERSE))
 
 
-def blocks(texts: list, most: int = 1 << 20):
+def blocks(texts: list, most: int = 1 << 18):
     """Ranges of texts that hold about ``most`` characters each; a longer text is a range of its own."""
     start, held = 0, 0
     for i, t in enumerate(texts):
@@ -51,7 +51,7 @@ def word_hashes(texts: list) -> tuple[np.ndarray, np.ndarray]:
     gap = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     start, end = edge[::2], edge[1::2]
-    up, down = _powers(max(21, int(len(data)).bit_length()))
+    up, down = _powers(max(19, int(len(data)).bit_length()))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[: len(data)])])
     hashes = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
     first = np.cumsum([1, *[len(r) + 1 for r in raw]])

@@ -32,7 +32,7 @@ from .hashing import blocks, mix, word_hashes
 
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 #: Words of a block and of a shard, about; and pair shards for one word shard.
-BLOCK_WORDS, SHARD_WORDS, PER_WORD_SHARD = 800_000, 1_500_000, 8
+BLOCK_WORDS, SHARD_WORDS, PER_WORD_SHARD = 400_000, 1_000_000, 8
 BLOCK_DOCS = 60_000
 CHARS_PER_WORD = 6
 _SIDE = np.uint64(0x9FB21C651E98DF25)
@@ -114,7 +114,7 @@ def _mapped(x: np.ndarray) -> np.ndarray:
 def _taken(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
     """(ids with other columns, texts) of blocks of documents; the text is the last column."""
     rows, texts, held = [], [], 0
-    for b in batches:
+    for b in (whole.slice(s, 500) for whole in batches for s in range(0, whole.num_rows, 500)):
         cols = [c.to_pylist() for c in b.columns]
         for i, t in enumerate(cols[-1]):
             rows.append(tuple(c[i] for c in cols[:-1]))
