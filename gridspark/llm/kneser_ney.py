@@ -12,8 +12,7 @@ additions for the pairs that the model has (pair shards). Shards are memory-mapp
 them. Nothing passes through the driver but the counts of counts.
 
 Rows: a null text is empty; every text has one end token. Words are held as 64-bit hashes, pairs within a shard as 40
-bits, so of a million unseen pairs about one per million entries of a shard is taken for a seen one; what a pair adds is stored
-in steps of 1/4096. Without training
+bits, so of a million unseen pairs about one per million entries of a shard is taken for a seen one. Without training
 texts every word has probability 1. Repeated ids and null ids are scored as rows of their own.
 """
 
@@ -38,7 +37,7 @@ BLOCK_WORDS, SHARD_WORDS, PER_WORD_SHARD = 400_000, 1_000_000, 8
 BLOCK_DOCS = 60_000
 CHARS_PER_WORD = 6
 #: Gains are stored in steps of 1 / GAIN.
-GAIN = 4096
+GAIN = 1 << 20
 _PACK, _UNPACK = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 _SIDE = np.uint64(0x9FB21C651E98DF25)
 _BLOB = "b1 binary, b2 binary, b3 binary, b4 binary"
@@ -294,7 +293,7 @@ def train(docs: DataFrame, text_col: str, grid: Grid) -> tuple[DataFrame, DataFr
         p = (n - totals.d[np.minimum(n, 3)]) / of_h[0][at] + low
         keys = _pair_keys(hs[at], ws[place])
         order = np.argsort(keys, kind="stable")
-        keys, gains = keys[order], np.clip(np.rint((np.log10(p) - np.log10(low))[order] * GAIN), 0, 65535).astype(np.uint16)
+        keys, gains = keys[order], np.clip(np.rint((np.log10(p) - np.log10(low))[order] * GAIN), 0, 2**32 - 1).astype(np.uint32)
         return pd.DataFrame([(int(key[0]), _sorted_bytes(keys), _planes(gains))], columns=["shard", "keys", "gains"])
 
     model = keep(shards.drop("n1", "n2", "n3", "n4").groupBy("shard").cogroup(answers.groupBy("shard")).applyInPandas(finish, "shard long, keys binary, gains binary"), "model")
@@ -348,7 +347,7 @@ def score(docs: DataFrame, model: DataFrame, words: DataFrame, totals: Totals, g
             return pd.DataFrame({"block": asked["block"], "x": [None] * len(asked), "b4": asked["b4"], "ids": asked["ids"]})
         if what == "pair":
             keys = _mapped(_sorted_array(known["b1"].iloc[0])) if len(known) else np.empty(0, np.uint64)
-            gains = _mapped(_unplanes(known["b2"].iloc[0], np.uint16)) if len(known) else np.empty(0, np.uint16)
+            gains = _mapped(_unplanes(known["b2"].iloc[0], np.uint32)) if len(known) else np.empty(0, np.uint32)
             for block, b1, b2 in zip(asked["block"], asked["b1"], asked["b2"]):
                 k, d = _sorted_array(b1), _unplanes(b2, np.uint16)
                 if len(keys):
