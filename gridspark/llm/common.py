@@ -52,14 +52,14 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return kept
 
 
-def attach(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, salt_by: list[str], how: str = "inner") -> DataFrame:
+def attach(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, salt_by: list[str], how: str = "inner", small: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``rows`` with ``table`` (one row per key, keys not null); ``weight`` of the table is how many rows have the key.
 
-    A measured small table is broadcast. Otherwise keys with over 1/256 of all rows (at most 256) are salted on
+    A table measured to have at most ``small`` rows is broadcast. Otherwise keys with over 1/256 of all rows (at most 256) are salted on
     both sides, so that no task gets more than that share by one key.
     """
     n, total = table.agg(F.count(F.lit(1)), F.sum(weight)).first()
-    if n <= BROADCAST_ROWS:
+    if n <= small:
         return rows.join(F.broadcast(table.drop(weight)), keys, how)
     limit = max((total or 0) // 256, 32)
     table = table.withColumn("_salts", F.ceil(F.col(weight) / limit).cast("int")).drop(weight)

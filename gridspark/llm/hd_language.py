@@ -110,7 +110,8 @@ def learn(rows: DataFrame, text_col: str, lang_col: str, dimensions: int = DIMEN
                 v = m.document(text)
                 if v is not None:
                     sums[lang] = sums.get(lang, 0) + v / np.linalg.norm(v)
-        yield pd.DataFrame({"lang": list(sums), "v": [x.tolist() for x in sums.values()]}, columns=["lang", "v"])
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "v": [x.tolist() for x in sums.values()]})
 
     known = rows.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     parts = known.select(F.col(text_col).cast("string").alias("_text"), F.col(lang_col).cast("string").alias("_lang")).mapInPandas(bundle, "lang string, v array<double>")

@@ -133,7 +133,9 @@ def _similar(a: Column, b: Column, similarity: int) -> Column:
 def _compared(pairs: DataFrame, some: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) of ids whose sets are similar."""
     left = pairs.join(some.select(F.col("_id").alias("a"), F.col("set").alias("_a")), "a")
-    both = left.join(some.select(F.col("_id").alias("b"), F.col("set").alias("_b")), "b")
+    # A centre may be compared with very many.
+    weights = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_n"))
+    both = attach(left, some.select(F.col("_id").alias("b"), F.col("set").alias("_b")).join(weights, "b"), ["b"], "_n", ["a"], small=0)
     return both.filter(_similar(F.col("_a"), F.col("_b"), similarity)).select("a", "b").distinct()
 
 

@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,8 +155,6 @@ def _forms(rows: DataFrame) -> DataFrame:
 
 
 def hash_text(s: str) -> int:
-    import xxhash
-
     return xxhash.xxh64_intdigest(s) - 2**63
 
 
@@ -169,7 +168,8 @@ def _clean_counts(rows: DataFrame, forms: frozenset) -> DataFrame:
                     found.update(f for f in ("=" + x, *(x[:k] for k in STEMS if k <= len(x))) if f in forms)
                 for f in found:
                     total[f] = total.get(f, 0) + 1
-        yield pd.DataFrame({"form": list(total), "n": list(total.values())}, columns=["form", "n"])
+        if total:
+            yield pd.DataFrame({"form": list(total), "n": list(total.values())})
 
     return rows.mapInPandas(run, "form string, n long").groupBy("form").agg(F.sum("n").alias("clean"))
 
