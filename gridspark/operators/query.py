@@ -115,7 +115,10 @@ def sort_keys(order_by: str) -> list[Column]:
 
 
 def page(df: DataFrame, order_by: str | None = None, limit: int | None = None, offset: int = 0, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Sort, skip ``offset`` rows and take ``limit``; ``tiebreak`` columns make the order total."""
+    """Sort, skip ``offset`` rows and take ``limit``; ``tiebreak`` columns make the order total.
+
+    Without an order, which rows a limit keeps is not defined.
+    """
     if order_by:
         df = df.orderBy(*sort_keys(order_by), *[F.col(t) for t in tiebreak])
     if offset:
@@ -123,10 +126,9 @@ def page(df: DataFrame, order_by: str | None = None, limit: int | None = None, o
     return df if limit is None else df.limit(limit)
 
 
-def fetch_all(df: DataFrame, where: str | Column | None = None, max_records: int | None = None) -> DataFrame:
-    """All matching rows, at most ``max_records``."""
-    out = matching(df, where)
-    return out if max_records is None else out.limit(max_records)
+def fetch_all(df: DataFrame, where: str | Column | None = None, max_records: int | None = None, order_by: str | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """All matching rows; with ``max_records`` the first of them in the order given."""
+    return page(matching(df, where), order_by, max_records, tiebreak=tiebreak)
 
 
 def with_total(df: DataFrame, page_of: DataFrame) -> DataFrame:

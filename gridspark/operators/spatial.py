@@ -39,8 +39,8 @@ class BoundsResult:
         return out
 
 
-def query_bounds(catalog: Catalog, bounds: Mapping[str, float], datasets: Sequence[str] | None = None, limit: int | None = 1000, **params) -> BoundsResult:
-    """Rows of each table whose geometry meets the bounds, ``limit`` per table."""
+def query_bounds(catalog: Catalog, bounds: Mapping[str, float], datasets: Sequence[str] | None = None, limit: int | None = None, **params) -> BoundsResult:
+    """Rows of each table whose geometry meets the bounds; with a ``limit``, that many per table."""
     datasets = list(GEO_TABLES if datasets is None else datasets)
     known = catalog.names()
     unknown = [d for d in datasets if d not in known]

@@ -74,7 +74,7 @@ def largest_group(df: DataFrame, group: Sequence[str]) -> int:
     return sizes.agg(F.max("_rows")).first()[0] or 0
 
 
-def _as_number(df: DataFrame, column: str) -> Column:
+def _as_number(df: DataFrame, column: str, skip: int = 0) -> Column:
     dtype = df.schema[column].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(column).cast("timestamp"))
@@ -82,8 +82,20 @@ def _as_number(df: DataFrame, column: str) -> Column:
         return F.unix_date(F.col(column)).cast("long")
     if isinstance(dtype, T.NumericType):
         return F.col(column).cast("double")
-    # Text and the like: an order-preserving number from the leading bytes.
-    return F.conv(F.rpad(F.hex(F.substring(F.col(column), 1, 6)), 12, "0"), 16, 10).cast("double")
+    # Text and the like: an order-preserving number from the six bytes after what all values begin with.
+    text = F.col(column).cast("string")
+    return F.conv(F.rpad(F.substring(F.hex(F.encode(text, "UTF-8")), 2 * skip + 1, 12), 12, "0"), 16, 10).cast("double")
+
+
+def _common_bytes(df: DataFrame, column: str) -> int:
+    """Leading bytes that all values of a text column share: one row with the smallest and the largest tells."""
+    if isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType, T.NumericType)):
+        return 0
+    low, high = (str(v or "").encode() for v in df.agg(F.min(column), F.max(column)).first())
+    same = 0
+    while same < min(len(low), len(high)) and low[same] == high[same]:
+        same += 1
+    return same
 
 
 def split_hot(
@@ -103,13 +115,13 @@ def split_hot(
     """
     target = target_rows or TARGET_ROWS
     keys = list(keys)
-    base = df.withColumn("_ord", _as_number(df, order).cast("double")).withColumn(
-        "_tie", _as_number(df, tiebreak).cast("double") if tiebreak else F.lit(0.0)
-    )
+    base = df.withColumn("_ord", _as_number(df, order).cast("double"))
     lo, hi = F.min("_ord").alias("_lo"), F.max("_ord").alias("_hi")
     hot = hot_groups(base, keys, lo, hi, target_rows=target, at_most=at_most)
     if hot is None:
         return df.withColumn(CHUNK, F.lit(0).cast("long").alias(CHUNK, metadata=_WHOLE))
+    tie = _as_number(df, tiebreak, _common_bytes(df, tiebreak)).cast("double") if tiebreak else F.lit(0.0)
+    base = base.withColumn("_tie", tie)
     parts = F.ceil(F.col("_rows") / F.lit(float(target)))
     cells = hot.select(*keys, "_lo", ((F.col("_hi") - F.col("_lo") + 1) / parts).alias("_width"))
     cell = F.floor((F.col("_ord") - F.col("_lo")) / F.col("_width"))

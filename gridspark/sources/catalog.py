@@ -66,7 +66,7 @@ class Catalog:
             return source
         return self.spark.read.parquet(source) if isinstance(source, str) else source()
 
-    def get(self, name: str, limit: int | None = 100, group: str | None = None, **params) -> DataFrame:
+    def get(self, name: str, limit: int | None = None, group: str | None = None, **params) -> DataFrame:
         """Rows of a named table under the query parameters of :func:`gridspark.operators.query.query`."""
         return query(self.read(name, group), limit=limit, **params)
 
@@ -75,7 +75,7 @@ class Catalog:
         rows = [(g, n, d) for g, names in self._names.items() for n, d in names.items()]
         return self.spark.createDataFrame(rows, "group_name string, alias string, dataset_id string")
 
-    def list_datasets(self, limit: int | None = 10, offset: int = 0, **params) -> DataFrame:
+    def list_datasets(self, limit: int | None = None, offset: int = 0, **params) -> DataFrame:
         """Filter, sort and page over the catalog."""
         params.setdefault("order_by", "group_name, alias")
         return query(self.entries(), limit=limit, offset=offset, **params)

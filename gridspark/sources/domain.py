@@ -78,8 +78,9 @@ class Read:
     until: str | None = None
 
 
-def _days(column: str) -> dict[str, Rule]:
-    return {"start_date": from_day(column), "end_date": to_day(column)}
+def _days(column: str, end_inclusive_day: bool = False) -> dict[str, Rule]:
+    whole_day: Rule = lambda df, v: F.to_date(F.col(column)) <= F.lit(day_literal(v))
+    return {"start_date": from_day(column), "end_date": whole_day if end_inclusive_day else to_day(column)}
 
 
 _LTDS_AREA = {"licence_area": area("licencearea")}
@@ -178,12 +179,12 @@ class Domain:
     def get_poles(self, voltage: str = "hv", **params) -> DataFrame:
         return query(self.catalog.read(f"{voltage}_poles", "gis"), **params)
 
-    def get_circuit_data(self, voltage: str = "132kv", granularity: str = "monthly", circuit_id: str | None = None, start_date=None, end_date=None, where=None, **params) -> DataFrame:
+    def get_circuit_data(self, voltage: str = "132kv", granularity: str = "monthly", circuit_id: str | None = None, start_date=None, end_date=None, end_inclusive_day: bool = False, where=None, **params) -> DataFrame:
         if voltage == "33kv" and granularity == "half_hourly":
-            raise ValueError("33kV data is only available at monthly granularity. Use granularity='monthly' for 33kV circuits.")
+            raise ValueError("33 kV circuits have monthly rows only; ask for granularity='monthly'")
         df = self.catalog.read(f"{voltage}_{granularity}", "powerflow")
         given = {"circuit_id": circuit_id, "start_date": start_date, "end_date": end_date}
-        return query(df, where=merge_where(_conditions(df, {"circuit_id": equals("circuit_id"), **_days("date")}, given), where), **params)
+        return query(df, where=merge_where(_conditions(df, {"circuit_id": equals("circuit_id"), **_days("date", end_inclusive_day)}, given), where), **params)
 
     def get_circuit_timeseries(self, voltage: str = "132kv", granularity: str = "monthly", circuit_id: str | None = None, **params) -> DataFrame:
         return self._timeseries(f"{voltage}_{granularity}", "circuit_id", circuit_id, **params)
@@ -207,15 +208,14 @@ class Domain:
         parts = [f"{key}_{a}" for a in _AREAS if f"{key}_{a}" in names]
         if parts:
             raise ValueError(
-                f"Dataset '{key}' not found. This data is only available split by licence area. "
-                f"Please specify licence_area parameter. Available: {', '.join(parts)}"
+                f"{key!r} is kept as one table per licence area; name one with licence_area (tables: {', '.join(parts)})"
             )
         return key, False
 
-    def _timeseries(self, key: str, id_column: str, id_value=None, licence_area: str | None = None, start_date=None, end_date=None, where=None, order_by: str | None = "timestamp", tiebreak: Sequence[str] = (), **params) -> DataFrame:
+    def _timeseries(self, key: str, id_column: str, id_value=None, licence_area: str | None = None, start_date=None, end_date=None, where=None, order_by: str | None = None, end_inclusive_day: bool = False, tiebreak: Sequence[str] = (), **params) -> DataFrame:
         name, split = self._route(key, licence_area)
         df = self.catalog.read(name, "powerflow")
-        rules = {id_column: equals(id_column), "licence_area": equals("licence_area"), **_days("timestamp")}
+        rules = {id_column: equals(id_column), "licence_area": equals("licence_area"), **_days("timestamp", end_inclusive_day)}
         given = {
             id_column: id_value,
             "licence_area": None if split else licence_area,
@@ -252,7 +252,16 @@ class Domain:
         kind = transformer_type(parse_voltage("s.kv")).alias("transformer_type")
         return kinds.select("substation", "licence_area", kind).where(F.col("transformer_type").isNotNull()).distinct()
 
-    def get_half_hourly_timeseries(self, substation: str | None = None, granularity: str = "half_hourly", licence_area: str | None = None, start_date=None, end_date=None, where=None) -> DataFrame:
+    def substation_area(self, substation: str) -> str | None:
+        """Licence area of a substation, from any of its rows: the 2-winding table first. Looks at one row."""
+        a, b = self.catalog.read("table_2a", "ltds"), self.catalog.read("table_2b", "ltds")
+        two = a.where(F.col("lv_substation") == F.lit(substation)).select(F.lit(0).alias("rank"), detect_licence_area(a).alias("area"))
+        either = (F.col("lv_substation_1") == F.lit(substation)) | (F.col("lv_substation_2") == F.lit(substation))
+        three = b.where(either).select(F.lit(1).alias("rank"), detect_licence_area(b).alias("area"))
+        row = two.unionByName(three).where(F.col("area").isNotNull()).orderBy("rank", "area").first()
+        return row["area"] if row else None
+
+    def get_half_hourly_timeseries(self, substation: str | None = None, granularity: str = "half_hourly", licence_area: str | None = None, start_date=None, end_date=None, end_inclusive_day: bool = False, where=None) -> DataFrame:
         """Series of all transformers of a substation, or of every substation when none is named.
 
         Ids come from the monthly tables by substation name; the series tables are reduced to them by a
@@ -260,18 +269,13 @@ class Domain:
         """
         types = self.substation_types(substation)
         if substation is not None and licence_area is None:
-            # Looks at one row: which area's tables to read.
-            row = self.substation_types(substation).where(F.col("licence_area").isNotNull()).orderBy("licence_area").first()
-            if row is None:
-                raise ValueError(
-                    f"Could not determine licence area for substation '{substation}'. "
-                    "Please specify licence_area explicitly (EPN, SPN, or LPN)."
-                )
-            licence_area = row["licence_area"]
+            licence_area = self.substation_area(substation)
+            if licence_area is None:
+                raise ValueError(f"no row of {substation!r} tells its licence area; give licence_area (EPN, SPN or LPN)")
         parts = []
         wanted = None
         for kind in ("grid", "primary"):
-            monthly = self._timeseries(f"{kind}_monthly", "transformer_id", licence_area=licence_area, order_by=None)
+            monthly = self._timeseries(f"{kind}_monthly", "transformer_id", licence_area=licence_area)
             names = types.where(F.col("transformer_type") == kind).select(F.col("substation").alias("ltds_name"))
             ids = monthly.join(names, "ltds_name", "left_semi").select("tx_id").where(F.col("tx_id").cast("string") != "")
             wanted = ids if wanted is None else wanted.union(ids)
@@ -279,7 +283,7 @@ class Domain:
         for kind in ("grid", "primary"):
             key = f"{kind}_{granularity}"
             for name_area in self._areas_of(key, licence_area):
-                parts.append(self._timeseries(key, "transformer_id", licence_area=name_area, start_date=start_date, end_date=end_date, where=where, order_by=None))
+                parts.append(self._timeseries(key, "transformer_id", licence_area=name_area, start_date=start_date, end_date=end_date, end_inclusive_day=end_inclusive_day, where=where))
         series = parts[0]
         for p in parts[1:]:
             series = series.unionByName(p, allowMissingColumns=True)

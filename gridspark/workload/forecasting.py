@@ -181,9 +181,12 @@ TRAIN_END, TEST_START = "2024-01-24", "2024-01-24"
 
 def _scored(spark, sf, pipeline):
     train, test = ft.time_split(model_rows(spark, sf), TRAIN_END, TEST_START)
-    # Several training passes read these rows; keep them.
-    train = train.persist()
-    model = pipeline(FEATURES).fit(train)
+    # Several training passes read these rows; they are kept while the model is fitted.
+    kept = train.persist()
+    try:
+        model = pipeline(FEATURES).fit(kept)
+    finally:
+        kept.unpersist()
     return model, train, test
 
 
@@ -201,7 +204,7 @@ def _(spark, sf):
 
 @check("gradient_boosting_bands")
 def _(spark, sf):
-    model, train, test = _scored(spark, sf, lambda f: fc.boosting_pipeline(f, rounds=30))
+    model, train, test = _scored(spark, sf, fc.boosting_pipeline)
     return fc.residual_bands(fc.predict(model, train), fc.predict(model, test)).select("ts", "load_mw", "forecast", "p10", "p50", "p90")
 
 

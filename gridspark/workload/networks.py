@@ -101,13 +101,13 @@ def _(spark, sf):
     return nw.supply_node(nw.node_table(frame(spark, sf, UNITS)))
 
 
-# Model classes as tables: parts are transformers, order lines their ends, nations voltage levels, regions substations.
+# Model classes as tables: orders are transformers, their lines the ends, nations voltage levels, regions substations.
 MODEL = {
-    "units": "SELECT CAST(p_partkey AS STRING) AS id, p_name AS name, CASE WHEN p_partkey % 5 = 0 THEN 'none' ELSE 'VL' || CAST(p_size % 25 AS STRING) END AS container FROM {part}",
-    "ends": """SELECT CAST(l_partkey AS STRING) AS transformer_id, CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS id, l_orderkey * 10 + l_linenumber AS end_number,
+    "units": "SELECT CAST(o_orderkey AS STRING) AS id, o_orderpriority AS name, CASE WHEN o_custkey % 5 = 0 THEN 'none' ELSE 'VL' || CAST(o_custkey % 25 AS STRING) END AS container FROM {orders}",
+    "ends": """SELECT CAST(l_orderkey AS STRING) AS transformer_id, CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS id, l_linenumber * 10000000000 + l_partkey * 10000 + l_suppkey AS end_number,
         CASE WHEN l_quantity < 3 THEN 0.0D ELSE l_quantity END AS rated_s_mva, l_extendedprice AS rated_u_kv, l_discount AS r_ohm,
         CASE WHEN l_tax = 0 THEN NULL ELSE l_tax END AS x_ohm, CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE 'BV' || CAST(l_suppkey % 4 AS STRING) END AS base_voltage_id
-        FROM {lineitem} WHERE l_shipdate < TIMESTAMP'1996-01-01'""",
+        FROM {lineitem}""",
     "volts": "SELECT 'BV' || CAST(r_regionkey AS STRING) AS id, r_regionkey * 11.0D AS base_kv FROM {region}",
     "subs": "SELECT 'S' || CAST(r_regionkey AS STRING) AS id, r_name AS name FROM {region}",
     "levels": "SELECT 'VL' || CAST(n_nationkey AS STRING) AS id, 'S' || CAST(n_regionkey AS STRING) AS substation_id FROM {nation}",

@@ -48,7 +48,7 @@ def _(spark, sf):
     "resample_daily",
     """WITH s AS (""" + IRREGULAR + """),
        d AS (SELECT key, date_trunc('day', ts) AS ts, AVG(value) AS mean, MIN(value) AS min, MAX(value) AS max, SUM(value) AS sum, COUNT(value) AS count
-             FROM s WHERE EXTRACT(day FROM ts) <> 9 GROUP BY 1, 2),
+             FROM s GROUP BY 1, 2),
        b AS (SELECT key, MIN(ts) AS lo, MAX(ts) AS hi FROM d GROUP BY key),
        g AS (SELECT key, UNNEST(generate_series(lo, hi, INTERVAL 1 DAY)) AS ts FROM b)
        SELECT g.key, CAST(g.ts AS TIMESTAMP) AS ts, ROUND(mean, 6) AS mean, ROUND(min, 6) AS min, ROUND(max, 6) AS max,
@@ -56,8 +56,7 @@ def _(spark, sf):
        FROM g LEFT JOIN d ON d.key = g.key AND d.ts = g.ts""",
 )
 def _(spark, sf):
-    # Leaving out one day of the month makes an empty bucket.
-    return s.resample(frame(spark, sf, IRREGULAR).where(F.dayofmonth("ts") != 9), "day", K)
+    return s.resample(frame(spark, sf, IRREGULAR), "day", K)
 
 
 @check(
@@ -105,20 +104,20 @@ def _(spark, sf):
     return q.summarize_flow_balance(frame(spark, sf, LINE), frame(spark, sf, TRAFO), 0.2)
 
 
-WX = "SELECT date_trunc('hour', ts) AS ts, ROUND(AVG(value), 4) AS temperature FROM {events} WHERE event_type = 'click' GROUP BY 1"
+WX = "SELECT date_trunc('hour', ts) AS ts, ROUND(AVG(value), 4) AS temperature FROM {events} GROUP BY 1"
 
 
 @check(
     "feature_left_join",
     f"""WITH l AS (SELECT event_type AS key, event_id, ts, value FROM {{events}}), w AS ({WX}),
-        j AS (SELECT l.*, w.temperature AS t FROM l LEFT JOIN w ON w.ts = date_trunc('hour', l.ts) AND EXTRACT(hour FROM w.ts) % 3 = 0)
+        j AS (SELECT l.*, w.temperature AS t FROM l LEFT JOIN w ON w.ts = date_trunc('hour', l.ts))
         SELECT key, event_id, ts, ROUND(value, 6) AS value,
                ROUND(LAST_VALUE(t IGNORE NULLS) OVER ({P} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS temperature
         FROM j""",
 )
 def _(spark, sf):
     load = frame(spark, sf, "SELECT event_type AS key, event_id, ts, value, date_trunc('hour', ts) AS hour FROM {events}")
-    weather = frame(spark, sf, WX).where(F.hour("ts") % 3 == 0).withColumnRenamed("ts", "hour")
+    weather = frame(spark, sf, WX).withColumnRenamed("ts", "hour")
     return s.join_features(load, weather, K, "ts", ["hour"], TB).drop("hour")
 
 

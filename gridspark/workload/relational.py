@@ -66,9 +66,9 @@ def _(spark, sf):
     return qy.query(table(spark, sf, "orders"), select="o_orderkey", order_by="o_orderdate", limit=50, offset=120, tiebreak=["o_orderkey"])
 
 
-@check("bounded_fetch", "SELECT o_orderkey, o_custkey FROM {orders} WHERE o_orderpriority = '2-HIGH'")
+@check("bounded_fetch", "SELECT o_orderkey, o_custkey FROM {orders} WHERE o_orderpriority = '2-HIGH' ORDER BY o_orderdate DESC, o_orderkey LIMIT 200")
 def _(spark, sf):
-    return qy.fetch_all(table(spark, sf, "orders"), "o_orderpriority = '2-HIGH'").select("o_orderkey", "o_custkey")
+    return qy.fetch_all(table(spark, sf, "orders"), "o_orderpriority = '2-HIGH'", 200, "-o_orderdate", ["o_orderkey"]).select("o_orderkey", "o_custkey")
 
 
 @check("page_with_total", "SELECT o_orderkey, (SELECT COUNT(*) FROM {orders} WHERE o_orderstatus = 'P') AS total_count FROM {orders} WHERE o_orderstatus = 'P' ORDER BY o_orderkey LIMIT 20")
@@ -141,14 +141,17 @@ def _(spark, sf):
     return pr.pivot(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", "o_totalprice", ["F", "O", "P", "X"])
 
 
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
 @check(
     "pivot_by_time",
-    "SELECT date_trunc('hour', ts) AS hour, " + ", ".join(f"ROUND(SUM(CASE WHEN event_type = '{s}' THEN value END), 4) AS \"{s}\"" for s in ("click", "view")) + " FROM {events} GROUP BY 1",
+    "SELECT date_trunc('hour', ts) AS hour, " + ", ".join(f"ROUND(SUM(CASE WHEN event_type = '{s}' THEN value END), 4) AS \"{s}\"" for s in EVENT_TYPES) + " FROM {events} GROUP BY 1",
     digits=4,
 )
 def _(spark, sf):
     rows = table(spark, sf, "events").withColumn("hour", F.date_trunc("hour", "ts"))
-    return pr.pivot(rows, "hour", "event_type", "value", ["click", "view"], how="sum", fill=None)
+    return pr.pivot(rows, "hour", "event_type", "value", list(EVENT_TYPES), how="sum", fill=None)
 
 
 @check("value_counts", "SELECT p_brand, COUNT(*) AS count FROM {part} GROUP BY 1 ORDER BY count DESC, p_brand LIMIT 10")

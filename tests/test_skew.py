@@ -125,3 +125,9 @@ def test_growing_a_series_adds_rows_not_tasks_worth_of_state(rows):
     plan = positions(rows, K, "ts", "id", target_rows=100)._jdf.queryExecution().optimizedPlan().toString()
     numbered = [line for line in plan.splitlines() if "row_number()" in line]
     assert numbered and all(CHUNK in line for line in numbered)
+
+
+def test_text_ties_with_a_common_beginning_are_cut(spark):
+    rows = spark.range(5000).select(F.lit("k").alias("key"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), F.format_string("event-%06d", "id").alias("name"))
+    sizes = [r["count"] for r in split_hot(rows, ["key"], "ts", "name", target_rows=100).groupBy("_chunk").count().collect()]
+    assert sum(sizes) == 5000 and max(sizes) <= 400

@@ -130,9 +130,9 @@ def test_whole_end_day_is_an_option(spark):
 
 def test_routing_errors(spark):
     d = Domain(Catalog(spark))
-    with pytest.raises(ValueError, match="split by licence area.*33kv_half_hourly_epn, 33kv_half_hourly_spn"):
+    with pytest.raises(ValueError, match="one table per licence area.*33kv_half_hourly_epn, 33kv_half_hourly_spn"):
         d.get_circuit_timeseries("33kv", "half_hourly")
-    with pytest.raises(ValueError, match="only available at monthly"):
+    with pytest.raises(ValueError, match="monthly rows only"):
         d.get_circuit_data("33kv", "half_hourly")
     with pytest.raises(ValueError, match="Unknown dataset"):
         d.get_circuit_timeseries("33kv", "half_hourly", licence_area="LPN")
@@ -159,7 +159,7 @@ def test_substation_pipeline(spark):
     out = d.get_half_hourly_timeseries("Alpha", start_date="2024-01-02")
     assert sorted((r["tx_id"], r["timestamp"].day) for r in out.collect()) == [("t1", 2), ("t1", 3)]
     assert d.get_half_hourly_timeseries("Nowhere", licence_area="SPN").count() == 0
-    with pytest.raises(ValueError, match="Could not determine licence area"):
+    with pytest.raises(ValueError, match="tells its licence area"):
         d.get_half_hourly_timeseries("Beta")
 
 
@@ -205,3 +205,20 @@ def test_geojson_export(spark, tmp_path):
     assert found[1]["geometry"] is None
     with pytest.raises(ValueError, match="Unknown dimensions"):
         io.geojson_features(df, "4d")
+
+
+def test_area_comes_from_rows_without_nodes(spark):
+    """A substation whose rows tell its area but no node has no series, which is no error; end days may be whole."""
+    catalog = Catalog(spark)
+    columns = "licencearea string, lv_substation string, hv_substation string, lv_node string, voltage_lv string"
+    catalog.register("table_2a", spark.createDataFrame([("South Eastern Power Networks (SPN)", "Gamma", "G", "", None)], columns))
+    b = "licencearea string, hv_substation string, lv_substation_1 string, lv_substation_2 string, lv_node_1 string, lv_node_2 string, voltage_lv_1 string, voltage_lv_2 string"
+    catalog.register("table_2b", spark.createDataFrame([], b))
+    rows = spark.createDataFrame([("t1", "Alpha", "SPN", datetime(2024, 1, 1, h)) for h in (0, 12)], "tx_id string, ltds_name string, licence_area string, timestamp timestamp")
+    for name in ("grid_monthly", "primary_monthly", "grid_half_hourly", "primary_half_hourly_spn", "primary_half_hourly_epn"):
+        catalog.register(name, rows)
+    d = Domain(catalog)
+    assert d.substation_area("Gamma") == "SPN"
+    assert d.get_half_hourly_timeseries("Gamma").count() == 0
+    assert d.get_transformer_timeseries("grid", end_date="2024-01-01").count() == 1
+    assert d.get_transformer_timeseries("grid", end_date="2024-01-01", end_inclusive_day=True).count() == 2
