@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
@@ -120,20 +121,32 @@ def parse_ring(text: str) -> list[tuple[float, float]]:
 
 def _edges(ring: Ring) -> list[tuple[float, float, float, float]]:
     closed = list(ring) if tuple(ring[0]) == tuple(ring[-1]) else [*ring, ring[0]]
-    return [(*a, *b) for a, b in zip(closed, closed[1:])]
+    return [(*map(float, a), *map(float, b)) for a, b in zip(closed, closed[1:])]
+
+
+def _constant(rows: Sequence[Sequence[float]], names: Sequence[str]) -> Column:
+    """Rows of numbers as one constant array of structs: the plan does not grow with their number."""
+    fields = ",".join(f"{n}:double" for n in names)
+    return F.from_json(F.lit(json.dumps([dict(zip(names, r)) for r in rows])), f"array<struct<{fields}>>")
+
+
+def _box(ring: Ring) -> tuple[float, float, float, float]:
+    xs, ys = [float(p[0]) for p in ring], [float(p[1]) for p in ring]
+    return min(xs), max(xs), min(ys), max(ys)
 
 
 def point_in_ring(lon: Column, lat: Column, ring: Ring) -> Column:
     """Even-odd test of a point, after a bounding-box test that a scan can use."""
-    xs, ys = [p[0] for p in ring], [p[1] for p in ring]
-    box = lon.between(min(xs), max(xs)) & lat.between(min(ys), max(ys))
-    crossings = F.lit(0)
-    for x1, y1, x2, y2 in _edges(ring):
-        if y1 == y2:
-            continue
-        at = (lat - y1) * ((x2 - x1) / (y2 - y1)) + x1
-        crossings = crossings + F.when(((lat < y1) != (lat < y2)) & (lon < at), 1).otherwise(0)
-    return box & (crossings % 2 == 1)
+    west, east, south, north = _box(ring)
+    # Level edges are never crossed.
+    slopes = [(x1, y1, y2, (x2 - x1) / (y2 - y1)) for x1, y1, x2, y2 in _edges(ring) if y1 != y2]
+
+    def crossed(e: Column) -> Column:
+        at = (lat - e["y1"]) * e["slope"] + e["x1"]
+        return F.when(((lat < e["y1"]) != (lat < e["y2"])) & (lon < at), 1).otherwise(0)
+
+    crossings = F.aggregate(_constant(slopes, ("x1", "y1", "y2", "slope")), F.lit(0), lambda acc, e: acc + crossed(e))
+    return lon.between(west, east) & lat.between(south, north) & (crossings % 2 == 1)
 
 
 def geometry_paths(geometry: Column) -> Column:
@@ -161,27 +174,24 @@ def _segments(path: Column) -> Column:
     return F.arrays_zip(F.slice(path, 1, F.greatest(n - 1, F.lit(0))).alias("a"), F.slice(path, 2, F.greatest(n - 1, F.lit(0))).alias("b"))
 
 
-def _crosses(seg: Column, edge) -> Column:
-    x1, y1, x2, y2 = (F.lit(float(v)) for v in edge)
+def _crosses(seg: Column, edge: Column) -> Column:
+    x1, y1, x2, y2 = (edge[n] for n in ("x1", "y1", "x2", "y2"))
     ax, ay, bx, by = seg["a"][0], seg["a"][1], seg["b"][0], seg["b"][1]
     return (_side(x1, y1, x2, y2, ax, ay) != _side(x1, y1, x2, y2, bx, by)) & (
         _side(ax, ay, bx, by, x1, y1) != _side(ax, ay, bx, by, x2, y2)
     )
 
 
-def intersects_ring(geometry: Column, ring: Ring) -> Column:
-    """Whether a geometry meets a ring.
+def _any_point(paths: Column, test) -> Column:
+    return F.exists(paths, lambda p: F.exists(p, test))
 
-    A vertex inside the ring, an edge across it, or (for areas) the ring lying wholly inside.
-    """
-    edges = _edges(ring)
-    px, py = (F.lit(float(v)) for v in ring[0])
 
-    def any_cross(seg: Column) -> Column:
-        hit = F.lit(False)
-        for e in edges:
-            hit = hit | _crosses(seg, e)
-        return hit
+def _any_segment(paths: Column, test) -> Column:
+    return F.exists(paths, lambda p: F.exists(_segments(p), test))
+
+
+def _around(paths: Column, px: Column, py: Column) -> Column:
+    """Whether the paths, taken as rings of an area, have the point inside."""
 
     def ray(seg: Column) -> Column:
         ax, ay, bx, by = seg["a"][0], seg["a"][1], seg["b"][0], seg["b"][1]
@@ -191,14 +201,40 @@ def intersects_ring(geometry: Column, ring: Ring) -> Column:
     def count(path: Column) -> Column:
         return F.aggregate(_segments(path), F.lit(0), lambda acc, s: acc + ray(s))
 
-    def meets(g: Column) -> Column:
-        area = F.get_json_object(g, "$.type").isin("Polygon", "MultiPolygon")
+    return F.aggregate(paths, F.lit(0), lambda acc, p: acc + count(p)) % 2 == 1
+
+
+def _overlaps(paths: Column, axis: int, low: float, high: float) -> Column:
+    """Whether the extent of the paths along an axis meets an interval."""
+    along = F.flatten(F.transform(paths, lambda p: F.transform(p, lambda c: c[axis])))
+    return (F.array_max(along) >= low) & (F.array_min(along) <= high)
+
+
+def _is_area(geometry: Column) -> Column:
+    return F.get_json_object(geometry, "$.type").isin("Polygon", "MultiPolygon")
 
+
+def intersects_ring(geometry: Column, ring: Ring) -> Column:
+    """Whether a geometry meets a ring.
+
+    A vertex inside the ring, an edge across it, or (for areas) the ring lying wholly inside. Bounding
+    boxes are compared first: of the geometry, then of each of its segments.
+    """
+    west, east, south, north = _box(ring)
+    edges = _constant(_edges(ring), ("x1", "y1", "x2", "y2"))
+    px, py = (F.lit(float(v)) for v in ring[0])
+
+    def across(seg: Column) -> Column:
+        a, b = seg["a"], seg["b"]
+        near = (F.greatest(a[0], b[0]) >= west) & (F.least(a[0], b[0]) <= east)
+        near = near & (F.greatest(a[1], b[1]) >= south) & (F.least(a[1], b[1]) <= north)
+        return near & F.exists(edges, lambda e: _crosses(seg, e))
+
+    def meets(g: Column) -> Column:
         def tests(paths: Column) -> Column:
-            vertex = F.exists(paths, lambda p: F.exists(p, lambda c: point_in_ring(c[0], c[1], ring)))
-            crossing = F.exists(paths, lambda p: F.exists(_segments(p), any_cross))
-            around = F.aggregate(paths, F.lit(0), lambda acc, p: acc + count(p)) % 2 == 1
-            return vertex | crossing | (area & around)
+            box = _overlaps(paths, 0, west, east) & _overlaps(paths, 1, south, north)
+            vertex = _any_point(paths, lambda c: point_in_ring(c[0], c[1], ring))
+            return box & (vertex | _any_segment(paths, across) | (_is_area(g) & _around(paths, px, py)))
 
         return _once(geometry_paths(g), tests)
 
@@ -225,19 +261,52 @@ def great_circle_metres(lon1: Column, lat1: Column, lon2: Column, lat2: Column)
     return 2 * EARTH_RADIUS * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
+def near_point(geometry: Column, lon: float, lat: float, metres: float, reach: float, wide: float | None) -> Column:
+    """Whether any part of a geometry lies within ``metres`` of a point; an area that holds the point does.
+
+    The place of a segment nearest to the point is found on a plane around the point, its distance on
+    the sphere. ``reach`` and ``wide`` are the half sides of the box in degrees (no ``wide``: any longitude).
+    """
+    x0, y0, shrink = F.lit(lon), F.lit(lat), math.cos(math.radians(lat))
+
+    def near(x: Column, y: Column) -> Column:
+        return great_circle_metres(x, y, x0, y0) <= metres
+
+    def segment(seg: Column) -> Column:
+        a, b = seg["a"], seg["b"]
+        ax, ay = (a[0] - lon) * shrink, a[1] - lat
+        dx, dy = (b[0] - a[0]) * shrink, b[1] - a[1]
+        share = F.coalesce(-(ax * dx + ay * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))
+        share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))
+        return near(a[0] + share * (b[0] - a[0]), a[1] + share * (b[1] - a[1]))
+
+    def meets(g: Column) -> Column:
+        def tests(paths: Column) -> Column:
+            box = _overlaps(paths, 1, lat - reach, lat + reach)
+            if wide is not None:
+                box = box & _overlaps(paths, 0, lon - wide, lon + wide)
+            vertex = _any_point(paths, lambda c: near(c[0], c[1]))
+            return box & (vertex | _any_segment(paths, segment) | (_is_area(g) & _around(paths, x0, y0)))
+
+        return _once(geometry_paths(g), tests)
+
+    return F.coalesce(_once(geometry, meets), F.lit(False))
+
+
 def within_distance(df: DataFrame, distance: tuple[float, float, float] | str) -> Column:
-    """Rows within ``lon, lat, metres``; a bounding box goes first."""
+    """Rows within ``lon, lat, metres``, by any part of their geometry; a bounding box goes first."""
     lon, lat, metres = (float(x) for x in (distance.split(",") if isinstance(distance, str) else distance))
-    at = _lonlat(df)
-    geometry = None if at else resolve_geometry(df)
-    x, y = at if at else (point_lon(geometry), point_lat(geometry))
     reach = math.degrees(metres / EARTH_RADIUS) * 1.001
-    box = y.between(lat - reach, lat + reach)
-    top = abs(lat) + reach
+    top, wide = abs(lat) + reach, None
     if top < 89.9:
-        wide = math.degrees(2 * math.asin(min(1.0, math.sin(math.radians(min(reach, 180)) / 2) / math.cos(math.radians(top))))) * 1.001
+        half = math.degrees(2 * math.asin(min(1.0, math.sin(math.radians(min(reach, 180)) / 2) / math.cos(math.radians(top))))) * 1.001
         # A box over the date line is left to the distance itself.
-        if -180 <= lon - wide and lon + wide <= 180:
-            box = box & x.between(lon - wide, lon + wide)
-    near = great_circle_metres(x, y, F.lit(lon), F.lit(lat)) <= metres
-    return F.coalesce(box & near, F.lit(False))
+        wide = half if -180 <= lon - half and lon + half <= 180 else None
+    at = _lonlat(df)
+    if at is None:
+        return near_point(resolve_geometry(df), lon, lat, metres, reach, wide)
+    x, y = at
+    box = y.between(lat - reach, lat + reach)
+    if wide is not None:
+        box = box & x.between(lon - wide, lon + wide)
+    return F.coalesce(box & (great_circle_metres(x, y, F.lit(lon), F.lit(lat)) <= metres), F.lit(False))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from gridspark.functions import geo
@@ -86,6 +88,26 @@ def _(spark, sf):
     return query(frame(spark, sf, SITES), select="c_custkey", distance="0.1,51.5,60000")
 
 
+def _near_sql(lon: str, lat: str) -> str:
+    return f"{HAVERSINE.replace('51.5 - lat', f'51.5 - ({lat})').replace('radians(lat)', f'radians({lat})').replace('0.1 - lon', f'0.1 - ({lon})')} <= 60000"
+
+
+# Lines of some 30 km: the share of a line that comes nearest, on a plane around the point.
+_ALONG = "(0.1 - lon) * 0.3 * power(cos(radians(51.5)), 2) + (51.5 - lat) * 0.2"
+_SHARE = f"greatest(0, least(1, ({_ALONG}) / (0.09 * power(cos(radians(51.5)), 2) + 0.04)))"
+
+
+@check(
+    "distance_filter_lines",
+    f"SELECT c_custkey FROM (SELECT *, {_SHARE} AS share FROM ({SITES_SQL}) s) t WHERE {_near_sql('lon + 0.3 * share', 'lat + 0.2 * share')}",
+)
+def _(spark, sf):
+    ends = F.array(F.array("lon", "lat"), F.array(F.col("lon") + 0.3, F.col("lat") + 0.2))
+    shape = F.to_json(F.struct(F.lit("LineString").alias("type"), ends.alias("coordinates")))
+    rows = frame(spark, sf, SITES).select("c_custkey", shape.alias("geo_shape"))
+    return query(rows, select="c_custkey", distance="0.1,51.5,60000")
+
+
 @check("great_circle_distance", f"SELECT c_custkey, ROUND({HAVERSINE}, 3) AS metres FROM ({SITES_SQL}) s", digits=3)
 def _(spark, sf):
     metres = geo.great_circle_metres(F.col("lon"), F.col("lat"), F.lit(0.1), F.lit(51.5))
@@ -114,6 +136,35 @@ def _(spark, sf):
     return query(areas(spark, sf), select="c_custkey", polygon=geo.bounds_ring(**BOUNDS))
 
 
+# The place of a square nearest to a point: the point itself where it is inside.
+_SQUARE = [f"greatest({c} - 0.0505, least({c} + 0.0505, {at}))" for c, at in (("lon", "0.1"), ("lat", "51.5"))]
+
+
+@check("distance_filter_areas", f"SELECT c_custkey FROM ({SITES_SQL}) s WHERE {_near_sql(*_SQUARE)}")
+def _(spark, sf):
+    return query(areas(spark, sf), select="c_custkey", distance="0.1,51.5,60000")
+
+
+def _bays(points: int) -> list[tuple[float, float]]:
+    """A closed ring with bays, as an area's outline has."""
+    around = [2 * math.pi * i / points for i in range(points)]
+    ring = [(round((1 + 0.3 * math.sin(9 * a)) * math.cos(a), 6), round(51.5 + (1 + 0.3 * math.sin(9 * a)) * math.sin(a), 6)) for a in around]
+    return [*ring, ring[0]]
+
+
+LARGE_RING = _bays(2000)
+_LARGE_EDGES = ", ".join(f"({x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE)" for (x1, y1), (x2, y2) in zip(LARGE_RING, LARGE_RING[1:]) if y1 != y2)
+
+
+@check(
+    "polygon_filter_large",
+    f"""SELECT c_custkey FROM ({SITES_SQL}) s JOIN (VALUES {_LARGE_EDGES}) e(x1, y1, x2, y2)
+       ON (lat < y1) <> (lat < y2) AND lon < (lat - y1) * ((x2 - x1) / (y2 - y1)) + x1 GROUP BY c_custkey HAVING COUNT(*) % 2 = 1""",
+)
+def _(spark, sf):
+    return query(frame(spark, sf, SITES), select="c_custkey", polygon=LARGE_RING)
+
+
 def spatial_catalog(spark, sf) -> Catalog:
     catalog = Catalog(spark)
     sites = frame(spark, sf, SITES)
