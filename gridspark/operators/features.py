@@ -84,7 +84,7 @@ def load_features(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", value
     return rows.withColumns(new).where(F.col(HOME)).select(*names, *new)
 
 
-def weather_features(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", rolling: bool = True, target_rows: int | None = None) -> DataFrame:
+def weather_features(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", rolling: bool = True, tiebreak: str | None = None, target_rows: int | None = None) -> DataFrame:
     """Degree days, wind chill, solar and wind proxies, daylight, rolling temperatures."""
     t, wind, sun = F.col("temperature_2m"), F.col("wind_speed_10m"), F.col("shortwave_radiation")
     power = F.pow(wind, F.lit(0.16))
@@ -105,7 +105,7 @@ def weather_features(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", ro
     names = out.columns
     rows, keys = keyed(out, keys)
     back = max(size for _, size in WEATHER_ROLLING) - 1
-    rows, order = halo_blocks(positions(rows, keys, ts, target_rows=target_rows), keys, back, 0, target_rows)
+    rows, order = halo_blocks(positions(rows, keys, ts, tiebreak, target_rows=target_rows), keys, back, 0, target_rows)
     new = {name: F.avg("temperature_2m").over(order.rowsBetween(1 - size, 0)) for name, size in WEATHER_ROLLING}
     return rows.withColumns(new).where(F.col(HOME)).select(*names, *new)
 

@@ -18,6 +18,8 @@ SEED = 42
 # Horizons in half-hour steps, and the fewest rows worth evaluating.
 HORIZONS = {"30min": 1, "1hr": 2, "6hr": 12, "24hr": 48}
 MIN_TRAIN, MIN_TEST = 50, 10
+# Rows that a leaf needs at least: nodes of fewer than ten rows are not split.
+LEAF_ROWS = 5
 
 
 def _assembled(features: Sequence[str], output: str = "features") -> VectorAssembler:
@@ -31,16 +33,16 @@ def linear_pipeline(features: Sequence[str], label: str = "load_mw") -> Pipeline
     return Pipeline(stages=[_assembled(features, "raw_features"), scale, fit])
 
 
-def forest_pipeline(features: Sequence[str], label: str = "load_mw", trees: int = 100, depth: int = 15, seed: int = SEED) -> Pipeline:
+def forest_pipeline(features: Sequence[str], label: str = "load_mw", trees: int = 100, depth: int = 15, bins: int = 32, bootstrap: bool = True, seed: int = SEED) -> Pipeline:
     fit = RandomForestRegressor(
-        labelCol=label, featuresCol="features", predictionCol="forecast", numTrees=trees, maxDepth=depth, seed=seed
+        labelCol=label, featuresCol="features", predictionCol="forecast", numTrees=trees, maxDepth=depth, minInstancesPerNode=LEAF_ROWS, maxBins=bins, bootstrap=bootstrap, seed=seed
     )
     return Pipeline(stages=[_assembled(features), fit])
 
 
-def boosting_pipeline(features: Sequence[str], label: str = "load_mw", rounds: int = 100, depth: int = 6, rate: float = 0.1, seed: int = SEED) -> Pipeline:
+def boosting_pipeline(features: Sequence[str], label: str = "load_mw", rounds: int = 100, depth: int = 6, rate: float = 0.1, bins: int = 32, seed: int = SEED) -> Pipeline:
     fit = GBTRegressor(
-        labelCol=label, featuresCol="features", predictionCol="forecast", maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed
+        labelCol=label, featuresCol="features", predictionCol="forecast", maxIter=rounds, maxDepth=depth, minInstancesPerNode=LEAF_ROWS, maxBins=bins, stepSize=rate, seed=seed
     )
     return Pipeline(stages=[_assembled(features), fit])
 
@@ -149,27 +151,33 @@ CALENDAR = (
 
 
 def evaluate_horizons(df: DataFrame, train_end: str, test_start: str, ts: str = "ts", value: str = "load_mw", horizons: Mapping[str, int] = HORIZONS, make=boosting_pipeline, model_name: str = "Gradient Boosting", **model_args) -> DataFrame:
-    """``(horizon, model, rmse, r2, ...)`` for persistence and a fitted model, per horizon.
+    """``(horizon, model, mae, rmse, mape, r2, train_rows, test_rows)`` for persistence and a fitted model.
 
-    Lags and rolling values are those known at forecast time. A horizon with fewer than 50 training or
-    10 test rows is left out.
+    Lags and rolling values are those known at forecast time. A horizon with fewer than 50 training or 10
+    test rows gets no model: its metrics are null.
     """
     base = load_features(df, (), ts, value)
     lags = [c for c in base.columns if c.startswith("load_lag_") or "rolling" in c]
     # Fitting reads its rows many times over, so they are kept while a horizon is worked on.
     base = base.dropna(subset=[value, *lags]).persist()
     found = []
-    for label, steps in horizons.items():
-        rows = horizon_frame(base, steps, (), ts, value).dropna(subset=["target", "persist"])
-        rows = calendar_features(rows, "target_ts").persist()
-        train, test = time_split(rows, train_end, test_start, ts)
-        if train.limit(MIN_TRAIN).count() >= MIN_TRAIN and test.limit(MIN_TEST).count() >= MIN_TEST:
-            scored = predict(make([*CALENDAR, *lags], "target", **model_args).fit(train), test)
-            for name, column in (("Persistence", "persist"), (model_name, "forecast")):
-                m = forecast_metrics(scored, "target", column)
-                # One row of metrics.
-                found.append((label, name, *m.first()))
-        rows.unpersist()
-    base.unpersist()
-    schema = "horizon string, model string, mae double, rmse double, mape double, r2 double"
+    try:
+        for label, steps in horizons.items():
+            rows = horizon_frame(base, steps, (), ts, value).dropna(subset=["target", "persist"])
+            rows = calendar_features(rows, "target_ts").persist()
+            try:
+                train, test = time_split(rows, train_end, test_start, ts)
+                counts = train.count(), test.count()
+                # One row of metrics each.
+                found.append((label, "Persistence", *forecast_metrics(test, "target", "persist").first(), *counts))
+                metrics = (None,) * 4
+                if counts[0] >= MIN_TRAIN and counts[1] >= MIN_TEST:
+                    scored = predict(make([*CALENDAR, *lags], "target", **model_args).fit(train), test)
+                    metrics = forecast_metrics(scored, "target", "forecast").first()
+                found.append((label, model_name, *metrics, *counts))
+            finally:
+                rows.unpersist()
+    finally:
+        base.unpersist()
+    schema = "horizon string, model string, mae double, rmse double, mape double, r2 double, train_rows long, test_rows long"
     return df.sparkSession.createDataFrame(found, schema)

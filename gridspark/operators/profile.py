@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridspark.plans import exact_quantiles
+from gridspark.plans import wide_quantiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -59,22 +59,18 @@ def missing_profile(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*cells).alias("_c")).select(F.explode("_c").alias("_c")).select("_c.*")
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, builtin_rows: int | None = None) -> DataFrame:
     """Count, mean, std, min, quartiles and max per numeric column, long form."""
     columns = list(columns or numeric_columns(df))
-    long = df.select(F.explode(F.array(*[_cell(c) for c in columns])).alias("_c")).select("_c.*").where(F.col("value").isNotNull())
-    stats = [
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    ]
-    return exact_quantiles(long, ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, stats)
-
-
-def _cell(c: str):
-    return F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value"))
+    if not columns:
+        raise ValueError("no numeric columns")
+
+    def stats(v):
+        return {"count": F.count(v), "mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)}
+
+    values = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    rows = wide_quantiles(df, values, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, stats, builtin_rows)
+    return rows.where(F.col("count") > 0)
 
 
 def categorical_profile(df: DataFrame, columns: Sequence[str] | None = None, max_values: int = 10) -> DataFrame:

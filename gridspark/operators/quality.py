@@ -7,18 +7,23 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridspark.functions.scalars import is_redacted
 from gridspark.functions.timeparts import duration_micros, micros, period_unit, truncate
 from gridspark.operators.series import align, neighbours, previous_time, regular_grid
 from gridspark.plans import CHUNK, attach, exact_quantiles, halo_blocks, is_split, keyed, largest_group, positions, split_hot, unkeyed
-from gridspark.plans.skew import HOME, POS
+from gridspark.plans.skew import BLOCK, HOME, POS, TARGET_ROWS
 
 # Rows of step candidates handled by one call of the grouping helper.
 _CANDIDATE_ROWS = 500_000
 _HOUR = 3_600_000_000
+# Window cells that the rolling medians hold at once.
+_WINDOW_CELLS = 2_000_000
+_MIN_GAP_HOURS = 1.0
 
 
 # --- step changes -----------------------------------------------------------------------------
@@ -167,14 +172,15 @@ def _chunk_entries(rows: DataFrame, keys: list[str], span: int) -> DataFrame:
 
     def exits(pdf: pd.DataFrame) -> pd.DataFrame:
         t = np.unique(pdf["_us"].to_numpy())
-        leave = t.copy()
+        # Each start points to the next one, the last of a chain to itself; doubling finds the ends.
         nxt = np.searchsorted(t, t + span)
-        for i in range(len(t) - 1, -1, -1):
-            if nxt[i] < len(t):
-                leave[i] = leave[nxt[i]]
+        end = np.where(nxt < len(t), nxt, np.arange(len(t)))
+        while not np.array_equal(end, end[end]):
+            end = end[end]
+        leave = t[end]
         # A chain enters no later than at the first candidate a full span into the chunk.
         last = min(len(t) - 1, int(np.searchsorted(t, t[0] + span)))
-        keep = [i for i in range(last + 1) if i == last or leave[i] != leave[i + 1]]
+        keep = np.append(np.flatnonzero(leave[:last] != leave[1 : last + 1]), last)
         head = pdf[[*keys, CHUNK]].iloc[[0] * len(keep)].reset_index(drop=True)
         return head.assign(_begin=t[0], _upto=t[keep], _leave=leave[keep], _final=t[-1])
 
@@ -242,7 +248,7 @@ def identify_gaps(
     ts: str = "ts",
     value: str = "value",
     expected_frequency: str = "30min",
-    min_gap_hours: float = 1.0,
+    min_gap_hours: float = _MIN_GAP_HOURS,
     target_rows: int | None = None,
     at_most: int | None = None,
 ) -> DataFrame:
@@ -250,7 +256,13 @@ def identify_gaps(
     step = duration_micros(expected_frequency)
     asked = keys
     df, keys = keyed(df, keys)
-    rows = previous_time(df.where(F.col(value).isNotNull()).select(*keys, ts), keys, ts, target_rows=target_rows, at_most=at_most)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, ts)
+    if at_most is None:
+        at_most = largest_group(rows, keys)
+    if at_most > (target_rows or TARGET_ROWS):
+        # Repeated times make no gap; without them no instant is crowded.
+        rows = rows.distinct()
+    rows = previous_time(rows, keys, ts, target_rows=target_rows, at_most=at_most)
     span = micros(ts) - micros("_before")
     return unkeyed(
         rows.withColumn("_span", span)
@@ -286,7 +298,7 @@ def fill_gaps(
     apart stays null; gaps at an edge follow the method.
     """
     if method not in _FILL_METHODS:
-        raise ValueError(f"Unknown method: {method}. Use 'linear', 'forward', 'backward', 'mean', or 'median'.")
+        raise ValueError(f"fill method {method!r} is none of {_FILL_METHODS}")
     names = df.columns
     df, keys = keyed(df, keys)
     bounded = max_gap_hours is not None
@@ -339,9 +351,15 @@ def flag_outliers(
     """Keep rows with a value and add ``is_outlier`` (zscore, iqr or mad rule per series)."""
     names = df.columns
     df, keys = keyed(df.where(F.col(value).isNotNull()), keys)
-    v = F.col(value)
     if at_most is None:
         at_most = largest_group(df, keys)
+    stats, flag = _outlier_rule(df, keys, value, method, threshold, target_rows, at_most)
+    return attach(df, stats, keys, target_rows, at_most).withColumn("is_outlier", flag).select(*names, "is_outlier")
+
+
+def _outlier_rule(df: DataFrame, keys: list[str], value: str, method: str, threshold: float, target_rows: int | None, at_most: int) -> tuple[DataFrame, Column]:
+    """Statistics per series and the rule that flags a row joined with them."""
+    v = F.col(value)
     if method == "zscore":
         stats = df.groupBy(*keys).agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"))
         flag = F.abs(v - F.col("_m")) / F.nullif(F.col("_s"), F.lit(0.0)) > threshold
@@ -355,8 +373,8 @@ def flag_outliers(
         stats = exact_quantiles(dev, keys, "_d", {"_mad": 0.5}, [F.first("_m").alias("_m")], at_most=at_most)
         flag = 0.6745 * F.abs(v - F.col("_m")) / F.nullif(F.col("_mad"), F.lit(0.0)) > threshold
     else:
-        raise ValueError(f"Unknown method: {method}. Use 'zscore', 'iqr', or 'mad'.")
-    return attach(df, stats, keys, target_rows, at_most).withColumn("is_outlier", F.coalesce(flag, F.lit(False))).select(*names, "is_outlier")
+        raise ValueError(f"outlier method {method!r} is none of ('zscore', 'iqr', 'mad')")
+    return stats, F.coalesce(flag, F.lit(False))
 
 
 def drop_outliers(df: DataFrame, keys: Sequence[str] = (), value: str = "value", method: str = "iqr", threshold: float = 3.0, target_rows: int | None = None) -> DataFrame:
@@ -396,13 +414,13 @@ def summarize_redaction_by_period(
 ) -> DataFrame:
     """Rows, redacted rows and rate per period; a row counts when any of its value fields is redacted."""
     if timestamp_field not in df.columns:
-        raise ValueError("A timestamp is required via timestamp_field")
+        raise ValueError(f"no time column {timestamp_field!r}; name one as timestamp_field")
     fields = list(value_fields) if value_fields is not None else [c for c in df.columns if c not in (timestamp_field, *keys)]
     missing = [f for f in fields if f not in df.columns]
     if missing:
-        raise ValueError(f"Fields not found: {missing}")
+        raise ValueError(f"no columns {missing}")
     if not fields:
-        raise ValueError("value_fields must contain at least one column")
+        raise ValueError("no value column is left to look at")
     flag = F.lit(False)
     for f in fields:
         flag = flag | is_redacted(df, f, markers, include_missing_fallback)
@@ -465,7 +483,7 @@ def detect_rolling_anomalies(
 ) -> DataFrame:
     """Add ``is_anomaly`` to every row by its distance from the rolling median in rolling MADs."""
     if window_size < 3:
-        raise ValueError("window_size must be >= 3")
+        raise ValueError(f"a rolling median needs 3 points or more, not {window_size}")
     names = df.columns
     df, keys = keyed(df, keys)
     need = min_periods or max(3, window_size // 2)
@@ -473,25 +491,40 @@ def detect_rolling_anomalies(
     rows = positions(df, keys, ts, tiebreak, target_rows=target_rows)
     # The second median looks back over deviations that look back themselves.
     rows, order = halo_blocks(rows, keys, 2 * back, 0, target_rows)
-    w = order.rowsBetween(-back, 0)
-
-    def rolling(agg, column):
-        return F.when(F.count(column).over(w) >= need, agg(column).over(w))
-
-    def median(c):
-        return F.percentile(c, F.lit(0.5))
-
-    v, dev, mad, std = F.col(value), F.col("_dev"), F.col("_mad"), F.col("_std")
-    rows = (
-        rows.withColumn("_dev", F.abs(v - rolling(median, value)))
-        .withColumn("_std", rolling(F.stddev_samp, value))
-        .withColumn("_mad", rolling(median, "_dev"))
-        .where(F.col(HOME))
-    )
-    robust = F.coalesce(0.6745 * dev / F.nullif(mad, F.lit(0.0)) > threshold, F.lit(False))
-    fallback = F.coalesce(dev / F.nullif(std, F.lit(0.0)) > max(3.0, threshold / 2), F.lit(False))
-    unusable = mad.isNull() | (mad == 0)
-    return rows.withColumn("is_anomaly", robust | (unusable & fallback)).select(*names, "is_anomaly")
+    schema = T.StructType([*[rows.schema[n] for n in names], T.StructField("is_anomaly", T.BooleanType())])
+
+    def flags(block: pa.Table) -> pa.Table:
+        block = block.sort_by(POS)
+        v = block[value].cast(pa.float64()).to_numpy()
+        median, std = _rolling(v, window_size, need)
+        dev = np.abs(v - median)
+        mad, _ = _rolling(dev, window_size, need)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            robust = (mad != 0) & (0.6745 * dev / mad > threshold)
+            fallback = (np.isnan(mad) | (mad == 0)) & (std != 0) & (dev / std > max(3.0, threshold / 2))
+        out = block.select(names).append_column("is_anomaly", pa.array(robust | fallback))
+        return out.filter(block[HOME])
+
+    return rows.groupBy(*keys, BLOCK).applyInArrow(flags, schema)
+
+
+def _rolling(v: np.ndarray, size: int, need: int) -> tuple[np.ndarray, np.ndarray]:
+    """Median and deviation of the last ``size`` values at each place; NaN is no value, fewer than ``need`` give NaN."""
+    windows = np.lib.stride_tricks.sliding_window_view(np.concatenate([np.full(size - 1, np.nan), v]), size)
+    median, std = np.empty(len(v)), np.empty(len(v))
+    step = max(1, _WINDOW_CELLS // size)
+    for i in range(0, len(v), step):
+        # Sorting puts NaN last, so the first k are the values.
+        w = np.sort(windows[i : i + step], axis=1)
+        k = np.sum(~np.isnan(w), axis=1)
+        row = np.arange(len(w))
+        low, high = w[row, np.maximum(k - 1, 0) // 2], w[row, np.minimum(k // 2, size - 1)]
+        median[i : i + step] = np.where(k >= need, 0.5 * low + 0.5 * high, np.nan)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            mean = np.nansum(w, axis=1) / k
+            spread = np.sqrt(np.nansum((w - mean[:, None]) ** 2, axis=1) / (k - 1))
+        std[i : i + step] = np.where((k >= need) & (k > 1), spread, np.nan)
+    return median, std
 
 
 # --- balance and report -----------------------------------------------------------------------
@@ -500,7 +533,7 @@ def detect_rolling_anomalies(
 def summarize_flow_balance(line: DataFrame, transformer: DataFrame, tolerance: float = 0.2, keys: Sequence[str] = (), ts: str = "ts", value: str = "value") -> DataFrame:
     """How well two aligned series agree."""
     if tolerance < 0:
-        raise ValueError("tolerance must be >= 0")
+        raise ValueError(f"negative tolerance {tolerance}")
     both = align(line, transformer, keys, ts, ("_l", "_t"), value)
     diff = F.abs(F.col("_l") - F.col("_t"))
     rel = diff / F.nullif(F.abs(F.col("_t")), F.lit(0.0))
@@ -531,20 +564,22 @@ def quality_control(
     asked = keys
     df, keys = keyed(df, keys)
     at_most = largest_group(df, keys)
-    totals = df.groupBy(*keys).agg(F.count("*").alias("total_points"), F.count(value).alias("valid_points"))
-    flags = flag_outliers(df.select(*keys, value), keys, value, outlier_method, outlier_threshold, target_rows, at_most)
-    outliers = flags.groupBy(*keys).agg(F.sum(F.col("is_outlier").cast("long")).alias("outlier_points"))
-    gaps = identify_gaps(df, keys, ts, value, expected_frequency, target_rows=target_rows, at_most=at_most)
-    gaps = gaps.groupBy(*keys).agg(F.count("*").alias("gap_count"), F.sum("duration_hours").alias("gap_hours"))
-    zero = F.lit(0).cast("long")
-    rows = (
-        totals.join(outliers, keys, "left")
-        .join(gaps, keys, "left")
-        .withColumn("missing_points", F.col("total_points") - F.col("valid_points"))
-        .withColumn("outlier_points", F.coalesce("outlier_points", zero))
-        .withColumn("gap_count", F.coalesce("gap_count", zero))
-        .withColumn("gap_hours", F.coalesce("gap_hours", F.lit(0.0)))
+    rows = df.select(*dict.fromkeys([*keys, ts, value]))
+    stats, flag = _outlier_rule(rows, keys, value, outlier_method, outlier_threshold, target_rows, at_most)
+    filled = F.col(value).isNotNull()
+    # One layout by series serves the time before each row and all counts.
+    rows = previous_time(attach(rows, stats, keys, target_rows, at_most), keys, ts, filled, target_rows, at_most)
+    span = F.when(filled, micros(ts) - micros("_before"))
+    gap = span > _MIN_GAP_HOURS * _HOUR
+    rows = rows.groupBy(*keys).agg(
+        F.count("*").alias("total_points"),
+        F.count(value).alias("valid_points"),
+        F.sum((filled & flag).cast("long")).alias("outlier_points"),
+        F.count_if(gap).alias("gap_count"),
+        F.coalesce(F.sum(F.when(gap, span / float(_HOUR))), F.lit(0.0)).alias("gap_hours"),
     )
+    rows = rows.withColumn("missing_points", F.col("total_points") - F.col("valid_points"))
+    zero = F.lit(0).cast("long")
     total, valid = F.col("total_points"), F.col("valid_points")
     missing, outs, n_gaps = F.col("missing_points"), F.col("outlier_points"), F.col("gap_count")
     outlier_pct = 100 * outs / F.greatest(valid, F.lit(1))
@@ -552,6 +587,7 @@ def quality_control(
         F.lit(0.0),
         100 * valid / F.nullif(total, zero) - F.least(F.lit(50.0), outlier_pct) - F.least(F.lit(30), n_gaps * 5),
     )
+    # The texts of the issues.
     issues = F.array_compact(
         F.array(
             F.when(missing > 0, F.format_string("Missing data: %d points (%.1f%%)", missing, 100 * missing / F.nullif(total, zero))),

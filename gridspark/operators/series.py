@@ -36,7 +36,7 @@ def to_series(
         fields = [f.name for f in df.schema.fields if f.name not in skip and isinstance(f.dataType, T.NumericType)]
     for name in [*keys, timestamp_field, *fields]:
         if name not in df.columns:
-            raise ValueError(f"Field '{name}' not found. Available fields: {', '.join(df.columns)}")
+            raise ValueError(f"no column {name!r} among {df.columns}")
     ts = F.col(timestamp_field)
     if isinstance(df.schema[timestamp_field].dataType, T.StringType):
         ts = F.try_to_timestamp(ts)
@@ -104,13 +104,15 @@ def neighbours(df: DataFrame, keys: Sequence[str], ts: str, value: str, tiebreak
     return rows.withColumn("_prev", prev).withColumn("_next", nxt).drop("_point", CHUNK)
 
 
-def previous_time(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str | None = None, target_rows: int | None = None, at_most: int | None = None) -> DataFrame:
-    """Add ``_before``: the time of the row before in the series."""
-    rows = split_hot(df, keys, ts, tiebreak, target_rows, at_most)
-    before = F.lag(ts).over(Window.partitionBy(*keys, CHUNK).orderBy(ts))
+def previous_time(df: DataFrame, keys: Sequence[str], ts: str, filled: Column | None = None, target_rows: int | None = None, at_most: int | None = None) -> DataFrame:
+    """Add ``_before``: the time of the last row before in the series, of those that are ``filled`` if given."""
+    rows = split_hot(df, keys, ts, None, target_rows, at_most)
+    seen = F.col(ts) if filled is None else F.when(filled, F.col(ts))
+    w = Window.partitionBy(*keys, CHUNK).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.last(seen, ignorenulls=True).over(w)
     if is_split(rows):
-        per_chunk = rows.groupBy(*keys, CHUNK).agg(F.max(ts).alias("_max"))
-        rows = rows.join(carried_chunks(per_chunk, keys, {"_from": F.last("_max")}, {}), [*keys, CHUNK])
+        per_chunk = rows.groupBy(*keys, CHUNK).agg(F.max(seen).alias("_max"))
+        rows = rows.join(carried_chunks(per_chunk, keys, {"_from": F.last("_max", ignorenulls=True)}, {}), [*keys, CHUNK])
         return rows.withColumn("_before", F.coalesce(before, F.col("_from"))).drop("_from", CHUNK)
     return rows.withColumn("_before", before).drop(CHUNK)
 
@@ -127,9 +129,12 @@ def time_grid(df: DataFrame, keys: Sequence[str], ts: str, every: str, anchor: s
     if anchor == "floor":
         bounds = bounds.withColumn("_lo", F.col("_lo") - F.pmod(F.col("_lo"), F.lit(step)))
     last = F.floor((F.col("_hi") - F.col("_lo")) / F.lit(step)).cast("long")
+    # The strides of a long series go to all tasks; a number of partitions keeps them from being merged again.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         bounds.withColumn("_last", last)
         .withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"), F.lit(_STRIDE).cast("long"))))
+        .repartition(tasks, *keys, "_s")
         .withColumn("_i", F.explode(F.sequence(F.col("_s"), F.least(F.col("_s") + (_STRIDE - 1), F.col("_last")))))
         .select(*keys, from_micros(F.col("_lo") + F.col("_i") * step, df, ts).alias(ts))
     )

@@ -1,6 +1,6 @@
 """Layout helpers shared by the operators: skew splitting, positions, halos, exact quantiles."""
 
-from gridspark.plans.quantiles import exact_quantiles
+from gridspark.plans.quantiles import exact_quantiles, wide_quantiles
 from gridspark.plans.skew import (
     CHUNK,
     attach,
@@ -28,4 +28,5 @@ __all__ = [
     "positions",
     "split_hot",
     "unkeyed",
+    "wide_quantiles",
 ]

@@ -8,7 +8,7 @@ values inside are ranked exactly.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +22,8 @@ BUILTIN_ROWS = 200_000
 # about 4 * RANKED_ROWS values are left to rank however large the group is.
 ACCURACY, MAX_ACCURACY = 10_000, 200_000
 RANKED_ROWS = 100_000
+# Sketch accuracy where whole columns are summed up side by side.
+WIDE_ACCURACY = 50_000
 
 
 def exact_quantiles(
@@ -107,12 +109,86 @@ def _bracketed(rows: DataFrame, hot: DataFrame, keys: list[str], probs: Mapping[
             hit = (F.col("_first") <= rank) & (rank < F.col("_end"))
             picks.append(F.max(F.when(hit, F.col("_c"))).alias(f"_{name}{i}"))
     out = ranked.groupBy(*keys, "_n").agg(*picks)
+    return out.select(*keys, *_interpolated(probs, str(keys)))
+
+
+def wide_quantiles(
+    df: DataFrame,
+    values: Mapping[str, Column],
+    probs: Mapping[str, float],
+    aggs: Callable[[Column], Mapping[str, Column]],
+    builtin_rows: int | None = None,
+    accuracy: int = WIDE_ACCURACY,
+) -> DataFrame:
+    """One row per entry of ``values``: ``column``, its ``aggs`` and exact quantiles over all rows.
+
+    The columns stay side by side. A first pass, run when the plan is built, takes the aggregates and a
+    sketch of each column (one row comes back). Columns with few values then use the built-in percentile;
+    of the others only the values inside the sketch brackets leave the second pass, counted by value.
+    """
+    limit = max(builtin_rows or BUILTIN_ROWS, 2 * accuracy)
+    margin = 2.0 / accuracy
+    ends = [e for p in probs.values() for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    names = list(values)
+    plain = {c: F.when(~F.isnan(v), v) for c, v in values.items()}
+    first = [
+        F.struct(
+            *[a.alias(n) for n, a in aggs(values[c]).items()],
+            F.count(plain[c]).alias("_n"),
+            F.percentile_approx(plain[c], F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("_ends"),
+        ).alias(f"_{i}")
+        for i, c in enumerate(names)
+    ]
+    known = df.agg(*first)
+    row = known.first()
+    fields = [f for f in known.schema["_0"].dataType.fields if f.name not in ("_n", "_ends")]
+    second, small, large, inside = [], [], [], []
+    plist = F.array(*[F.lit(float(p)) for p in probs.values()])
+    for i, c in enumerate(names):
+        head = [F.lit(c).alias("column"), *[F.lit(row[i][f.name]).cast(f.dataType).alias(f.name) for f in fields]]
+        if row[i]["_n"] <= limit:
+            second.append(F.percentile(plain[c], plist).alias(f"_{i}"))
+            small.append(F.struct(*head, F.col(f"_{i}").alias("_q")))
+            continue
+        brackets = [row[i]["_ends"][2 * k : 2 * k + 2] for k in range(len(probs))]
+        second.append(F.array(*[F.count_if(plain[c] < low) for low, _ in brackets]).alias(f"_{i}"))
+        large.append(F.struct(*head, F.lit(row[i]["_n"]).alias("_n"), F.col(f"_{i}").alias("_below")))
+        for k, (low, high) in enumerate(brackets):
+            inside.append(F.when(plain[c].between(low, high), F.struct(F.lit(c).alias("column"), F.lit(k).alias("_p"), plain[c].alias("_c"))))
+    once = df.agg(*second)
+    out = [f.name for f in fields]
+    parts = []
+    if small:
+        rows = once.select(F.explode(F.array(*small)).alias("_s")).select("_s.*")
+        parts.append(rows.select("column", *out, *[F.col("_q")[k].alias(n) for k, n in enumerate(probs)]))
+    if large:
+        # One row per column.
+        heads = F.broadcast(once.select(F.explode(F.array(*large)).alias("_s")).select("_s.*"))
+        counted = df.select(F.explode(F.array_compact(F.array(*inside))).alias("_s")).select("_s.*").groupBy("column", "_p", "_c").agg(F.count("*").alias("_k"))
+        w = Window.partitionBy("column", "_p").orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = counted.withColumn("_end", F.sum("_k").over(w)).join(heads, "column")
+        ranked = ranked.withColumn("_end", F.col("_end") + F.get("_below", "_p")).withColumn("_first", F.col("_end") - F.col("_k"))
+        picks = []
+        for k, p in enumerate(probs.values()):
+            h = (F.col("_n") - 1) * F.lit(float(p))
+            for name, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+                hit = (F.col("_p") == k) & (F.col("_first") <= rank) & (rank < F.col("_end"))
+                picks.append(F.max(F.when(hit, F.col("_c"))).alias(f"_{name}{k}"))
+        rows = ranked.groupBy("column", "_n", *out).agg(*picks)
+        parts.append(rows.select("column", *out, *_interpolated(probs, "a column")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _interpolated(probs: Mapping[str, float], of: str) -> list[Column]:
+    """Quantiles from the order statistics ``_lo<i>`` and ``_hi<i>`` around them, by the formula of the built-in percentile."""
     cols = []
     for i, (name, p) in enumerate(probs.items()):
         h = (F.col("_n") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        cols.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
-    return out.select(*keys, *cols)
+        between = F.when(lo == hi, lo).otherwise((F.ceil(h) - h) * lo + (h - F.floor(h)) * hi)
+        missed = F.raise_error(F.lit(f"the sketch brackets missed the {p} quantile of {of}; raise accuracy")).cast("double")
+        cols.append(F.when(lo.isNull() | hi.isNull(), missed).otherwise(between).alias(name))
+    return cols
 
 
 def _any(conds: list[Column]) -> Column:

@@ -8,12 +8,15 @@ serves both. Chunks are a matter of layout only: results do not depend on where
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_log = logging.getLogger(__name__)
+
 CHUNK = "_chunk"
 POS = "_pos"
 BLOCK = "_block"
@@ -25,9 +28,8 @@ TARGET_ROWS = 2_000_000
 # Most entries a broadcast list of oversized groups may have (about 10 MB at 100 bytes each).
 # Groups beyond it hold at most total/MAX_HOT_GROUPS rows each and stay whole.
 MAX_HOT_GROUPS = 100_000
-# A burst is cut at this many equal-depth boundaries per round, in at most _ROUNDS rounds.
+# A burst is cut at this many equal-depth boundaries per round, until no burst is left or none gets smaller.
 _CUTS = 64
-_ROUNDS = 3
 _MAX_BURSTS = 10_000
 _WHOLE = {"whole": True}
 
@@ -65,6 +67,8 @@ def hot_groups(df: DataFrame, group: Sequence[str], *aggs: Column, target_rows:
         .limit(limit)
     )
     rows = found.collect()
+    if len(rows) == limit:
+        _log.warning("%d oversized groups of %s are listed; smaller ones stay whole", limit, list(group))
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
@@ -98,6 +102,14 @@ def _common_bytes(df: DataFrame, column: str) -> int:
     return same
 
 
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.MapType)
+
+
 def split_hot(
     df: DataFrame,
     keys: Sequence[str],
@@ -110,7 +122,8 @@ def split_hot(
 
     First an oversized series is cut into equal time cells. A cell that is still oversized (a burst)
     is cut at equal-depth boundaries, which leaves a single crowded instant in a chunk of its own;
-    that is then cut along ``tiebreak``. All lists of cuts are bounded and broadcast; the rows
+    that is then cut along ``tiebreak`` (without one, along a hash of the row: the order of equal times
+    is then undefined anyway). All lists of cuts are bounded and broadcast; the rows
     themselves are not shuffled.
     """
     target = target_rows or TARGET_ROWS
@@ -120,7 +133,10 @@ def split_hot(
     hot = hot_groups(base, keys, lo, hi, target_rows=target, at_most=at_most)
     if hot is None:
         return df.withColumn(CHUNK, F.lit(0).cast("long").alias(CHUNK, metadata=_WHOLE))
-    tie = _as_number(df, tiebreak, _common_bytes(df, tiebreak)).cast("double") if tiebreak else F.lit(0.0)
+    if tiebreak:
+        tie = _as_number(df, tiebreak, _common_bytes(df, tiebreak)).cast("double")
+    else:
+        tie = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]).cast("double")
     base = base.withColumn("_tie", tie)
     parts = F.ceil(F.col("_rows") / F.lit(float(target)))
     cells = hot.select(*keys, "_lo", ((F.col("_hi") - F.col("_lo") + 1) / parts).alias("_width"))
@@ -131,7 +147,8 @@ def split_hot(
     out, in_hot = out.drop("_lo", "_width"), in_hot.drop("_lo", "_width")
 
     marks = F.array(*[F.lit(i / _CUTS) for i in range(1, _CUTS)])
-    for _ in range(_ROUNDS):
+    largest = None
+    while True:
         burst = hot_groups(
             in_hot,
             [*keys, CHUNK],
@@ -144,6 +161,10 @@ def split_hot(
         )
         if burst is None:
             break
+        before, largest = largest, burst.agg(F.max("_rows")).first()[0]
+        if before is not None and largest >= before:
+            _log.warning("%d rows of one series share %s and %s and stay in one chunk", largest, order, tiebreak)
+            break
         tied = F.col("_hi") == F.col("_lo")
         cuts = burst.select(*keys, CHUNK, tied.alias("_tied"), F.when(tied, F.col("_tie_at")).otherwise(F.col("_at")).alias("_at"))
         out, in_hot = _recut(out, cuts, keys), _recut(in_hot, cuts, keys)

@@ -211,4 +211,39 @@ def _(spark, sf):
 @check("horizon_evaluation")
 def _(spark, sf):
     rows = model_rows(spark, sf).select("ts", "load_mw")
-    return fc.evaluate_horizons(rows, TRAIN_END, TEST_START, make=fc.linear_pipeline, model_name="Linear Regression")
+    return fc.evaluate_horizons(rows, TRAIN_END, TEST_START)
+
+
+# --- fitted models where SQL knows the fit ----------------------------------------------------
+
+PARTS = "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS size, CAST(l_extendedprice AS DOUBLE) AS load_mw FROM {lineitem}"
+
+
+def _fitted(spark, sf, pipeline, **args):
+    rows = frame(spark, sf, PARTS)
+    out = fc.predict(pipeline(["size"], **args).fit(rows), rows)
+    return out.groupBy("size").agg(F.max("forecast").alias("forecast"))
+
+
+@check(
+    "least_squares_line",
+    f"""WITH p AS ({PARTS}), f AS (SELECT regr_slope(load_mw, size) AS a, regr_intercept(load_mw, size) AS b FROM p)
+        SELECT size, ROUND(ANY_VALUE(a) * size + ANY_VALUE(b), 2) AS forecast FROM p, f GROUP BY size""",
+    digits=2,
+)
+def _(spark, sf):
+    return _fitted(spark, sf, fc.linear_pipeline)
+
+
+# A tree with a leaf for every value of its feature forecasts the mean of each.
+LEAVES = f"SELECT size, ROUND(AVG(load_mw), 4) AS forecast FROM ({PARTS}) p GROUP BY size"
+
+
+@check("forest_single_tree", LEAVES, digits=4)
+def _(spark, sf):
+    return _fitted(spark, sf, fc.forest_pipeline, trees=1, bins=64, bootstrap=False)
+
+
+@check("boosting_single_round", LEAVES, digits=4)
+def _(spark, sf):
+    return _fitted(spark, sf, fc.boosting_pipeline, rounds=1, depth=15, rate=1.0, bins=64)

@@ -171,7 +171,9 @@ def test_horizons(load):
     rows = {(r["horizon"], r["model"]): r for r in out.collect()}
     assert set(rows) == {(h, m) for h in ("1hr", "24hr") for m in ("Persistence", "Linear")}
     assert rows[("1hr", "Linear")]["rmse"] < rows[("1hr", "Persistence")]["rmse"]
-    assert fc.evaluate_horizons(load, "2024-01-02", "2024-01-25", horizons={"1hr": 2}, make=fc.linear_pipeline).count() == 0
+    few = fc.evaluate_horizons(load, "2024-01-02", "2024-01-25", horizons={"1hr": 2}, make=fc.linear_pipeline, model_name="Linear").collect()
+    few = {r["model"]: r for r in few}
+    assert few["Persistence"]["rmse"] is not None and few["Linear"]["rmse"] is None and few["Linear"]["train_rows"] < fc.MIN_TRAIN
 
 
 def test_horizon_targets(make):
@@ -185,3 +187,37 @@ def test_metrics(spark):
     r = fc.forecast_metrics(df).first()
     assert r["mae"] == pytest.approx(5 / 3) and r["rmse"] == pytest.approx(np.sqrt(3)) and r["mape"] == pytest.approx(15.0)
     assert r["r2"] == pytest.approx(1 - 9 / 200)
+
+
+def ring_of(points, radius=1.0):
+    import math
+
+    return [(radius * math.cos(2 * math.pi * i / points), radius * math.sin(2 * math.pi * i / points)) for i in range(points)]
+
+
+def test_distance_takes_every_geometry(spark):
+    shapes = [
+        ("point", '{"type":"Point","coordinates":[0,51.5]}'),
+        ("line", '{"type":"LineString","coordinates":[[-1,51.5],[1,51.5]]}'),
+        ("around", '{"type":"Polygon","coordinates":[[[-1,51],[1,51],[1,52],[-1,52],[-1,51]]]}'),
+        ("hole", '{"type":"Polygon","coordinates":[[[-1,51],[1,51],[1,52],[-1,52],[-1,51]],[[-0.5,51.3],[0.5,51.3],[0.5,51.7],[-0.5,51.7],[-0.5,51.3]]]}'),
+        ("far", '{"type":"MultiLineString","coordinates":[[[2,51.5],[3,51.5]],[[0,54],[0,55]]]}'),
+        ("broken", "{"),
+        ("none", None),
+    ]
+    df = spark.createDataFrame(shapes, "name string, geo_shape string")
+    near = {r["name"] for r in df.where(geo.within_distance(df, "0,51.5,2000")).collect()}
+    assert near == {"point", "line", "around"}
+
+
+def test_large_ring_over_shapes(spark):
+    shapes = [
+        ("inside", '{"type":"Point","coordinates":[0.5,0.5]}'),
+        ("corner", '{"type":"Point","coordinates":[0.9,0.9]}'),
+        ("across", '{"type":"LineString","coordinates":[[-2,0.1],[2,0.1]]}'),
+        ("beside", '{"type":"LineString","coordinates":[[-2,1.1],[2,1.1]]}'),
+        ("around", '{"type":"Polygon","coordinates":[[[-3,-3],[3,-3],[3,3],[-3,3],[-3,-3]]]}'),
+    ]
+    df = spark.createDataFrame(shapes, "name string, geo_shape string")
+    met = {r["name"] for r in df.where(geo.within_polygon(df, ring_of(2000))).collect()}
+    assert met == {"inside", "across", "around"}

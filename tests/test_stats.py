@@ -125,3 +125,24 @@ def test_months(make):
         values.append(200 if m in (12, 1, 2) else 100 if m in (6, 7, 8) else 150)
     top = st.seasonal_summary(make(values, timedelta(days=1), t), "annual").first()
     assert (top["dominant_unit"], top["range_ratio"]) == (1, 2.0)
+
+
+def test_wide_summary_by_brackets(spark):
+    from gridspark.operators import profile
+    from gridspark.plans import quantiles
+
+    df = spark.range(300_000).selectExpr("id * 7919 % 300007 AS a", "CAST(id % 3 AS DOUBLE) AS b", "IF(id < 5, CAST(id AS DOUBLE), NULL) AS c", "CAST(NULL AS INT) AS d")
+    cut = {r["column"]: r for r in profile.numeric_summary(df, builtin_rows=1).collect()}
+    whole = {r["column"]: r for r in profile.numeric_summary(df, builtin_rows=10**9).collect()}
+    assert cut == whole and set(cut) == {"a", "b", "c"}
+    assert 2 * quantiles.WIDE_ACCURACY < 300_000
+
+
+def test_missed_bracket_is_an_error(spark):
+    import pytest
+
+    from gridspark.plans import quantiles
+
+    rows = spark.range(1).selectExpr("1.0D AS _lo0", "CAST(NULL AS DOUBLE) AS _hi0", "10L AS _n")
+    with pytest.raises(Exception, match="raise accuracy"):
+        rows.select(*quantiles._interpolated({"q": 0.3}, "x")).collect()
