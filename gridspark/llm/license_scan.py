@@ -12,6 +12,7 @@ counted on whole texts; labels are distinct and sorted.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -203,6 +204,28 @@ def rules() -> list[tuple[int, str, str, re.Pattern]]:
 _TO_WORDS = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
+class Cover:
+    """Settled intervals; whether one of them holds another is found in logarithmic time, by the furthest end of all that
+    start no later. ``starts`` lists every start that may come."""
+
+    def __init__(self, starts: list[int]):
+        self.starts = sorted(set(starts))
+        self.far = [-1] * (len(self.starts) + 1)
+
+    def add(self, start: int, end: int) -> None:
+        i = bisect_right(self.starts, start)
+        while i < len(self.far):
+            self.far[i] = max(self.far[i], end)
+            i += i & -i
+
+    def holds(self, start: int, end: int) -> bool:
+        i, far = bisect_right(self.starts, start), -1
+        while i:
+            far = max(far, self.far[i])
+            i -= i & -i
+        return far >= end
+
+
 def scan(text: str | None) -> dict:
     """Words, base places and settled detections (start and end word, label, priority) of one text."""
     raw = (text or "").encode("utf-8", "replace").lower()  # bytes: only A-Z change
@@ -217,15 +240,16 @@ def scan(text: str | None) -> dict:
                 found.append((priority, m.start(), m.end(), label))
         found.sort(key=lambda d: (d[0], d[1] - d[2], d[1], d[3]))
         settled: list[tuple[int, int, int, str]] = []
-        strong: list[tuple[int, int]] = []
+        strong = Cover([d[1] for d in found])
+        gaps = [m.start() for m in re.finditer(" ", joined)] if found else []
         for d in found:
             if d[0] == 0:
-                base.append((joined.count(" ", 0, d[1]), d[3]))
+                base.append((bisect_left(gaps, d[1]), d[3]))
                 settled.append(d)
-            elif not any(s <= d[1] and d[2] <= e for s, e in strong):
-                strong.append((d[1], d[2]))
+            elif not strong.holds(d[1], d[2]):
+                strong.add(d[1], d[2])
                 settled.append(d)
-        found = [(p, joined.count(" ", 0, s), joined.count(" ", 0, e - 1), label) for p, s, e, label in settled]
+        found = [(p, bisect_left(gaps, s), bisect_left(gaps, e - 1), label) for p, s, e, label in settled]
     doubt = 1.0
     for p, *_ in found:
         doubt *= 1 - 0.95 * 0.8 ** max(p - 1, 0)

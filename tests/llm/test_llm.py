@@ -99,12 +99,8 @@ def test_attach_salts_hot_keys(spark):
 # -- mixing
 
 
-def test_mixing(docs, empty):
-    got = mixing.mix(docs).collect()
-    assert len(got) == len(rows())
-    size = Counter()
-    for r in rows():
-        size[r[3]] += len(WORD.findall(r[1] or ""))
+def source_targets(size):
+    """Target of each source, from the words it has."""
     names = sorted(size, key=lambda s: (s is None, s or ""))
     weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
     fixed, total = {}, sum(size.values())
@@ -113,15 +109,24 @@ def test_mixing(docs, empty):
         share = {s: (total - sum(fixed.values())) * weight[s] / sum(weight[x] for x in free) for s in free}
         over = {s: 3 * size[s] for s in free if share[s] > 3 * size[s]}
         if not over:
-            break
+            return fixed | share
         fixed |= over
+
+
+def test_mixing(docs, empty):
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows())
+    size = Counter()
+    for r in rows():
+        size[r[3]] += len(WORD.findall(r[1] or ""))
+    names, target = list(size), source_targets(size)
     taken = Counter()
     for r in got:
         assert r["taken"] <= 3 * r["size"] and r["source_size"] == size[r["source"]]
-        assert r["target"] == pytest.approx((fixed | share)[r["source"]])
+        assert r["target"] == pytest.approx(target[r["source"]])
         taken[r["source"]] += r["taken"]
     for s in names:
-        assert abs(taken[s] - (fixed | share)[s]) <= max(60, 0.05 * size[s]) or size[s] < 200 or max(len(WORD.findall(r[1] or "")) for r in rows() if r[3] == s) > size[s] / 3
+        assert abs(taken[s] - target[s]) <= max(60, 0.05 * size[s]) or size[s] < 200 or max(len(WORD.findall(r[1] or "")) for r in rows() if r[3] == s) > size[s] / 3
     key = lambda rs: sorted((str(r["doc_id"]), r["size"], r["taken"]) for r in rs)
     assert key(mixing.mix(docs.repartition(5)).collect()) == key(got)
     assert mixing.take(docs).columns == docs.columns
@@ -319,6 +324,22 @@ def test_license_rules(text, has, lacks):
     assert has in found and lacks not in found
 
 
+def test_license_spans_of_a_long_text():
+    t = "under the MIT license and all rights reserved, see the GNU General Public License version 2. " * 4000
+    got = license_scan.scan(t)
+    one = license_scan.scan(t[: len(t) // 4000])
+    assert got["n_base"] == 4000 * one["n_base"] and len(got["spans"]) == 4000 * len(one["spans"])
+    assert got["labels"] == one["labels"] and got["last_word"] - got["first_word"] > 3999 * one["n_words"]
+    for k in range(2000):
+        kept = []
+        rng = random.Random(k)
+        cover, spans = license_scan.Cover(range(12)), [sorted(rng.choices(range(12), k=2)) for _ in range(8)]
+        for s, e in spans:
+            assert cover.holds(s, e) == any(a <= s and e <= b for a, b in kept)
+            cover.add(s, e)
+            kept.append((s, e))
+
+
 # -- tokenizer
 
 
