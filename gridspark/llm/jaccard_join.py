@@ -158,9 +158,10 @@ def _meetings(members: DataFrame, similarity: int) -> DataFrame:
     one, two = (shared.select("token", "x", "y", *[F.col(c).alias(c + k) for c in ("own", "g", "centre", "least", "most", "rest")]) for k in "12")
     bound = (F.col("g1") < F.col("g2")) & (F.col("centre1") != F.col("centre2")) & ((F.col("own1") != F.col("own2")) | (F.col("x") == F.col("y")))
     bound = bound & (100 * F.col("most1") >= similarity * F.col("least2")) & (100 * F.col("most2") >= similarity * F.col("least1"))
-    bound = bound & ((100 + similarity) * (1 + F.least("rest1", "rest2")) >= similarity * (F.col("least1") + F.col("least2")))
-    met = one.join(two, ["token", "x", "y"]).filter(bound).groupBy("g1", "centre1", "g2", "centre2")
-    met = met.agg(F.count(F.lit(1)).alias("common"), F.min("least1").alias("least1"), F.min("least2").alias("least2"), F.max("most1").alias("most1"), F.max("most2").alias("most2"))
+    # The bound of position holds for the first token that two sets share; the later ones are counted all the same.
+    early = (100 + similarity) * (1 + F.least("rest1", "rest2")) >= similarity * (F.col("least1") + F.col("least2"))
+    met = one.join(two, ["token", "x", "y"]).filter(bound).withColumn("early", early).groupBy("g1", "centre1", "g2", "centre2")
+    met = met.agg(F.max("early").alias("early"), F.count(F.lit(1)).alias("common"), F.min("least1").alias("least1"), F.min("least2").alias("least2"), F.max("most1").alias("most1"), F.max("most2").alias("most2")).filter("early")
     # Common tokens lie in both prefixes or after the one that ends first, so their number has a bound.
     after = lambda n: F.ceil(similarity * n / 100) - 1
     most = F.col("common") + F.greatest(after(F.col("most1")), after(F.col("most2")))

@@ -216,6 +216,32 @@ def test_near_duplicates(docs, empty, monkeypatch, block):
     assert kept.columns == docs.columns and 10 in {r["doc_id"] for r in kept.collect()} and not {11, 39, 109} & {r["doc_id"] for r in kept.collect()}
 
 
+@pytest.mark.parametrize("grouped", [False, True])
+def test_links_of_sets_whose_unshared_tokens_come_first(spark, grouped):
+    rng, table, shared = random.Random(8), [], []
+    token = lambda t: next(jaccard_join.shingle_sets([t]))
+    # n shingles each, u of them unshared: J is 0.75 to 0.9, and under 0.75 for the last two.
+    for k, (n, u) in enumerate([(14, 2), (21, 3), (28, 4), (40, 5), (70, 10), (100, 8), (95, 5), (13, 2), (60, 10)]):
+        common_words = prose(rng, n - u + 4, most=10**6)
+        pair = [common_words + " " + prose(rng, u, most=10**6) for _ in range(2)]
+        table += [(10 * k, pair[0]), (10 * k + 1, pair[1])]
+        # A group around each of the two: its members share all but the last word.
+        table += [(10 * k + 2 + j, pair[j % 2].rsplit(" ", 1)[0] + f" last{j}") for j in range(6)] if grouped else []
+        shared.append(set(token(pair[0]).tolist()) & set(token(pair[1]).tolist()))
+    late = jaccard_join.np.array(sorted(set().union(*shared)), dtype=jaccard_join.np.uint64)
+    frame = common.keep(spark.createDataFrame(table, "doc_id long, text string"), "first")
+    prints = jaccard_join.fingerprints(frame, "doc_id", "text", 5, 75, late)
+    if not grouped:
+        prints = prints.withColumn("bands", F.array().cast("array<long>"))
+    _, found = jaccard_join.links(frame, common.keep(prints, "prints"), "doc_id", "text")
+    s = {i: shingles(t) for i, t in table}
+    want = {(a, b) for a in s for b in s if a < b and 100 * len(s[a] & s[b]) >= 75 * len(s[a] | s[b])}
+    if not grouped:
+        assert {(min(r), max(r)) for r in map(tuple, found.collect())} == want and len(want) == 7
+    got = {r["_id"]: r["component"] for r in jaccard_join.components(found).collect()}
+    assert got == {r["_id"]: r["component"] for r in jaccard_join.components(spark.createDataFrame(sorted(want), "a long, b long")).collect()}
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(400, x) for x in range(401, 460)] + [(x, x + 1) for x in range(500, 540)]
