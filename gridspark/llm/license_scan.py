@@ -161,9 +161,9 @@ eula ; 5 ; eula ; end user licen[sc]e agreement( eula)?
 eula ; 5 ; end ; end user licen[sc]e agreement
 copyright ; 7 ; copyright ; copyright( c)?( by)? (19|20)\d\d
 copyright ; 7 ; copyrighted ; copyrighted (material|work|by)
-no-ai ; 4 ; training ; (may not|must not|not) be used (for|to) (the )?(training|train) (of )?
+no-ai ; 4 ; train ; (may not|must not|not) be used (for|to) (the )?(training|train)( of)?
 non-commercial ; 6 ; commercial ; (for )?non ?commercial (use|purposes?)( only)?
-academic-use ; 6 ; research ; for (academic|research)( and (academic|research|educational))? (use|purposes) only
+academic-use ; 6 ; only ; for (academic|research)( and (academic|research|educational))? (use|purposes) only
 with-permission ; 6 ; permission ; (used|reprinted|reproduced) (with|by) (kind )?permission
 licensed ; 8 ; licensed ; (this )?(work|software|content|document|file|program|material) is licensed under
 """

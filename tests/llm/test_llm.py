@@ -350,6 +350,49 @@ def test_license_rules(text, has, lacks):
     assert has in found and lacks not in found
 
 
+def samples(tree):
+    """Texts that a parsed pattern takes: every alternative, optional parts absent and once."""
+    out = [""]
+    for op, arg in tree:
+        op = str(op)
+        if op == "BRANCH":
+            parts = [x for t in arg[1] for x in samples(t)]
+        elif op == "SUBPATTERN":
+            parts = samples(arg[3])
+        elif op == "MAX_REPEAT":
+            parts = ([""] if arg[0] == 0 else []) + samples(arg[2])
+        elif op == "IN":
+            parts = [chr(a) for o, a in arg if str(o) == "LITERAL"] or ["7"]
+        else:
+            parts = [{"LITERAL": lambda: chr(arg), "ANY": lambda: "x", "ASSERT_NOT": lambda: ""}[op]()]
+        out = [a + b for a in out for b in parts]
+    return out
+
+
+def test_every_alternative_of_a_license_rule_passes_its_keyword_and_matches():
+    by_label = defaultdict(list)
+    for _, label, keyword, pattern in license_scan.rules():
+        by_label[label].append((keyword, pattern))
+    for _, label, _, pattern in license_scan.rules():
+        for text in {" ".join(x.split()) for x in samples(re._parser.parse(pattern.pattern))}:
+            assert any(k in text and p.search(f"so {text} it") for k, p in by_label[label]), (label, text)
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("For academic use only.", "academic-use"),
+        ("for academic purposes only", "academic-use"),
+        ("for research and educational use only", "academic-use"),
+        ("It may not be used for training.", "no-ai"),
+        ("may not be used to train models", "no-ai"),
+        ("not be used for the training of models", "no-ai"),
+    ],
+)
+def test_license_rules_with_rare_words(text, label):
+    assert label in license_scan.scan(text)["labels"].split(",")
+
+
 def test_license_spans_of_a_long_text():
     t = "under the MIT license and all rights reserved, see the GNU General Public License version 2. " * 4000
     got = license_scan.scan(t)
