@@ -37,37 +37,44 @@ def _decide(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of groups of two or more equal texts, with keep_id, group_size and kept."""
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_row").alias("row")))
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size"), first.alias("_first")).filter("group_size > 1").withColumn("_n", F.col("group_size"))
-    return attach(rows, groups, keys, "_n", ["_row"]).select("_row", "_id", F.col("_first.id").alias("keep_id"), "group_size", (F.col("_first.row") == F.col("_row")).alias("kept"))
+    return attach(rows, groups, keys, "_n", ["_row"]).select("_row", "_id", "_sha", F.col("_first.id").alias("keep_id"), "group_size", (F.col("_first.row") == F.col("_row")).alias("kept"))
 
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, keep_id, group_size, kept`` for the rows of groups of equal texts only. Whole texts are hashed for the rows
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hashes: bool = False) -> DataFrame:
+    """``id_col, keep_id, group_size, kept`` (and _sha with ``hashes``) for the rows of groups of equal texts only. Whole texts are hashed for the rows
     that share length and prefix with another row; the rest is never read beyond that."""
     d = digests(docs, id_col, text_col, full=False)
     left = keep(_split(_split(d, ["_len"]), ["_len", "_head"]).select("_id").distinct(), "survivors")
     some = only_ids(docs, left.select(F.col("_id").alias(id_col)), id_col, True).unionByName(docs.filter(F.col(id_col).isNull()))
     d = digests(some, id_col, text_col)
-    return _decide(d, ["_len", "_head", "_sha"]).drop("_row").withColumnRenamed("_id", id_col)
+    found = _decide(d, ["_len", "_head", "_sha"]).drop("_row").withColumnRenamed("_id", id_col)
+    return found if hashes else found.drop("_sha")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text another row with a smaller id has; all columns stay."""
-    found = keep(exact_duplicates(docs, id_col, text_col), "duplicates")
-    gone = found.filter("not kept").select(id_col, "keep_id").distinct()
-    out = only_ids(docs, gone.filter(~F.col(id_col).eqNullSafe(F.col("keep_id"))).select(id_col).distinct(), id_col, False)
-    # Rows that repeat id and text: one of them stays.
-    again = gone.filter(F.col(id_col).eqNullSafe(F.col("keep_id"))).select(F.col(id_col).alias("_again")).withColumn("_yes", F.lit(True))
-    if again.isEmpty():
-        return out
-    marked = out.join(again, out[id_col].eqNullSafe(again["_again"]), "left").drop("_again")
-    twice = marked.filter("_yes").withColumn("_sha", F.sha2(normalised(text_col), 256)).dropDuplicates([id_col, "_sha"])
-    return marked.filter("_yes is null").unionByName(twice.drop("_sha")).select(*docs.columns)
+    """``docs`` with one row of each text, the one with the smallest id; all columns stay. Ids may be null or repeat."""
+    found = keep(exact_duplicates(docs, id_col, text_col, hashes=True), "duplicates")
+    gone = keep(found.filter("not kept").select(id_col).distinct(), "gone")
+    ids, none = gone.filter(F.col(id_col).isNotNull()), F.col(id_col).isNull()
+    # An id that one row has stands for that row. Null ids and ids that repeat do not: there id and text decide.
+    again = keep(only_ids(docs.select(id_col), ids, id_col, True).groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(id_col), "again")
+    out = only_ids(docs, only_ids(ids, again, id_col, False), id_col, False)
+    if again.isEmpty() and gone.filter(none).isEmpty():
+        return out.select(*docs.columns)
+    several = lambda rows: only_ids(rows, again, id_col, True).unionByName(rows.filter(none))
+    by = several(found).groupBy(F.col(id_col).alias("_of"), F.col("_sha").alias("_text")).agg(F.max("kept").alias("_stays"), F.count(F.lit(1)).alias("_n")).filter("not _stays or _n > 1").drop("_n")
+    marked = several(out).withColumn("_sha", F.sha2(normalised(text_col), 256))
+    marked = marked.join(keep(by, "decided"), F.col(id_col).eqNullSafe(F.col("_of")) & (F.col("_sha") == F.col("_text")), "left")
+    # Rows that repeat id and text: one of them stays, if any does.
+    twice = marked.filter("_stays").dropDuplicates([id_col, "_sha"])
+    rest = only_ids(out.filter(~none), again, id_col, False)
+    return rest.select(*docs.columns).unionByName(marked.filter("_stays is null").unionByName(twice).select(*docs.columns))
 
 
 def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """One row per document. The hash is a result column here, so each text is read whole, once, for all three levels."""
     d = digests(read(spark, sf, "documents"))
-    groups = keep(_decide(_split(_split(d, ["_len"]), ["_len", "_head"]), ["_len", "_head", "_sha"]).drop("_id"), "groups")
+    groups = keep(_decide(_split(_split(d, ["_len"]), ["_len", "_head"]), ["_len", "_head", "_sha"]).drop("_id", "_sha"), "groups")
     out = d.join(groups, "_row", "left")
     alone = F.col("group_size").isNull()
     return out.select(

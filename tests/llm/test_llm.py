@@ -89,6 +89,12 @@ def test_exact_duplicates(docs, empty):
     assert exact_dedup.deduplicate(empty).count() == 0
 
 
+def test_deduplicate_takes_null_and_repeated_ids_row_by_row(spark):
+    table = [(1, "x"), (5, "x"), (5, "y"), (None, "x"), (None, "z"), (None, "z"), (6, "w"), (6, "w"), (7, "v"), (8, "v"), (9, None)]
+    left = exact_dedup.deduplicate(spark.createDataFrame(table, "doc_id long, text string"))
+    assert Counter(map(tuple, left.collect())) == Counter([(1, "x"), (5, "y"), (None, "z"), (6, "w"), (7, "v"), (9, None)])
+
+
 def test_attach_salts_hot_keys(spark):
     many = spark.range(3000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id")).alias("k"), "id")
     table = many.groupBy("k").agg(F.count(F.lit(1)).alias("w")).withColumn("v", F.col("k") * 2)
