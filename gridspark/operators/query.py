@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridspark.functions.geo import within_distance, within_polygon
+from gridspark.operators.paging import page
 
 
 def query(
@@ -104,28 +105,6 @@ def grouped(df: DataFrame, group_by: str, select: str | Sequence[str] | None) ->
     return _sql(df, f"SELECT {', '.join(missing)}, {_plain(text)} {source}") if missing else out
 
 
-def sort_keys(order_by: str) -> list[Column]:
-    """``"f"``, ``"-f"`` or ``"f desc"``, comma separated."""
-    keys = []
-    for part in order_by.split(","):
-        name, _, way = part.strip().partition(" ")
-        down = name.startswith("-") or way.strip().lower() == "desc"
-        keys.append(F.col(name.lstrip("-")).desc() if down else F.col(name).asc())
-    return keys
-
-
-def page(df: DataFrame, order_by: str | None = None, limit: int | None = None, offset: int = 0, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Sort, skip ``offset`` rows and take ``limit``; ``tiebreak`` columns make the order total.
-
-    Without an order, which rows a limit keeps is not defined.
-    """
-    if order_by:
-        df = df.orderBy(*sort_keys(order_by), *[F.col(t) for t in tiebreak])
-    if offset:
-        df = df.offset(offset)
-    return df if limit is None else df.limit(limit)
-
-
 def fetch_all(df: DataFrame, where: str | Column | None = None, max_records: int | None = None, order_by: str | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
     """All matching rows; with ``max_records`` the first of them in the order given."""
     return page(matching(df, where), order_by, max_records, tiebreak=tiebreak)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gridspark.functions import scalars as sc
 from gridspark.operators import profile as pr
 from gridspark.operators import query as qy
+from gridspark.operators.paging import PageIndex, page_after
 from gridspark.sources import catalog as ct
 from gridspark.sources.io import flatten_records
 from gridspark.workload.base import check, frame, table
@@ -66,6 +67,23 @@ def _(spark, sf):
     return qy.query(table(spark, sf, "orders"), select="o_orderkey", order_by="o_orderdate", limit=50, offset=120, tiebreak=["o_orderkey"])
 
 
+@check("page_offset_only", "SELECT l_orderkey, l_linenumber FROM {lineitem} ORDER BY l_shipdate DESC, l_orderkey, l_linenumber OFFSET (SELECT COUNT(*) // 2 FROM {lineitem})")
+def _(spark, sf):
+    rows = table(spark, sf, "lineitem")
+    return qy.query(rows, columns=["l_orderkey", "l_linenumber"], order_by="-l_shipdate", offset=rows.count() // 2, tiebreak=["l_orderkey", "l_linenumber"])
+
+
+@check("page_deep", "SELECT l_orderkey, l_linenumber FROM {lineitem} ORDER BY l_extendedprice, l_orderkey, l_linenumber LIMIT 1000 OFFSET (SELECT COUNT(*) * 3 // 4 FROM {lineitem})")
+def _(spark, sf):
+    index = PageIndex(table(spark, sf, "lineitem"), "l_extendedprice", ["l_orderkey", "l_linenumber"])
+    return index.page(index.total * 3 // 4, 1000).select("l_orderkey", "l_linenumber")
+
+
+@check("page_after", "SELECT o_orderkey, o_orderstatus FROM {orders} WHERE o_orderstatus > 'F' OR (o_orderstatus = 'F' AND o_orderkey > 700) ORDER BY o_orderstatus, o_orderkey LIMIT 300")
+def _(spark, sf):
+    return page_after(table(spark, sf, "orders"), "o_orderstatus", ("F", 700), 300, ["o_orderkey"]).select("o_orderkey", "o_orderstatus")
+
+
 @check("bounded_fetch", "SELECT o_orderkey, o_custkey FROM {orders} WHERE o_orderpriority = '2-HIGH' ORDER BY o_orderdate DESC, o_orderkey LIMIT 200")
 def _(spark, sf):
     return qy.fetch_all(table(spark, sf, "orders"), "o_orderpriority = '2-HIGH'", 200, "-o_orderdate", ["o_orderkey"]).select("o_orderkey", "o_custkey")
