@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridspark.functions.cells import may_meet
+
 # Geometry fields in order of preference.
 GEO_FIELDS = ("geo_shape", "spatial_coordinates", "geo_point_2d", "geo_point", "geopoint")
 # Mean Earth radius in metres.
@@ -47,7 +49,8 @@ def usable_geometry(value: Column) -> Column:
         lon, lat = (F.get_json_object(g, f"$.{k}").try_cast("double") for k in ("lon", "lat"))
         numbers = F.concat_ws(",", lon.cast("string"), lat.cast("string"))
         point = F.concat(F.lit('{"type":"Point","coordinates":['), numbers, F.lit("]}"))
-        whole = F.get_json_object(g, "$.type").isNotNull() & F.get_json_object(g, "$.coordinates").isNotNull()
+        inner = F.coalesce(F.get_json_object(g, "$.coordinates"), F.get_json_object(g, "$.geometries"))
+        whole = F.get_json_object(g, "$.type").isNotNull() & inner.isNotNull()
         return F.when(whole, g).when(lon.isNotNull() & lat.isNotNull(), point)
 
     return _once(unwrap_feature(value), usable)
@@ -164,6 +167,27 @@ def geometry_paths(geometry: Column) -> Column:
     return _once(F.get_json_object(geometry, "$.type"), paths)
 
 
+def members(geometry: Column) -> Column:
+    """The plain geometries of a geometry: itself, or those of a GeometryCollection (and of collections directly in it)."""
+
+    def of(g: Column) -> Column:
+        several = F.from_json(F.get_json_object(g, "$.geometries"), "array<string>")
+        return F.when(F.get_json_object(g, "$.type") == "GeometryCollection", several).otherwise(F.array(g))
+
+    return _once(geometry, lambda g: F.flatten(F.transform(of(g), of)))
+
+
+def geometry_box(geometry: Column) -> Column:
+    """``[west, east, south, north]`` of everything in a geometry; null without a usable coordinate."""
+
+    def box(points: Column) -> Column:
+        x, y = F.transform(points, lambda c: c[0]), F.transform(points, lambda c: c[1])
+        return F.when(F.size(points) > 0, F.array(F.array_min(x), F.array_max(x), F.array_min(y), F.array_max(y)))
+
+    points = F.flatten(F.flatten(F.filter(F.transform(members(geometry), geometry_paths), lambda p: p.isNotNull())))
+    return _once(points, lambda p: box(F.filter(p, lambda c: F.size(c) > 1)))
+
+
 def _side(ax, ay, bx, by, cx, cy) -> Column:
     return F.signum((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
 
@@ -238,7 +262,7 @@ def intersects_ring(geometry: Column, ring: Ring) -> Column:
 
         return _once(geometry_paths(g), tests)
 
-    return F.coalesce(_once(geometry, meets), F.lit(False))
+    return F.coalesce(F.exists(members(geometry), meets), F.lit(False))
 
 
 def _lonlat(df: DataFrame) -> tuple[Column, Column] | None:
@@ -248,10 +272,12 @@ def _lonlat(df: DataFrame) -> tuple[Column, Column] | None:
 
 
 def within_polygon(df: DataFrame, polygon: Ring | str) -> Column:
-    """Rows whose geometry (or lon/lat columns) meets the polygon."""
+    """Rows whose geometry (or lon/lat columns) meets the polygon; index columns, where there are any, are looked at first."""
     ring = parse_ring(polygon) if isinstance(polygon, str) else list(polygon)
     at = _lonlat(df)
-    return point_in_ring(*at, ring) if at else intersects_ring(resolve_geometry(df), ring)
+    inside = point_in_ring(*at, ring) if at else intersects_ring(resolve_geometry(df), ring)
+    near = may_meet(df.columns, ring)
+    return inside if near is None else near & inside
 
 
 def great_circle_metres(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
@@ -290,7 +316,7 @@ def near_point(geometry: Column, lon: float, lat: float, metres: float, reach: f
 
         return _once(geometry_paths(g), tests)
 
-    return F.coalesce(_once(geometry, meets), F.lit(False))
+    return F.coalesce(F.exists(members(geometry), meets), F.lit(False))
 
 
 def within_distance(df: DataFrame, distance: tuple[float, float, float] | str) -> Column:
@@ -302,11 +328,15 @@ def within_distance(df: DataFrame, distance: tuple[float, float, float] | str) -
         half = math.degrees(2 * math.asin(min(1.0, math.sin(math.radians(min(reach, 180)) / 2) / math.cos(math.radians(top))))) * 1.001
         # A box over the date line is left to the distance itself.
         wide = half if -180 <= lon - half and lon + half <= 180 else None
+    around = None if wide is None else may_meet(df.columns, bounds_ring(lat + reach, lat - reach, lon + wide, lon - wide))
     at = _lonlat(df)
     if at is None:
-        return near_point(resolve_geometry(df), lon, lat, metres, reach, wide)
+        close = near_point(resolve_geometry(df), lon, lat, metres, reach, wide)
+        return close if around is None else around & close
     x, y = at
     box = y.between(lat - reach, lat + reach)
     if wide is not None:
         box = box & x.between(lon - wide, lon + wide)
+    if around is not None:
+        box = around & box
     return F.coalesce(box & (great_circle_metres(x, y, F.lit(lon), F.lit(lat)) <= metres), F.lit(False))

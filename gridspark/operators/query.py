@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.functions.cells import INDEX_COLUMNS
 from gridspark.functions.geo import within_distance, within_polygon
 from gridspark.operators.paging import page
 
@@ -42,7 +43,8 @@ def query(
         out = project(page(out, order_by, limit, offset, tiebreak), chosen)
     else:
         out = page(project(out, chosen), order_by, limit, offset, tiebreak)
-    return out
+    # Columns of a spatial index serve the filter; they are in the result only if asked for.
+    return out if chosen or not set(INDEX_COLUMNS) <= set(out.columns) else out.drop(*INDEX_COLUMNS)
 
 
 def matching(df: DataFrame, where=None, refine=None, exclude=None, polygon=None, distance=None) -> DataFrame:

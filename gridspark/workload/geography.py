@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from gridspark.functions import geo
 from gridspark.operators.query import query
-from gridspark.operators.spatial import query_bounds
+from gridspark.operators.spatial import fetch_bounds, query_bounds, report
 from gridspark.sources.catalog import Catalog
 from gridspark.sources.io import geojson_features
+from gridspark.sources.spatial_index import write_indexed
+from gridspark.sources.staging import new_path
 from gridspark.workload.base import check, frame, table
 
 LON = "ROUND(-2 + (c_custkey * 7919 % 4000) / 1000.0D, 3)"
@@ -195,6 +197,53 @@ def _(spark, sf):
     return query_bounds(spatial_catalog(spark, sf), BOUNDS, ["grid_primary_sites", "secondary_sites"], limit=None).status()
 
 
+@check(
+    "bounds_fetched",
+    f"""SELECT CASE WHEN c_custkey % 2 = 0 THEN 'grid_primary_sites' ELSE 'secondary_sites' END AS dataset, COUNT(*) AS rows, false AS failed
+        FROM ({SITES_SQL}) s WHERE {_EDGE} GROUP BY 1 UNION ALL SELECT 'lv_poles', NULL, true""",
+)
+def _(spark, sf):
+    found = fetch_bounds(spatial_catalog(spark, sf), BOUNDS, ["grid_primary_sites", "secondary_sites", "lv_poles"])
+    return report(found, spark).select("dataset", "rows", F.col("error").isNotNull().alias("failed"))
+
+
+def indexed(spark, df, name: str):
+    """A table laid out by cell, written and read again."""
+    path = new_path(spark, name)
+    write_indexed(df, path, rows_per_file=200_000, row_group_bytes=64 << 10)
+    return spark.read.parquet(path)
+
+
+@check("polygon_filter_indexed", f"SELECT c_custkey FROM ({SITES_SQL}) s WHERE lon + 0.0505 >= -0.5 AND lon - 0.0505 <= 0.2 AND lat + 0.0505 >= 51.3 AND lat - 0.0505 <= 51.7")
+def _(spark, sf):
+    return query(indexed(spark, areas(spark, sf), "areas_by_cell"), polygon=geo.bounds_ring(**BOUNDS)).select("c_custkey")
+
+
+@check("polygon_filter_indexed_points", f"SELECT c_custkey FROM ({SITES_SQL}) s WHERE {_ray_sql('lon', 'lat')}")
+def _(spark, sf):
+    return query(indexed(spark, frame(spark, sf, SITES), "sites_by_cell"), select="c_custkey", polygon=RING)
+
+
+@check("distance_filter_indexed", f"SELECT c_custkey FROM ({SITES_SQL}) s WHERE {_near_sql(*_SQUARE)}")
+def _(spark, sf):
+    return query(indexed(spark, areas(spark, sf), "areas_by_cell"), select="c_custkey", distance="0.1,51.5,60000")
+
+
+# A point and a square beside it in one collection.
+@check(
+    "polygon_filter_collections",
+    f"""SELECT c_custkey FROM ({SITES_SQL}) s WHERE ({_EDGE})
+        OR (lon + 0.5505 >= -0.5 AND lon + 0.4495 <= 0.2 AND lat + 0.0505 >= 51.3 AND lat - 0.0505 <= 51.7)""",
+)
+def _(spark, sf):
+    h = 0.0505
+    ring = F.array(*[F.array(F.col("lon") + 0.5 + dx, F.col("lat") + dy) for dx, dy in ((-h, -h), (-h, h), (h, h), (h, -h), (-h, -h))])
+    square = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))
+    point = F.to_json(F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates")))
+    both = F.concat(F.lit('{"type":"GeometryCollection","geometries":['), point, F.lit(","), square, F.lit("]}"))
+    return query(frame(spark, sf, SITES).select("c_custkey", both.alias("geo_shape")), select="c_custkey", polygon=geo.bounds_ring(**BOUNDS))
+
+
 def _lines(spark, sf):
     start, end = F.array("lon", "lat", F.lit(12.5)), F.array(F.col("lon") + 0.01, "lat", F.lit(13.5))
     shape = F.to_json(F.struct(F.lit("LineString").alias("type"), F.array(start, end).alias("coordinates")))
