@@ -23,6 +23,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import read
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Words kept by a worker, and characters of text whose new words are merged together.
+#: Words in use kept by a worker (as many again are kept from before), and characters of text whose new words are merged together.
 CACHE_WORDS = 250_000
 BLOCK_CHARS = 1 << 22
 _SHIFT = 20
@@ -51,53 +52,74 @@ class ByteEncoder:
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
                     self.pairs[a << _SHIFT | b] = rank
+        self.keys = np.array(sorted(self.pairs), np.int64) if self.pairs else np.array([-2], np.int64)
+        self.made = np.array([self.pairs.get(k, -1) for k in self.keys.tolist()], np.int64)
         self.pattern = regex.compile(pattern)
+        #: Words in use, and those in use before the cache was last full.
         self.cache: dict[str, tuple[int, str, bytes]] = {}
+        self.older: dict[str, tuple[int, str, bytes]] = {}
+
+    def _index(self, symbols: np.ndarray) -> tuple[dict[int, list[int]], list[int]]:
+        """Places of each rank, ascending, and the rank of the pair at each place (-1: none)."""
+        keys = symbols[:-1] << _SHIFT | symbols[1:]
+        keys[(symbols[:-1] < 0) | (symbols[1:] < 0)] = -1
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        found = np.where(self.keys[at] == keys, self.made[at], -1)
+        places = np.flatnonzero(found >= 0)
+        ranks = found[places]
+        order = np.argsort(ranks, kind="stable")
+        ranks, places = ranks[order], places[order]
+        cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        index = {int(ranks[s]): places[s:e].tolist() for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ranks)]) if e > s}
+        return index, [*found.tolist(), -1]
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """The ids of each word (not empty)."""
         pairs = self.pairs.get
-        symbols: list[int] = []
-        starts = []
-        for w in words:
-            starts.append(len(symbols))
-            symbols.extend(map(self.single.__getitem__, w))
-            symbols.append(-1)
+        lengths = np.array([len(w) + 1 for w in words], np.int64)
+        starts = (np.cumsum(lengths) - lengths).tolist()
+        table = np.array([*self.single, -1], np.int64)
+        flat = np.frombuffer(b"\0".join(words) + b"\0", np.uint8).astype(np.int64)
+        flat[np.cumsum(lengths) - 1] = 256  # the end of a word
+        index, rank_at = self._index(table[flat])
+        symbols = table[flat].tolist()
         size = len(symbols)
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        index: dict[int, list[int]] = {}
-        for i in range(size - 1):
-            a, b = symbols[i], symbols[i + 1]
-            if a >= 0 and b >= 0:
-                r = pairs(a << _SHIFT | b)
-                if r is not None:
-                    index.setdefault(r, []).append(i)
         queue = list(index)
         heapq.heapify(queue)
         alone: set[int] = set()
         while queue:
             rank = heapq.heappop(queue)
             for i in sorted(index.pop(rank)):
-                a, j = symbols[i], after[i]
-                # The entry is out of date if its symbol is gone, or no longer makes this rank with the next one.
-                if a < 0 or symbols[j] < 0 or pairs(a << _SHIFT | symbols[j]) != rank:
+                if rank_at[i] != rank:  # a neighbour was merged meanwhile
                     continue
+                j = after[i]
                 k = after[j]
                 symbols[i], symbols[j] = rank, -2
+                rank_at[i] = rank_at[j] = -1
                 after[i] = k
                 before[k] = i
-                for left, right in ((before[i], i), (i, k)):
-                    if left < 0 or symbols[left] < 0 or symbols[right] < 0:
-                        continue
-                    r = pairs(symbols[left] << _SHIFT | symbols[right])
-                    if r is None:
-                        continue
-                    if r < rank:
-                        alone.add(bisect_right(starts, i) - 1)
-                    if r not in index:
-                        index[r] = []
-                        heapq.heappush(queue, r)
-                    index[r].append(left)
+                h = before[i]
+                if h >= 0 and symbols[h] >= 0:
+                    rank_at[h] = r = pairs(symbols[h] << _SHIFT | rank, -1)
+                    if r >= 0:
+                        if r < rank:
+                            alone.add(bisect_right(starts, i) - 1)
+                        if r in index:
+                            index[r].append(h)
+                        else:
+                            index[r] = [h]
+                            heapq.heappush(queue, r)
+                if symbols[k] >= 0:
+                    rank_at[i] = r = pairs(rank << _SHIFT | symbols[k], -1)
+                    if r >= 0:
+                        if r < rank:
+                            alone.add(bisect_right(starts, i) - 1)
+                        if r in index:
+                            index[r].append(i)
+                        else:
+                            index[r] = [i]
+                            heapq.heappush(queue, r)
         starts.append(size)
         return [self.by_itself(w) if n in alone else [s for s in symbols[starts[n] : starts[n + 1]] if s >= 0] for n, w in enumerate(words)]
 
@@ -133,11 +155,13 @@ class ByteEncoder:
     def encode_block(self, texts: list[str | None]) -> list[tuple[int, str, bytes]]:
         """(number of ids, ids as decimal text joined by spaces, decoded bytes) of each text."""
         if len(self.cache) > CACHE_WORDS:
-            self.cache = {}
+            self.cache, self.older = {}, self.cache
         words = [self.pattern.findall(t or "") for t in texts]
         new = set().union(*words).difference(self.cache) if words else set()
-        if new:
-            self.learn(sorted(new))
+        known = new.intersection(self.older)
+        self.cache.update(zip(known, map(self.older.__getitem__, known)))
+        if len(new) > len(known):
+            self.learn(sorted(new - known))
         out = []
         for ws in words:
             got = list(map(self.cache.__getitem__, ws))
