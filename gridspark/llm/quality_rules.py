@@ -7,7 +7,9 @@ conditions are dropped while that does not hurt its precision on the rest, and i
 enough there. The list becomes one ordered CASE expression.
 
 Rows: a null text has no words. Labels of a document that repeat count once, the worse one. Without labels no rule is
-learned. Ties are broken by statistic and bin, so reruns agree.
+learned. Ties are broken by statistic and bin, so reruns agree. Very long texts are taken whole, in memory proportional to
+their words. Repeated rows are rows of their own. An empty table gives an empty result. Columns other than id and text are not read,
+so their names cannot clash. A list has at most MAX_RULES rules of MAX_CONDITIONS conditions: it is to be read by people.
 """
 
 from __future__ import annotations
@@ -32,16 +34,14 @@ MIN_COVER = 5
 SHARES = ("symbol_share", "dup_line_share", "repeat_share", "word_length", "n_words")
 
 
-def _repeat_words(w: Column) -> Column:
-    """Words in windows of three words that are found twice or more in the array ``w``.
+def _windows(w: Column) -> Column:
+    """Hash and position of the windows of three words of the array ``w``, sorted, so that equal ones are neighbours.
 
-    Windows are packed as hash and position (as many low bits as the length needs) and sorted, so that equal ones are neighbours.
+    The hash keeps its 64 bits whatever the length of the text.
     """
     n = F.size(w)
-    bits = F.ceil(F.log2(n + F.lit(1.0))).cast("int")
-    low = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-    packed = F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("long"))))
-    return F.when(n >= 4, F.struct(packed.alias("p"), low.alias("low")))
+    one = lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("p"))
+    return F.when(n >= 4, F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), one)))
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -58,13 +58,13 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         chars.cast("long").alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         F.size("_l").cast("long").alias("n_lines"),
-        _repeat_words(F.col("_w")).alias("_r"),
+        _windows(F.col("_w")).alias("_r"),
     )
-    # Neighbours in the sorted windows that agree above the position bits; their positions, sorted, cover three words each.
-    high = lambda i: F.get(F.col("_r.p"), i).bitwiseAND(F.bitwise_not(F.col("_r.low")))
-    last = F.size("_r.p") - 1
-    same = F.filter(F.sequence(F.lit(0), last), lambda i: ((i > 0) & (high(i) == high(i - 1))) | ((i < last) & (high(i) == high(i + 1))))
-    t = t.withColumn("_s", F.when(F.col("_r").isNotNull(), F.sort_array(F.transform(same, lambda i: F.get(F.col("_r.p"), i).bitwiseAND(F.col("_r.low"))))))
+    # Neighbours in the sorted windows that agree; their positions, sorted, cover three words each.
+    at = lambda i: F.get("_r", i)
+    last = F.size("_r") - 1
+    same = F.filter(F.sequence(F.lit(0), last), lambda i: ((i > 0) & (at(i)["h"] == at(i - 1)["h"])) | ((i < last) & (at(i)["h"] == at(i + 1)["h"])))
+    t = t.withColumn("_s", F.when(F.col("_r").isNotNull(), F.sort_array(F.transform(same, lambda i: at(i)["p"].cast("long")))))
     covered = F.aggregate(
         "_s",
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("at")),
