@@ -8,7 +8,8 @@ before its commit row is not seen and may be applied anew. Compaction replaces c
 
 A change has: op ('insert', 'delete', 'revise'), source, lang, tokenizer, tokens, and for a revision old_source,
 old_lang, old_tokenizer, old_tokens. Null sources and languages are groups of their own; null tokens count as 0; other
-ops are refused; empty batches commit no delta. Groups whose documents have all gone do not appear.
+ops are refused; empty batches commit no delta. Groups whose documents have all gone do not appear. Repeated changes count as often as
+they are in a batch; very long texts are counted whole; other columns of a batch are not read.
 """
 
 from __future__ import annotations
@@ -52,13 +53,18 @@ class Rollup:
         return not self._commits().filter(F.col("batch") == batch).isEmpty()
 
     def _live(self) -> list[str]:
-        """Delta folders that count: one name per batch since the last compaction."""
+        """Delta folders that count: one for each batch that no compaction holds.
+
+        Two writers may commit the same batch, the second one even after a compaction that holds the first one's file:
+        a batch is in a compaction if any of its files is.
+        """
         rows = self._commits().collect()
         gone = {x for r in rows for x in r["replaces"] or []}
+        held = {r["batch"] for r in rows if r["file"] in gone}
         first = {}
         for r in sorted(rows, key=lambda r: r["file"]):
             first.setdefault(r["batch"], r["file"])
-        return sorted(f for b, f in first.items() if f not in gone)
+        return sorted(f for b, f in first.items() if b not in held)
 
     def _commit(self, batch: str, rows: DataFrame, replaces: list[str]) -> None:
         file = f"{uuid.uuid4().hex}"
@@ -92,8 +98,8 @@ PIECE = r"[A-Za-z]+|[0-9]|[^\x20\x09-\x0DA-Za-z0-9]"
 
 def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The life of the whole table: every document arrives counted as words, every document is also counted in pieces,
-    the pieces are revised by a new version that counts an end mark too, and documents of under 50 words go
-    from both. One batch is sent twice, and the deltas are compacted between."""
+    the pieces are revised by a new version that counts an end mark too, and documents of under 50 words go and come
+    back. One batch is sent twice, and the deltas are compacted between. The totals are those of all documents."""
     docs = read(spark, sf, "documents")
     count = lambda p: F.coalesce(F.regexp_count("text", F.lit(p)), F.lit(0)).cast("long")
     counted = keep(docs.select("source", "lang", count(WORD).alias("w"), count(PIECE).alias("p")), "counted")
@@ -110,6 +116,8 @@ def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     short = counted.filter("w < 50")
     store.apply("short words", as_change(short, "delete", "words-1", F.col("w")))
     store.apply("short pieces", as_change(short, "delete", "pieces-2", F.col("p") + 1))
+    store.apply("short words again", as_change(short, "insert", "words-1", F.col("w")))
+    store.apply("short pieces again", as_change(short, "insert", "pieces-2", F.col("p") + 1))
     return store.totals()
 
 
@@ -118,9 +126,8 @@ WITH c AS (
   SELECT source, lang,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w,
          len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[0-9]|[^\x20\x09-\x0DA-Za-z0-9]')) AS p
-  FROM documents),
-k AS (SELECT * FROM c WHERE w >= 50)
-SELECT source, lang, 'words-1' AS tokenizer, count(*) AS documents, CAST(sum(w) AS BIGINT) AS tokens FROM k GROUP BY source, lang
+  FROM documents)
+SELECT source, lang, 'words-1' AS tokenizer, count(*) AS documents, CAST(sum(w) AS BIGINT) AS tokens FROM c GROUP BY source, lang
 UNION ALL
-SELECT source, lang, 'pieces-2', count(*), CAST(sum(p + 1) AS BIGINT) FROM k GROUP BY source, lang
+SELECT source, lang, 'pieces-2', count(*), CAST(sum(p + 1) AS BIGINT) FROM c GROUP BY source, lang
 """
