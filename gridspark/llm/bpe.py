@@ -6,6 +6,8 @@ one array, so a step merges once in each of them. Words met before come from a b
 
 Rows: a null or empty text has no tokens. Special tokens that stand in a text are recognised, as the vocabulary says.
 Bytes that are no letters of any word (white space) are dropped by this vocabulary; decoding joins the tokens by spaces.
+Very long texts and words are taken whole. Repeated rows, repeated and null ids are encoded row by row; an empty table gives an empty
+result; columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ VOCABULARY = "word_bpe_49k.json"
 #: Words kept by a worker, and documents taken at a time.
 CACHE_WORDS = 250_000
 BLOCK_DOCS = 128
+#: Words of more bytes are merged one by one.
+LONG_WORD = 256
 _NONE = np.int64(2**62)
 # White space as the vocabulary's patterns mean it.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -59,6 +63,7 @@ class Encoder:
         self.rank = np.argsort(keys, kind="stable")
         self.keys = keys[self.rank]
         self.split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.pairs: dict[int, int] | None = None  # for long words only
         self.ids: dict[str, bytes] = {}
         self.text: dict[str, str] = {}
 
@@ -105,13 +110,57 @@ class Encoder:
             rows = rows[tree[rows, 1] < _NONE]
         return sym[:, :-1]
 
+    def _merge_long(self, symbols: list[int]) -> list[int]:
+        """The same tree for one long word, in plain numbers: a step of the array form costs as much for one word as for thousands."""
+        n = len(symbols)
+        size = 1 << max(1, (n - 1).bit_length())
+        width = int(self.width)
+        if self.pairs is None:
+            self.pairs = dict(zip(self.keys.tolist(), self.rank.tolist()))
+        none, pair, made = int(_NONE), self.pairs.get, self.made
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        leaf = [pair(a * width + b, -1) for a, b in zip(symbols, symbols[1:])]
+        tree = [none] * size + [r * size + i if r >= 0 else none for i, r in enumerate(leaf)] + [none] * (size - len(leaf))
+        for node in range(size - 1, 0, -1):
+            a, b = tree[2 * node], tree[2 * node + 1]
+            tree[node] = a if a < b else b
+        while tree[1] < none:
+            rank, i = divmod(tree[1], size)
+            j = after[i]
+            k = after[j]
+            symbols[i], symbols[j] = int(made[rank]), -1
+            after[i] = k
+            if k < n:
+                before[k] = i
+            h = before[i]
+            right = pair(symbols[i] * width + symbols[k], -1) if k < n else -1
+            left = pair(symbols[h] * width + symbols[i], -1) if h >= 0 else -1
+            for at, r in ((j, -1), (i, right), (h, left)):
+                if at < 0:
+                    continue
+                node = size + at
+                tree[node] = r * size + at if r >= 0 else none
+                node >>= 1
+                while node:
+                    a, b = tree[2 * node], tree[2 * node + 1]
+                    least = a if a < b else b
+                    if tree[node] == least:
+                        break
+                    tree[node] = least
+                    node >>= 1
+        return [s for s in symbols if s >= 0]
+
     def learn(self, words: list[str]) -> None:
         """Encode words that the cache lacks. Words of about the same length share an array."""
         raw = [w.encode("utf-8", "replace") for w in words]
         lengths = np.array([len(r) for r in raw])
+        for x in np.flatnonzero(lengths > LONG_WORD).tolist():
+            ids = self._merge_long([*self.inner[list(raw[x][:-1])].tolist(), int(self.final[raw[x][-1]])])
+            self.ids[words[x]], self.text[words[x]] = np.array(ids, "<u4").tobytes(), " ".join([self.tokens[i] for i in ids])
+        lengths[lengths > LONG_WORD] = 0
         for bits in np.unique(np.ceil(np.log2(np.maximum(lengths, 2))).astype(int)):
             size = 1 << int(bits)
-            mine = np.flatnonzero((lengths <= size) & ((lengths > size // 2) | (size == 2)))
+            mine = np.flatnonzero((lengths <= size) & ((lengths > size // 2) | (size == 2)) & (lengths > 0))
             step = max(1, (1 << 20) // size)
             for s in range(0, len(mine), step):
                 part = mine[s : s + step]
