@@ -69,6 +69,17 @@ def attach(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, salt
     return rows.join(table, [*keys, "_salt"], how).drop("_salt")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until ``df`` has no column that is called so in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def only_ids(docs: DataFrame, ids: DataFrame, id_col: str, keep_them: bool) -> DataFrame:
     """Rows of ``docs`` whose id is among ``ids`` (one column of that name), or is not. Null ids are never among them.
 

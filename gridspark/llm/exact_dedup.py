@@ -2,7 +2,8 @@
 
 Texts are compared after every run of white space became one space; a null text counts as empty. Each level splits
 only the groups of two or more rows that the level before it left. Ties: of equal texts the row with the smallest id
-stays (null ids come last), of rows with the same id one of them. Other columns of the input are not read.
+stays (null ids come last), of rows with the same id one of them. Very long texts are hashed as they are. An empty table gives an
+empty result. Other columns are not read, and :func:`deduplicate` gives them back whatever they are called.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, attach, keep, only_ids, read
+from .common import WHITE, attach, fresh, keep, only_ids, read
 
 PREFIX = 128
 
@@ -62,13 +63,14 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     if again.isEmpty() and gone.filter(none).isEmpty():
         return out.select(*docs.columns)
     several = lambda rows: only_ids(rows, again, id_col, True).unionByName(rows.filter(none))
-    by = several(found).groupBy(F.col(id_col).alias("_of"), F.col("_sha").alias("_text")).agg(F.max("kept").alias("_stays"), F.count(F.lit(1)).alias("_n")).filter("not _stays or _n > 1").drop("_n")
-    marked = several(out).withColumn("_sha", F.sha2(normalised(text_col), 256))
-    marked = marked.join(keep(by, "decided"), F.col(id_col).eqNullSafe(F.col("_of")) & (F.col("_sha") == F.col("_text")), "left")
+    sha, of, text, stays = fresh(docs, "_sha", "_of", "_text", "_stays")
+    by = several(found).groupBy(F.col(id_col).alias(of), F.col("_sha").alias(text)).agg(F.max("kept").alias(stays), F.count(F.lit(1)).alias("_n")).filter(~F.col(stays) | (F.col("_n") > 1)).drop("_n")
+    marked = several(out).withColumn(sha, F.sha2(normalised(text_col), 256))
+    marked = marked.join(keep(by, "decided"), F.col(id_col).eqNullSafe(F.col(of)) & (F.col(sha) == F.col(text)), "left")
     # Rows that repeat id and text: one of them stays, if any does.
-    twice = marked.filter("_stays").dropDuplicates([id_col, "_sha"])
+    twice = marked.filter(stays).dropDuplicates([id_col, sha])
     rest = only_ids(out.filter(~none), again, id_col, False)
-    return rest.select(*docs.columns).unionByName(marked.filter("_stays is null").unionByName(twice).select(*docs.columns))
+    return rest.select(*docs.columns).unionByName(marked.filter(F.col(stays).isNull()).unionByName(twice).select(*docs.columns))
 
 
 def op7_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:

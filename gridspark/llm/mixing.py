@@ -7,7 +7,8 @@ the convex dual, each step one grouped sum over the distinct sizes of each sourc
 diffusion over units of documents of about the same size, large ones first.
 
 Rows: a null text has size 0, a null source is a source of its own (last), repeated ids count as rows. A source
-without words has target 0 and takes 0 copies. An empty table gives no rows. Reruns agree: only ids decide on rounding.
+without words has target 0 and takes 0 copies. An empty table gives no rows. Very long texts are one document each. Columns other
+than id, text and source are not read, and :func:`take` gives them back whatever they are called. Reruns agree: only ids decide on rounding.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, WORD, attach, keep, read
+from .common import BROADCAST_ROWS, WORD, attach, fresh, keep, read
 
 CAP = 3
 WEIGHTS = (5, 2, 1)
@@ -115,12 +116,13 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     Copies join on the id; rows that repeat an id take the smallest number that one of them got. A row with null id
     takes the number of the null ids.
     """
-    n = mix(docs, id_col, text_col, source_col, weights, cap).groupBy(id_col).agg(F.min("copies").alias("_copies")).filter("_copies > 0")
-    n = keep(n.withColumnRenamed(id_col, "_taken_id"), "copies")
+    taken, copies, copy = fresh(docs, "_taken_id", "_copies", "_copy")
+    n = mix(docs, id_col, text_col, source_col, weights, cap).groupBy(F.col(id_col).alias(taken)).agg(F.min("copies").alias(copies)).filter(F.col(copies) > 0)
+    n = keep(n, "copies")
     if n.count() <= 10 * BROADCAST_ROWS:
         n = F.broadcast(n)
-    rows = docs.join(n, docs[id_col].eqNullSafe(n["_taken_id"]))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*[docs[c] for c in docs.columns])
+    rows = docs.join(n, F.col(id_col).eqNullSafe(F.col(taken)))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns)
 
 
 def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:

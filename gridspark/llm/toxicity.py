@@ -9,17 +9,21 @@ toxic documents and hardly ever in others. Contexts, not occurrences, are counte
 no evidence. The weights of the readings start at hand-set values and are fitted by a penalised logistic regression.
 
 Rows: null and empty texts get the score of a text without insults. Labels that repeat count once, the worse one.
-Without labels the hand-set weights and the fixed lexicon are used. Reruns agree.
+Without labels the hand-set weights and the fixed lexicon are used. Very long texts are read whole; a reading counts at
+most MOST times. Repeated rows and null ids are judged row by row, an empty table gives an empty result, and other columns may have any name.
+Reruns agree.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +38,8 @@ MIN_CONTEXTS, MIN_CONTEXT_SHARE, MIN_WEIGHT = 5, 0.004, 4.0
 #: Words after a negation within which an insult counts as negated.
 REACH = 2
 THRESHOLD = 0.5
+#: A reading counts at most so often in the score: a text is not toxic by its length alone.
+MOST = 4.0
 CACHE_WORDS = 300_000
 
 # Fixed lexicon by class.
@@ -133,7 +139,7 @@ def _lexicon(stems: frozenset, words: frozenset) -> Lexicon:
 
 
 def _features(counts: np.ndarray) -> np.ndarray:
-    return np.minimum(counts, 4.0)
+    return np.minimum(counts, MOST)
 
 
 def _forms(rows: DataFrame) -> DataFrame:
@@ -181,7 +187,7 @@ def labelled(docs: DataFrame, labels: DataFrame, training: Column, id_col: str,
     share = F.when(F.col("_y") == 1, min(1.0, SAMPLE_TOXIC / max(sizes.get(1, 0), 1))).otherwise(min(1.0, SAMPLE_CLEAN / max(sizes.get(0, 0), 1)))
     y = keep(y.filter(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < share * 1_000_000), "labels")
     rows = only_ids(docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col), F.col(text_col).cast("string").alias("_text")), y.select(id_col), id_col, True)
-    rows = rows.join(y, id_col).groupBy(F.sha2("_text", 256).alias("_h")).agg(F.min_by(F.struct(F.col(id_col).cast("long").alias("_id"), "_text", "_y"), F.col(id_col)).alias("r"))
+    rows = rows.join(y, id_col).groupBy(F.sha2("_text", 256).alias("_h")).agg(F.min_by(F.struct(F.xxhash64(id_col).alias("_id"), "_text", "_y"), F.col(id_col)).alias("r"))
     return keep(rows.select("r.*"), "labelled")
 
 
@@ -244,7 +250,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     rows = counts(docs, model, id_col, text_col)
     line = F.lit(float(model["bias"]))
     for k, w in enumerate(model["weights"]):
-        line = line + F.lit(float(w)) * F.least(F.get("_counts", F.lit(k)), F.lit(4.0))
+        line = line + F.lit(float(w)) * F.least(F.get("_counts", F.lit(k)), F.lit(MOST))
     s = 1 / (1 + F.exp(-line))
     return rows.select(id_col, s.alias("score"), (s >= THRESHOLD).cast("int").alias("predicted"), *[F.get("_counts", F.lit(k)).cast("long").alias("n_" + r.replace(" ", "_")) for k, r in enumerate(READINGS)])
 
@@ -256,7 +262,21 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that are predicted toxic."""
+    """``docs`` without the rows that are predicted toxic, whatever their ids; all columns pass as they are."""
     model = learn(docs, labels, fold(id_col, 5) != 0, id_col, text_col)
-    bad = keep(score(docs, model, id_col, text_col).filter("predicted = 1").select(id_col).filter(F.col(id_col).isNotNull()).distinct(), "toxic")
-    return only_ids(docs, bad, id_col, False).select(*docs.columns)
+    stems, words, bias, weights = model["stems"], model["words"], float(model["bias"]), [float(w) for w in model["weights"]]
+    place = docs.columns.index(text_col)
+
+    def stays(found: np.ndarray) -> bool:
+        line = bias
+        for w, n in zip(weights, found.tolist()):
+            line += w * min(n, MOST)
+        return 1 / (1 + math.exp(-line)) < THRESHOLD
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = _lexicon(stems, words)
+        for b in batches:
+            texts = b.column(place).cast(pa.string()).to_pylist()
+            yield b.filter(pa.array([stays(readings(lexicon.classes(t or ""))) for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
