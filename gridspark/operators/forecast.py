@@ -10,9 +10,11 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridspark.operators.boosting import fit_predict
 from gridspark.operators.features import calendar_features, load_features, time_split
 from gridspark.plans import exact_quantiles, halo_blocks, keyed, positions
 from gridspark.plans.skew import HOME
+from gridspark.sources.staging import staged
 
 SEED = 42
 # Horizons in half-hour steps, and the fewest rows worth evaluating.
@@ -143,6 +145,21 @@ def persistence_by_horizon(df: DataFrame, test_start: str, keys: Sequence[str] =
     return forecast_metrics(cases, "target", "persist", [*asked, "horizon"]).withColumn("model", F.lit("Persistence"))
 
 
+def horizon_frames(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts", value: str = "load_mw", horizons: Mapping[str, int] = HORIZONS, tiebreak: str | None = None, target_rows: int | None = None) -> DataFrame:
+    """The rows of :func:`horizon_frame` for all horizons, told apart by ``horizon``, from one layout."""
+    names = df.columns
+    rows, keys = keyed(df, keys)
+    shifts = {label: steps - 1 for label, steps in horizons.items()}
+    back, ahead = max(max(48 - s, 0) for s in shifts.values()), max(max(s, s - 48) for s in shifts.values())
+    rows, order = halo_blocks(positions(rows, keys, ts, tiebreak, target_rows=target_rows), keys, back, ahead, target_rows)
+    cases = [
+        F.struct(F.lit(label).alias("horizon"), F.lead(value, s).over(order).alias("target"), F.lead(ts, s).over(order).alias("target_ts"), F.lag(value, 48 - s).over(order).alias("persist"))
+        for label, s in shifts.items()
+    ]
+    rows = rows.withColumn("_cases", F.array(*cases)).where(F.col(HOME))
+    return rows.select(*names, F.explode("_cases").alias("_case")).select(*names, "_case.*")
+
+
 # Calendar columns, which describe the target time of a forecast.
 CALENDAR = (
     "hour", "minute", "day_of_week", "day_of_month", "month", "quarter", "year", "is_weekend",
@@ -181,3 +198,48 @@ def evaluate_horizons(df: DataFrame, train_end: str, test_start: str, ts: str =
         base.unpersist()
     schema = "horizon string, model string, mae double, rmse double, mape double, r2 double, train_rows long, test_rows long"
     return df.sparkSession.createDataFrame(found, schema)
+
+
+def evaluate_horizons_by_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    train_end: str,
+    test_start: str,
+    ts: str = "ts",
+    value: str = "load_mw",
+    horizons: Mapping[str, int] = HORIZONS,
+    features: Sequence[str] | None = None,
+    tiebreak: str | None = None,
+    model_name: str = "Gradient Boosting",
+    **model_args,
+) -> DataFrame:
+    """:func:`evaluate_horizons` for every series: ``(keys, horizon, model, mae, rmse, mape, r2, train_rows, test_rows)``.
+
+    All series and horizons are laid out, fitted and scored together (:mod:`gridspark.operators.boosting`). ``features`` are calendar columns of
+    the target time and load features of the forecast time, by default all of them. Null where a horizon of a series
+    has fewer than 50 training or 10 test rows: the model's metrics.
+    """
+    by = [*keys, "horizon"]
+    features = None if features is None else list(features)
+    lags = []
+    base = df.select(*dict.fromkeys([*keys, ts, value, *([tiebreak] if tiebreak else [])]))
+    if features is None or set(features) - set(CALENDAR):
+        base = load_features(base, keys, ts, value, tiebreak=tiebreak)
+        lags = [c for c in base.columns if c.startswith("load_lag_") or "rolling" in c]
+        base = base.dropna(subset=[value, *lags])
+    rows = horizon_frames(base, keys, ts, value, horizons, tiebreak).dropna(subset=["target", "persist", *keys])
+    features = features or [*CALENDAR, *lags]
+    rows = calendar_features(rows, "target_ts")
+    kind = df.schema[ts].dataType
+    rows = rows.withColumns({"_train": F.col(ts) < F.lit(train_end).cast(kind), "_test": F.col(ts) >= F.lit(test_start).cast(kind)}).where("_train or _test")
+    rows = staged(rows.select(*by, *features, "target", "persist", "_train", "_test"), "horizon_rows")
+    counts = rows.groupBy(*by).agg(F.count_if("_train").alias("train_rows"), F.count_if("_test").alias("test_rows"))
+    enough = (F.col("train_rows") >= MIN_TRAIN) & (F.col("test_rows") >= MIN_TEST)
+    fitted = fit_predict(rows, by, features, "target", "_train", leaf_rows=LEAF_ROWS, **model_args)
+    scored = staged(fitted.where("_test").select(*by, "target", "persist", "forecast"), "horizon_forecasts")
+    found = forecast_metrics(scored, "target", "persist", by).withColumn("model", F.lit("Persistence"))
+    found = found.unionByName(forecast_metrics(scored, "target", "forecast", by).withColumn("model", F.lit(model_name)))
+    both = counts.select("*", F.explode(F.array(F.lit("Persistence"), F.lit(model_name))).alias("model"))
+    out = both.join(found, [*by, "model"], "left")
+    known = (F.col("model") == "Persistence") | enough
+    return out.select(*by, "model", *[F.when(known, F.col(m)).alias(m) for m in ("mae", "rmse", "mape", "r2")], "train_rows", "test_rows")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridspark.operators import features as ft
 from gridspark.operators import forecast as fc
-
+from gridspark.operators.boosting import fit_predict
 from gridspark.operators.quality import fill_gaps
 from gridspark.operators.series import regular_grid
 from gridspark.workload.base import HALF_HOURLY, IRREGULAR, ORDERS, WEATHER, check, frame, table
@@ -164,6 +164,43 @@ def _(spark, sf):
     return fc.persistence_by_horizon(rows, "1999-01-01", K, tiebreak="o_orderkey")
 
 
+# One round of full rate on a feature of few values forecasts the mean of the training rows with the same value.
+BY_KEY = " UNION ALL ".join(
+    f"""SELECT key, '{label}' AS horizon, ts, t, p, EXTRACT(dow FROM tt) AS dow FROM
+        (SELECT key, ts, LEAD(load_mw, {steps - 1}) OVER w AS t, LEAD(ts, {steps - 1}) OVER w AS tt, LAG(load_mw, {48 - (steps - 1)}) OVER w AS p
+         FROM (SELECT key, ts, o_orderkey, value AS load_mw FROM ({ORDERS}) o) x WINDOW w AS (PARTITION BY key ORDER BY ts, o_orderkey)) y
+        WHERE t IS NOT NULL AND p IS NOT NULL"""
+    for label, steps in fc.HORIZONS.items()
+)
+
+
+def _metrics_sql(forecast: str, model: str) -> str:
+    e = f"t - {forecast}"
+    return f"""SELECT key, horizon, '{model}' AS model, ROUND(AVG(ABS({e})), 3) AS mae, ROUND(sqrt(AVG(power({e}, 2))), 3) AS rmse, ROUND(100 * AVG(ABS(({e}) / NULLIF(t, 0))), 3) AS mape,
+        ROUND(1 - SUM(power({e}, 2)) / (VAR_POP(t) * COUNT(*)), 3) AS r2 FROM s GROUP BY key, horizon"""
+
+
+@check(
+    "horizon_evaluation_by_key",
+    f"""WITH r AS ({BY_KEY}), f AS (SELECT key, horizon, dow, AVG(t) AS f FROM r WHERE ts < TIMESTAMP '1998-01-01' GROUP BY 1, 2, 3),
+        s AS (SELECT r.*, f.f FROM r JOIN f USING (key, horizon, dow) WHERE ts >= TIMESTAMP '1999-01-01'),
+        m AS ({_metrics_sql('p', 'Persistence')} UNION ALL {_metrics_sql('f', 'Gradient Boosting')}),
+        n AS (SELECT key, horizon, COUNT(*) FILTER (WHERE ts < TIMESTAMP '1998-01-01') AS train_rows, COUNT(*) FILTER (WHERE ts >= TIMESTAMP '1999-01-01') AS test_rows FROM r GROUP BY 1, 2)
+        SELECT m.*, train_rows, test_rows FROM m JOIN n USING (key, horizon)""",
+    digits=3,
+)
+def _(spark, sf):
+    rows = frame(spark, sf, ORDERS).withColumnRenamed("value", "load_mw")
+    return fc.evaluate_horizons_by_key(rows, K, "1998-01-01", "1999-01-01", tiebreak="o_orderkey", features=["day_of_week"], rounds=1, rate=1.0)
+
+
+@check("boosting_by_key", "SELECT l_returnflag, l_linenumber, ROUND(AVG(l_extendedprice), 4) AS forecast FROM {lineitem} GROUP BY 1, 2", digits=4)
+def _(spark, sf):
+    rows = table(spark, sf, "lineitem").select("l_returnflag", "l_linenumber", F.col("l_extendedprice").cast("double").alias("price"), F.lit(True).alias("known"))
+    out = fit_predict(rows, ["l_returnflag"], ["l_linenumber"], "price", "known", rounds=1, rate=1.0, leaf_rows=1)
+    return out.groupBy("l_returnflag", "l_linenumber").agg(F.max("forecast").alias("forecast"))
+
+
 # --- fitted models: no SQL counterpart --------------------------------------------------------
 
 
