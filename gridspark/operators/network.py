@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridspark.sources.staging import new_path, staged
+
 # --- from the development-statement tables ----------------------------------------------------
 
 
@@ -157,6 +161,59 @@ def element_counts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# Characters that XML text spells out.
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+
+
+def shred_model(spark: SparkSession, path: str, prefix: str = "cim") -> DataFrame:
+    """The model XML as rows ``(class, id, element, field, value)`` from one read of the file, written once by class.
+
+    The file is cut before every tag of the prefix, wherever its splits lie. A row is a property with its text, or with
+    the id it refers to; a row without a field is the element itself. ``element`` numbers elements in file order, so
+    that two of the same id stay apart. A property belongs to the last element before it: within a split by a window
+    over the split, at its head by what the splits before it ended with (one row per split).
+    """
+    raw = spark.read.option("lineSep", f"<{prefix}:").text(path).select(F.monotonically_increasing_id().alias("_at"), "value")
+    attribute = lambda names: F.nullif(F.regexp_extract("value", rf'^[^>]*?\srdf:(?:{names})\s*=\s*"([^"]*)"', 1), F.lit(""))
+    text = F.nullif(F.btrim(F.regexp_extract("value", r"^[^>]*[^/>]>([^<]*)</", 1), F.lit(" \t\r\n")), F.lit(""))
+    for spelt, plain in _ENTITIES:
+        text = F.replace(text, F.lit(spelt), F.lit(plain))
+    tag = F.regexp_extract("value", r"^([A-Za-z_][\w.-]*)", 1)
+    rows = raw.select("_at", F.shiftright("_at", 33).alias("_split"), tag.alias("tag"), _local_id(attribute("ID|about")).alias("id"), _local_id(attribute("resource")).alias("ref"), text.alias("text"))
+    rows = rows.where("tag <> ''")
+    inside = Window.partitionBy("_split").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    element = F.when(F.col("id").isNotNull(), F.struct(F.col("tag").alias("class"), "id", F.col("_at").alias("element")))
+    field = F.when(F.col("id").isNull(), F.col("tag"))
+    rows = rows.select("_split", "_at", F.last(element, ignorenulls=True).over(inside).alias("_of"), field.alias("field"), F.coalesce("ref", "text").alias("value"))
+    rows = staged(rows, "model_rows")
+    ends = rows.groupBy("_split").agg(F.max_by("_of", F.when(F.col("_of").isNotNull(), F.col("_at"))).alias("_end"))
+    earlier = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select("_split", F.last("_end", ignorenulls=True).over(earlier).alias("_before"))
+    found = rows.join(F.broadcast(before), "_split").withColumn("_of", F.coalesce("_of", "_before")).where("_of is not null")
+    path = new_path(spark, "model")
+    found.select("_of.*", "field", "value").write.partitionBy("class").parquet(path)
+    return spark.read.schema("id string, element long, field string, value string, class string").parquet(path).select("class", "id", "element", "field", "value")
+
+
+def model_class(model: DataFrame, name: str) -> DataFrame:
+    """One class of a shredded model as a table: the columns of :func:`read_xml_class`. Only that class is read."""
+    spec = XML_CLASSES[name]
+    rows = model.where(F.col("class") == name)
+    cells = [F.min(F.when(F.col("field") == element, F.col("value"))).try_cast({"number": "double", "integer": "int"}.get(kind, "string")).alias(column) for column, element, kind in spec]
+    return rows.groupBy("element", "id").agg(*cells).drop("element")
+
+
+def read_model(spark: SparkSession, path: str, classes: Sequence[str] = tuple(XML_CLASSES)) -> dict[str, DataFrame]:
+    """Tables by class; the file itself is read once."""
+    model = shred_model(spark, path)
+    return {name: model_class(model, name) for name in classes}
+
+
+def model_counts(model: DataFrame) -> DataFrame:
+    """Elements of a shredded model by class, most frequent first."""
+    return model.where(F.col("field").isNull()).groupBy("class").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "class")
+
+
 def capacity_totals(units: dict[str, DataFrame]) -> DataFrame:
     """Number and total capacity per class of generating unit."""
     out = None

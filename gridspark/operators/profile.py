@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations_with_replacement
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,20 +77,25 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, builtin
 
 
 def categorical_profile(df: DataFrame, columns: Sequence[str] | None = None, max_values: int = 10) -> DataFrame:
-    """Distinct count per text column, with value counts for columns that have few values."""
+    """Distinct count per text column, with value counts for columns that have few values.
+
+    Distinct values are counted by a 128-bit hash, so that no text of a column with many values is ever moved. That job runs when the plan
+    is built (one row per column comes back); the few values of the other columns are then read by themselves.
+    """
     columns = list(columns or text_columns(df))
-    cells = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in columns]
-    counts = (
-        df.select(F.explode(F.array(*cells)).alias("_c"))
-        .select("_c.*")
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("count"))
-    )
-    distinct = counts.groupBy("column").agg(F.count("*").alias("distinct_values"))
-    few = distinct.where(F.col("distinct_values") <= max_values).select(F.col("column").alias("_few"))
-    listed = counts.join(F.broadcast(few), F.col("column") == F.col("_few"), "left_semi")
-    return distinct.join(listed, "column", "left")
+    value = {c: F.col(f"`{c}`") for c in columns}
+    cells = [F.when(v.isNotNull(), F.struct(F.lit(i).alias("i"), F.xxhash64(v).alias("a"), F.xxhash64(v, F.lit(1)).alias("b"))) for i, v in enumerate(value.values())]
+    hashes = df.select(F.explode(F.array_compact(F.array(*cells))).alias("_c")).select("_c.*").distinct()
+    distinct = dict(hashes.groupBy("i").agg(F.count("*").alias("n")).collect())
+    spark = df.sparkSession
+    totals = spark.createDataFrame([(columns[i], n) for i, n in sorted(distinct.items())], "column string, distinct_values long")
+    few = [columns[i] for i, n in sorted(distinct.items()) if n <= max_values]
+    if not few:
+        return totals.withColumns({"value": F.lit(None).cast("string"), "count": F.lit(None).cast("long")})
+    listed = F.array(*[F.struct(F.lit(c).alias("column"), value[c].alias("value")) for c in few])
+    counts = df.select(F.explode(listed).alias("_c")).select("_c.*").where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("count"))
+    # At most max_values rows per column on the other side.
+    return totals.join(F.broadcast(counts), "column", "left")
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -96,18 +104,43 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation for every pair of numeric columns over rows where both are filled."""
+    """Pearson correlation for every pair of numeric columns over rows where both are filled.
+
+    A first aggregate gives the means (one row). Around them, each task adds up the products of all columns with all
+    others batch by batch, as matrices of values, squares and filled cells; what it sends is one row per pair.
+    """
     columns = list(columns or numeric_columns(df))
-    cells = []
-    for a, b in combinations_with_replacement(columns, 2):
-        x, y = F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")
-        cells.append((a, b, F.corr(x, y)))
-    one = df.agg(*[c.alias(f"_r{i}") for i, (_, _, c) in enumerate(cells)])
-    rows = []
-    for i, (a, b, _) in enumerate(cells):
-        r = F.col(f"_r{i}")
-        r = F.when(~F.isnan(r), r).alias("correlation")
-        rows.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), r))
-        if a != b:
-            rows.append(F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"), r))
-    return one.select(F.explode(F.array(*rows)).alias("_c")).select("_c.*")
+    if not columns:
+        raise ValueError("no numeric columns")
+    x = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    # The mean of equal values may be a rounding away from them.
+    mean = lambda v: F.when(F.min(v) == F.max(v), F.min(v)).otherwise(F.avg(F.when(~F.isnan(v), v)))
+    row = df.agg(*[mean(v) for v in x.values()]).first()
+    centre = np.array([v if v is not None and math.isfinite(v) else 0.0 for v in row])
+    first, second = np.triu_indices(len(columns))
+
+    def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = None
+        for b in batches:
+            filled = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in b.columns]).astype(float)
+            # A null is nothing to add; NaN stays NaN and makes the correlations of its column undefined.
+            v = np.column_stack([pc.fill_null(c, 0.0).to_numpy(zero_copy_only=False) for c in b.columns]) - centre
+            v[filled == 0] = 0.0
+            with np.errstate(invalid="ignore", over="ignore"):
+                parts = [filled.T @ filled, v.T @ filled, filled.T @ v, (v * v).T @ filled, filled.T @ (v * v), v.T @ v]
+            sums = parts if sums is None else [s + p for s, p in zip(sums, parts)]
+        if sums is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(second), *[pa.array(s[first, second]) for s in sums]], names=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    rows = df.select(*[v.alias(f"c{k}") for k, v in enumerate(x.values())]).mapInArrow(gram, "i long, j long, " + ", ".join(f"{n} double" for n in ("n", "x", "y", "xx", "yy", "xy")))
+    total = rows.groupBy("i", "j").agg(*[F.sum(n).alias(n) for n in ("n", "x", "y", "xx", "yy", "xy")])
+    # What is left of a constant column is rounding.
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    spread = lambda s, ss: F.when(F.col(ss) - F.col(s) ** 2 / n > 1e-12 * F.col(ss), F.col(ss) - F.col(s) ** 2 / n)
+    r = (F.col("xy") - F.col("x") * F.col("y") / n) / F.sqrt(spread("x", "xx") * spread("y", "yy"))
+    r = F.when(F.col("i") == F.col("j"), F.when(r.isNotNull() & ~F.isnan(r), 1.0)).otherwise(r)
+    total = total.select("i", "j", F.when(r.isNotNull() & (F.col("n") > 1) & ~F.isnan(r), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("correlation"))
+    name = F.array(*[F.lit(c) for c in columns])
+    both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    pairs = total.select(F.explode(both).alias("_p"), "correlation")
+    return pairs.select(F.get(name, F.col("_p.i").cast("int")).alias("column_a"), F.get(name, F.col("_p.j").cast("int")).alias("column_b"), "correlation")

@@ -8,6 +8,7 @@ values inside are ranked exactly.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,8 +23,10 @@ BUILTIN_ROWS = 200_000
 # about 4 * RANKED_ROWS values are left to rank however large the group is.
 ACCURACY, MAX_ACCURACY = 10_000, 200_000
 RANKED_ROWS = 100_000
-# Sketch accuracy where whole columns are summed up side by side.
-WIDE_ACCURACY = 50_000
+# Size of the sketch where whole columns are summed up side by side (three numbers of 8 bytes for each unit at most), and the rank error
+# that this size is good for in nearly all cases; a bracket that misses its rank is made WIDER times as wide.
+WIDE_SKETCH, WIDE_ERROR = 8192, 0.001
+WIDER = 8
 
 
 def exact_quantiles(
@@ -118,58 +121,49 @@ def wide_quantiles(
     probs: Mapping[str, float],
     aggs: Callable[[Column], Mapping[str, Column]],
     builtin_rows: int | None = None,
-    accuracy: int = WIDE_ACCURACY,
+    error: float = WIDE_ERROR,
 ) -> DataFrame:
     """One row per entry of ``values``: ``column``, its ``aggs`` and exact quantiles over all rows.
 
-    The columns stay side by side. A first pass, run when the plan is built, takes the aggregates and a
-    sketch of each column (one row comes back). Columns with few values then use the built-in percentile;
-    of the others only the values inside the sketch brackets leave the second pass, counted by value.
+    The columns stay side by side. A first pass, run when the plan is built, takes the aggregates and a mergeable
+    sketch of each column (one row comes back). Columns with few values then use the built-in percentile. The sketches
+    of the others bracket each rank; a count below and inside the brackets (again one row) tells which hold it, those
+    that do not are widened and counted again. Only values inside brackets leave the last pass, counted by value.
     """
-    limit = max(builtin_rows or BUILTIN_ROWS, 2 * accuracy)
-    margin = 2.0 / accuracy
-    ends = [e for p in probs.values() for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    limit = builtin_rows or BUILTIN_ROWS
     names = list(values)
     plain = {c: F.when(~F.isnan(v), v) for c, v in values.items()}
-    first = [
-        F.struct(
-            *[a.alias(n) for n, a in aggs(values[c]).items()],
-            F.count(plain[c]).alias("_n"),
-            F.percentile_approx(plain[c], F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("_ends"),
-        ).alias(f"_{i}")
-        for i, c in enumerate(names)
-    ]
+    sketch = lambda v: F.kll_sketch_agg_double(v, F.lit(WIDE_SKETCH))
+    first = [F.struct(*[a.alias(n) for n, a in aggs(values[c]).items()], F.count(plain[c]).alias("_n"), F.min(plain[c]).alias("_min"), F.max(plain[c]).alias("_max"), sketch(plain[c]).alias("_sketch")).alias(f"_{i}") for i, c in enumerate(names)]
     known = df.agg(*first)
     row = known.first()
-    fields = [f for f in known.schema["_0"].dataType.fields if f.name not in ("_n", "_ends")]
-    second, small, large, inside = [], [], [], []
-    plist = F.array(*[F.lit(float(p)) for p in probs.values()])
-    for i, c in enumerate(names):
-        head = [F.lit(c).alias("column"), *[F.lit(row[i][f.name]).cast(f.dataType).alias(f.name) for f in fields]]
-        if row[i]["_n"] <= limit:
-            second.append(F.percentile(plain[c], plist).alias(f"_{i}"))
-            small.append(F.struct(*head, F.col(f"_{i}").alias("_q")))
-            continue
-        brackets = [row[i]["_ends"][2 * k : 2 * k + 2] for k in range(len(probs))]
-        second.append(F.array(*[F.count_if(plain[c] < low) for low, _ in brackets]).alias(f"_{i}"))
-        large.append(F.struct(*head, F.lit(row[i]["_n"]).alias("_n"), F.col(f"_{i}").alias("_below")))
-        for k, (low, high) in enumerate(brackets):
-            inside.append(F.when(plain[c].between(low, high), F.struct(F.lit(c).alias("column"), F.lit(k).alias("_p"), plain[c].alias("_c"))))
-    once = df.agg(*second)
+    fields = [f for f in known.schema["_0"].dataType.fields if f.name not in ("_n", "_min", "_max", "_sketch")]
     out = [f.name for f in fields]
+    plist = list(probs.values())
+    heads = {c: [F.lit(c).alias("column"), *[F.lit(row[i][f.name]).cast(f.dataType).alias(f.name) for f in fields]] for i, c in enumerate(names)}
+    few = [c for i, c in enumerate(names) if row[i]["_n"] <= limit]
+    many = {c: row[i] for i, c in enumerate(names) if row[i]["_n"] > limit}
     parts = []
-    if small:
-        rows = once.select(F.explode(F.array(*small)).alias("_s")).select("_s.*")
+    if few:
+        once = df.agg(*[F.percentile(plain[c], F.array(*map(F.lit, plist))).alias(f"_{k}") for k, c in enumerate(few)])
+        cells = [F.struct(*heads[c], F.col(f"_{k}").alias("_q")) for k, c in enumerate(few)]
+        rows = once.select(F.explode(F.array(*cells)).alias("_s")).select("_s.*")
         parts.append(rows.select("column", *out, *[F.col("_q")[k].alias(n) for k, n in enumerate(probs)]))
-    if large:
-        # One row per column.
-        heads = F.broadcast(once.select(F.explode(F.array(*large)).alias("_s")).select("_s.*"))
+    if many:
+        brackets = _brackets(df, plain, many, plist, error)
+        inside = [
+            F.when(plain[c].between(low, high), F.struct(F.lit(c).alias("column"), F.lit(k).alias("_p"), plain[c].alias("_c")))
+            for (c, k), (low, high, _) in brackets.items()
+        ]
         counted = df.select(F.explode(F.array_compact(F.array(*inside))).alias("_s")).select("_s.*").groupBy("column", "_p", "_c").agg(F.count("*").alias("_k"))
+        # One row per column.
+        cells = [F.struct(*heads[c], F.lit(r["_n"]).alias("_n"), F.array(*[F.lit(brackets[c, k][2]) for k in range(len(plist))]).alias("_below")) for c, r in many.items()]
+        known = F.broadcast(df.sparkSession.range(1).select(F.explode(F.array(*cells)).alias("_s")).select("_s.*"))
         w = Window.partitionBy("column", "_p").orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = counted.withColumn("_end", F.sum("_k").over(w)).join(heads, "column")
+        ranked = counted.withColumn("_end", F.sum("_k").over(w)).join(known, "column")
         ranked = ranked.withColumn("_end", F.col("_end") + F.get("_below", "_p")).withColumn("_first", F.col("_end") - F.col("_k"))
         picks = []
-        for k, p in enumerate(probs.values()):
+        for k, p in enumerate(plist):
             h = (F.col("_n") - 1) * F.lit(float(p))
             for name, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
                 hit = (F.col("_p") == k) & (F.col("_first") <= rank) & (rank < F.col("_end"))
@@ -179,6 +173,28 @@ def wide_quantiles(
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _brackets(df: DataFrame, plain: Mapping[str, Column], many: Mapping, plist: list[float], error: float) -> dict[tuple[str, int], tuple[float, float, int]]:
+    """(low, high, rows below low) for each column and probability, so that the wanted order statistics lie in [low, high]."""
+    spark = df.sparkSession
+    found, margins = {}, {(c, k): error for c in many for k in range(len(plist))}
+    while margins:
+        ends = {}
+        for (c, k), margin in margins.items():
+            ranks = [plist[k] - margin, plist[k] + margin]
+            ends[c, k] = [F.lit(many[c]["_min"]) if ranks[0] <= 0 else F.kll_sketch_get_quantile_double(F.lit(many[c]["_sketch"]), F.lit(ranks[0])), F.lit(many[c]["_max"]) if ranks[1] >= 1 else F.kll_sketch_get_quantile_double(F.lit(many[c]["_sketch"]), F.lit(ranks[1]))]
+        ends = dict(zip(ends, spark.range(1).select(*[F.array(*e) for e in ends.values()]).first()))
+        counts = df.agg(*[F.array(F.count_if(plain[c] < low), F.count_if(plain[c] <= high)) for (c, _), (low, high) in ends.items()]).first()
+        missed = {}
+        for (c, k), (low, high), (below, up_to) in zip(ends, ends.values(), counts):
+            h = (many[c]["_n"] - 1) * plist[k]
+            if below <= math.floor(h) and math.ceil(h) < up_to:
+                found[c, k] = (low, high, below)
+            else:
+                missed[c, k] = margins[c, k] * WIDER
+        margins = missed
+    return found
+
+
 def _interpolated(probs: Mapping[str, float], of: str) -> list[Column]:
     """Quantiles from the order statistics ``_lo<i>`` and ``_hi<i>`` around them, by the formula of the built-in percentile."""
     cols = []

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridspark.operators import capacity as cp
 from gridspark.operators import network as nw
+from gridspark.sources.staging import new_path
 from gridspark.workload.base import check, frame
 from gridspark.workload.domain import PORTAL
 
@@ -153,6 +154,52 @@ def _(spark, sf):
     return nw.capacity_totals({"PhotoVoltaicUnit": pv, "BatteryUnit": battery})
 
 
+def model_text(spark, sf) -> str:
+    """Customers as consumers, parts as transformers with an end each, suppliers as generating units, as model XML."""
+
+    def name(c):
+        return f"'<cim:IdentifiedObject.name>' || replace({c}, '&', '&amp;') || '</cim:IdentifiedObject.name>'"
+
+    lines = [
+        f"""SELECT '<cim:EnergyConsumer rdf:ID="_c' || c_custkey || '">' || {name("c_name")} || '<cim:Equipment.EquipmentContainer rdf:resource="#_n' || c_nationkey || '"/></cim:EnergyConsumer>' AS value FROM {{customer}}""",
+        f"""SELECT '<cim:PowerTransformer rdf:ID="_p' || p_partkey || '">' || {name("p_name || ' & co'")} || '</cim:PowerTransformer>
+  <cim:PowerTransformerEnd rdf:about="#_e' || p_partkey || '"><cim:PowerTransformerEnd.PowerTransformer rdf:resource="#_p' || p_partkey || '"/>
+    <cim:TransformerEnd.endNumber>' || p_size || '</cim:TransformerEnd.endNumber><cim:PowerTransformerEnd.ratedS>' || CAST(p_partkey % 7 AS DOUBLE) || '</cim:PowerTransformerEnd.ratedS></cim:PowerTransformerEnd>' FROM {{part}}""",
+        f"""SELECT '<cim:WindGeneratingUnit rdf:ID="_s' || s_suppkey || '">' || {name("s_name")} || CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE '<cim:GeneratingUnit.maxOperatingP>' || CAST(s_suppkey AS DOUBLE) / 4 || '</cim:GeneratingUnit.maxOperatingP>' END || '</cim:WindGeneratingUnit>' FROM {{supplier}}""",
+    ]
+    path = new_path(spark, "model_text")
+    frame(spark, sf, " UNION ALL ".join(lines)).write.text(path)
+    return path
+
+
+@check(
+    "model_classes",
+    """SELECT 'EnergyConsumer' AS class, 'c' || c_custkey AS id, c_name AS name, 'n' || c_nationkey AS ref, NULL::DOUBLE AS number, NULL::BIGINT AS whole FROM {customer}
+       UNION ALL SELECT 'PowerTransformer', 'p' || p_partkey, p_name || ' & co', NULL, NULL, NULL FROM {part}
+       UNION ALL SELECT 'PowerTransformerEnd', 'e' || p_partkey, NULL, 'p' || p_partkey, p_partkey % 7, p_size FROM {part}
+       UNION ALL SELECT 'WindGeneratingUnit', 's' || s_suppkey, s_name, NULL, CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey / 4 END, NULL FROM {supplier}""",
+)
+def _(spark, sf):
+    model = nw.read_model(spark, model_text(spark, sf), ("EnergyConsumer", "PowerTransformer", "PowerTransformerEnd", "WindGeneratingUnit"))
+    columns = {"name": ("name", "string"), "container": ("ref", "string"), "transformer_id": ("ref", "string"), "rated_s_mva": ("number", "double"), "max_p_mw": ("number", "double"), "end_number": ("whole", "long")}
+    out = None
+    for name, df in model.items():
+        found = {to: F.col(c).cast(kind) for c, (to, kind) in columns.items() if c in df.columns and not (name == "PowerTransformer" and c == "container")}
+        cells = [found.get(to, F.lit(None).cast(kind)).alias(to) for to, kind in (("name", "string"), ("ref", "string"), ("number", "double"), ("whole", "long"))]
+        rows = df.select(F.lit(name).alias("class"), "id", *cells)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@check(
+    "element_counts",
+    """SELECT 'EnergyConsumer' AS class, COUNT(*) AS count FROM {customer} UNION ALL SELECT 'PowerTransformer', COUNT(*) FROM {part}
+       UNION ALL SELECT 'PowerTransformerEnd', COUNT(*) FROM {part} UNION ALL SELECT 'WindGeneratingUnit', COUNT(*) FROM {supplier}""",
+)
+def _(spark, sf):
+    return nw.model_counts(nw.shred_model(spark, model_text(spark, sf)))
+
+
 # --- ratings and need -------------------------------------------------------------------------
 
 THREE = """SELECT 'B' || CAST(s_nationkey % 6 AS STRING) AS hv_substation, s_name AS lv_substation_1, s_name AS lv_substation_2,

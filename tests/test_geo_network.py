@@ -128,6 +128,33 @@ def test_model_xml(spark, tmp_path):
     assert (totals["units"], totals["total_mw"]) == (2, 4.5)
 
 
+def test_model_xml_in_one_read(spark, tmp_path):
+    path = str(tmp_path / "model.xml")
+    (tmp_path / "model.xml").write_text(XML)
+    classes = ("BaseVoltage", "Substation", "VoltageLevel", "PowerTransformer", "PowerTransformerEnd", "PhotoVoltaicUnit", "BatteryUnit")
+    for name, df in nw.read_model(spark, path, classes).items():
+        assert df.columns == nw.read_xml_class(spark, path, name).columns
+        assert sorted(map(str, df.collect())) == sorted(map(str, nw.read_xml_class(spark, path, name).collect())), name
+    counts = {r["class"]: r["count"] for r in nw.model_counts(nw.shred_model(spark, path)).collect()}
+    assert counts["PowerTransformerEnd"] == 3 and sum(counts.values()) == 10
+
+
+def test_model_xml_is_cut_anywhere(spark, tmp_path):
+    """Splits of a few bytes: properties far from their element, splits without any element."""
+    items = [f'  <cim:BatteryUnit rdf:ID="_b{i}">\n <cim:IdentifiedObject.name>{"long name " * (i % 9)}{i} &lt;&amp;&gt;</cim:IdentifiedObject.name>\n\t<cim:PowerElectronicsUnit.maxP>{i}.5</cim:PowerElectronicsUnit.maxP>\n<cim:BatteryUnit.ratedE>{i}</cim:BatteryUnit.ratedE></cim:BatteryUnit>\n' for i in range(120)]
+    (tmp_path / "model.xml").write_text('<?xml version="1.0"?>\n<rdf:RDF xmlns:cim="x#" xmlns:rdf="y#">\n' + "".join(items) + "</rdf:RDF>\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        model = nw.shred_model(spark, str(tmp_path / "model.xml"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    got = {r["id"]: tuple(r)[1:] for r in nw.model_class(model, "BatteryUnit").collect()}
+    assert got == {f"b{i}": (f"{'long name ' * (i % 9)}{i} <&>", i + 0.5, float(i)) for i in range(120)}
+
+
 def test_supply_and_loads(spark):
     units = spark.createDataFrame([("G", "A", 132.0, 33.0, 60.0, 0.3, 12.0), ("A", "B", 33.0, 11.0, 24.0, 0.5, 20.0)], "hv_substation string, lv_substation string, voltage_hv double, voltage_lv double, transformer_rating_mva_winter double, positive_sequence_impedance_r_percent double, positive_sequence_impedance_x_percent double")
     nodes = nw.node_table(units)

@@ -129,13 +129,67 @@ def test_months(make):
 
 def test_wide_summary_by_brackets(spark):
     from gridspark.operators import profile
-    from gridspark.plans import quantiles
 
     df = spark.range(300_000).selectExpr("id * 7919 % 300007 AS a", "CAST(id % 3 AS DOUBLE) AS b", "IF(id < 5, CAST(id AS DOUBLE), NULL) AS c", "CAST(NULL AS INT) AS d")
     cut = {r["column"]: r for r in profile.numeric_summary(df, builtin_rows=1).collect()}
     whole = {r["column"]: r for r in profile.numeric_summary(df, builtin_rows=10**9).collect()}
     assert cut == whole and set(cut) == {"a", "b", "c"}
-    assert 2 * quantiles.WIDE_ACCURACY < 300_000
+
+
+def test_a_bracket_that_misses_its_rank_is_widened(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from gridspark.plans import quantiles
+
+    df = spark.range(0, 200_000, 1, 3).selectExpr("CAST(id * 7919 % 200003 AS DOUBLE) AS a", "CAST(id % 2 AS DOUBLE) AS b")
+    values, probs = {c: F.col(c) for c in "ab"}, {"lo": 0.0, "q": 0.37, "m": 0.5, "hi": 1.0}
+    count = lambda v: {"n": F.count(v)}
+    exact = {r["column"]: r for r in quantiles.wide_quantiles(df, values, probs, count, builtin_rows=10**9).collect()}
+    tried, brackets = [], quantiles.F.count_if
+    monkeypatch.setattr(quantiles, "WIDE_SKETCH", 8)  # ranks off by far more than the brackets allow for
+    monkeypatch.setattr(quantiles.F, "count_if", lambda c: (tried.append(1), brackets(c))[1])
+    assert {r["column"]: r for r in quantiles.wide_quantiles(df, values, probs, count, builtin_rows=1, error=1e-7).collect()} == exact
+    assert len(tried) > 2 * len(values) * len(probs)
+
+
+def test_correlations_of_many_columns(spark):
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from gridspark.operators import profile as pr
+
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(300, 5))
+    values = base @ rng.normal(size=(5, 200)) + 0.1 * rng.normal(size=(300, 200))
+    values[:, 3] += 1e9
+    values[:, 4] = 0.1
+    frame = pd.DataFrame(values, columns=[f"c{i}" for i in range(200)]).mask(rng.random((300, 200)) < 0.1)
+    frame["none"] = np.nan
+    df = spark.createDataFrame(frame.astype(object).where(frame.notna(), None).values.tolist(), ", ".join(f"{c} double" for c in frame.columns)).repartition(3)
+    out = pr.correlation_matrix(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "corr(" not in plan and out.count() == 201 * 201
+    want = frame.corr()
+    for r in out.collect():
+        w = want.loc[r["column_a"], r["column_b"]]
+        if "c4" in (r["column_a"], r["column_b"]) or np.isnan(w):
+            assert r["correlation"] is None
+        else:
+            assert r["correlation"] == pytest.approx(w, abs=1e-6 if "c3" in (r["column_a"], r["column_b"]) else 1e-9)
+    odd = spark.createDataFrame([(1.0, 2.0), (float("nan"), 3.0), (2.0, 5.0)], "a double, b double")
+    assert {(r["column_a"], r["column_b"]): r["correlation"] for r in pr.correlation_matrix(odd).collect()}["a", "b"] is None
+
+
+def test_texts_of_columns_with_many_values_are_not_moved(spark):
+    from gridspark.operators import profile as pr
+
+    df = spark.range(500).selectExpr("CONCAT('x', id) AS many", "IF(id % 4 = 0, NULL, CONCAT('y', id % 3)) AS few", "CAST(NULL AS STRING) AS none")
+    out = pr.categorical_profile(df, max_values=3)
+    rows = {(r["column"], r["value"]): (r["distinct_values"], r["count"]) for r in out.collect()}
+    assert rows == {("many", None): (500, None), ("few", "y0"): (3, 125), ("few", "y1"): (3, 125), ("few", "y2"): (3, 125)}
+    assert "many" not in out._jdf.queryExecution().optimizedPlan().toString().split("Relation")[-1].split("Generate")[-1]
+    assert {r["column"]: r["value"] for r in pr.categorical_profile(df, max_values=2).collect()} == {"many": None, "few": None}
 
 
 def test_missed_bracket_is_an_error(spark):
