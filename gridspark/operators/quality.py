@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 from gridspark.functions.scalars import is_redacted
 from gridspark.functions.timeparts import duration_micros, micros, period_unit, truncate
 from gridspark.operators.series import align, neighbours, previous_time, regular_grid
-from gridspark.plans import CHUNK, attach, exact_quantiles, halo_blocks, is_split, keyed, largest_group, positions, split_hot, unkeyed
+from gridspark.plans import CHUNK, attach, exact_quantiles, halo_blocks, is_split, keyed, largest_group, positions, sized, split_hot, unkeyed
 from gridspark.plans.skew import BLOCK, HOME, POS, TARGET_ROWS
+from gridspark.sources.staging import staged
 
 # Rows of step candidates handled by one call of the grouping helper.
 _CANDIDATE_ROWS = 500_000
@@ -93,9 +94,11 @@ def detect_step_changes(
     out_keys = list(keys)
     df, keys = keyed(df, keys)
     # A series has no more candidates than rows.
-    at_most = largest_group(df, keys)
+    df, at_most = sized(df, keys)
     found = step_candidates(df, keys, ts, value, threshold, window_size, min_confidence, tiebreak, target_rows, at_most)
     found = found.withColumn("_us", micros(ts))
+    if at_most > (target_rows or _CANDIDATE_ROWS):
+        found = staged(found, "step_candidates")  # cutting a large series looks at them several times
     anchored = _with_anchor(found, keys, window_size * _HOUR, target_rows, at_most)
     fields = [ts, "value_before", "value_after", "magnitude", "relative_change", "direction", "confidence"]
     best = F.max_by(F.struct(*fields), F.struct("confidence", -F.col(POS)))
@@ -303,7 +306,7 @@ def fill_gaps(
     df, keys = keyed(df, keys)
     bounded = max_gap_hours is not None
     if method in ("mean", "median"):
-        at_most = largest_group(df, keys)
+        df, at_most = sized(df, keys)
         if method == "mean":
             stats = df.groupBy(*keys).agg(F.avg(value).alias("_fill"))
         else:
@@ -352,7 +355,7 @@ def flag_outliers(
     names = df.columns
     df, keys = keyed(df.where(F.col(value).isNotNull()), keys)
     if at_most is None:
-        at_most = largest_group(df, keys)
+        df, at_most = sized(df, keys)
     stats, flag = _outlier_rule(df, keys, value, method, threshold, target_rows, at_most)
     return attach(df, stats, keys, target_rows, at_most).withColumn("is_outlier", flag).select(*names, "is_outlier")
 
@@ -386,7 +389,7 @@ def screen_low(df: DataFrame, keys: Sequence[str] = (), value: str = "value", fl
     """Blank zeros and values below max(``floor``, ``share`` of the median); adds ``screened``."""
     names = df.columns
     df, keys = keyed(df, keys)
-    at_most = largest_group(df, keys)
+    df, at_most = sized(df, keys)
     medians = exact_quantiles(df, keys, value, {"_med": 0.5}, at_most=at_most)
     v = F.col(value)
     limit = F.greatest(F.lit(floor), F.col("_med") * share)
@@ -563,7 +566,7 @@ def quality_control(
     """One quality row per series. Gap details come from :func:`identify_gaps` as rows of their own."""
     asked = keys
     df, keys = keyed(df, keys)
-    at_most = largest_group(df, keys)
+    df, at_most = sized(df, keys)
     rows = df.select(*dict.fromkeys([*keys, ts, value]))
     stats, flag = _outlier_rule(rows, keys, value, outlier_method, outlier_threshold, target_rows, at_most)
     filled = F.col(value).isNotNull()

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from gridspark.functions.scalars import finite
 from gridspark.functions.timeparts import duration_micros, from_micros, micros, truncate
-from gridspark.plans import CHUNK, carried_chunks, is_split, keyed, split_hot, unkeyed
+from gridspark.plans import CHUNK, carried_chunks, is_split, keyed, split_hot, unkeyed, unsized
 
 # Grid points made from one row at a time.
 _STRIDE = 4096
@@ -125,7 +125,8 @@ def time_grid(df: DataFrame, keys: Sequence[str], ts: str, every: str, anchor: s
     """
     step = duration_micros(every)
     start = F.min(micros(ts))
-    bounds = df.where(F.col(ts).isNotNull()).groupBy(*keys).agg(start.alias("_lo"), F.max(micros(ts)).alias("_hi"))
+    # A grid may have more rows than the series it is made for.
+    bounds = unsized(df, keys).where(F.col(ts).isNotNull()).groupBy(*keys).agg(start.alias("_lo"), F.max(micros(ts)).alias("_hi"))
     if anchor == "floor":
         bounds = bounds.withColumn("_lo", F.col("_lo") - F.pmod(F.col("_lo"), F.lit(step)))
     last = F.floor((F.col("_hi") - F.col("_lo")) / F.lit(step)).cast("long")

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridspark.functions.timeparts import micros
-from gridspark.plans import CHUNK, attach, exact_quantiles, halo_blocks, is_split, keyed, largest_group, positions, unkeyed
+from gridspark.plans import CHUNK, attach, exact_quantiles, halo_blocks, is_split, keyed, positions, sized, unkeyed
 from gridspark.plans.skew import BLOCK, HOME, POS
+from gridspark.sources.staging import staged
 
 # Reported percentiles.
 _PERCENTILES = {"p10": 0.10, "p25": 0.25, "p50": 0.50, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
@@ -157,7 +158,7 @@ def peak_analysis(
     v = F.col(value)
     ratio = F.when(F.col("trough_value") != 0, F.col("peak_value") / F.nullif(F.col("trough_value"), F.lit(0.0)))
     load = F.when(F.col("peak_value") != 0, F.col("_mean") / F.nullif(F.col("peak_value"), F.lit(0.0)))
-    at_most = largest_group(df, keys)
+    df, at_most = sized(df, keys)
     extremes = [
         F.max(value).alias("peak_value"),
         F.max_by(ts, F.when(v.isNotNull(), F.struct(v, -micros(ts)))).alias("peak_timestamp"),
@@ -167,7 +168,8 @@ def peak_analysis(
         F.count(value).alias("_n"),
     ]
     wanted = {"threshold_value": threshold_percentile / 100.0}
-    found = exact_quantiles(df, keys, value, wanted, extremes, at_most=at_most)
+    # One row per series, used several times below.
+    found = staged(exact_quantiles(df, keys, value, wanted, extremes, at_most=at_most), "peaks")
     threshold = found.select(*keys, "threshold_value")
     base = (
         found.withColumn("peak_to_trough_ratio", ratio.when(F.col("peak_value") != 0, float("inf")).when(F.col("peak_value") == 0, 1.0))
@@ -184,20 +186,22 @@ def peak_analysis(
     )
     counts = above.select(*keys, parts.alias("_p")).groupBy(*keys, "_p.kind", "_p.unit").agg(F.count("*").alias("_c"))
     rank = F.row_number().over(Window.partitionBy(*keys, "kind").orderBy(F.desc("_c"), "unit"))
-    top = counts.withColumn("_r", rank).where(F.col("_r") <= 3)
 
     def picked(kind: str) -> Column:
-        ranked = F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("_r", "unit"))))
+        ranked = F.sort_array(F.collect_list(F.when((F.col("kind") == kind) & (F.col("_r") <= 3), F.struct("_r", "unit"))))
         return F.transform(ranked, lambda x: x["unit"]).alias(kind)
 
     # At most three entries per kind are left to list.
-    timing = top.groupBy(*keys).agg(*[picked(k) for k in ("peak_hours", "peak_days", "peak_months")])
-    share = above.groupBy(*keys).agg(F.count("*").alias("_above"))
+    # Every row above the threshold has one weekday.
+    timing = (
+        counts.withColumn("_r", rank)
+        .groupBy(*keys)
+        .agg(*[picked(k) for k in ("peak_hours", "peak_days", "peak_months")], F.sum(F.when(F.col("kind") == "peak_days", F.col("_c"))).alias("_above"))
+    )
     runs = longest_run(df, threshold, "threshold_value", keys, ts, value, tiebreak, target_rows, at_most)
     empty = F.array().cast("array<int>")
     return unkeyed(
-        base.join(share, keys, "left")
-        .join(timing, keys, "left")
+        base.join(timing, keys, "left")
         .join(runs, keys, "left")
         .withColumn("time_above_threshold_pct", F.coalesce(100.0 * F.col("_above") / F.nullif(F.col("_n"), F.lit(0)), F.lit(0.0)))
         .withColumns({k: F.coalesce(F.col(k), empty) for k in ("peak_hours", "peak_days", "peak_months")})

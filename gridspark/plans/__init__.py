@@ -11,8 +11,10 @@ from gridspark.plans.skew import (
     keyed,
     largest_group,
     positions,
+    sized,
     split_hot,
     unkeyed,
+    unsized,
 )
 
 __all__ = [
@@ -26,7 +28,9 @@ __all__ = [
     "keyed",
     "largest_group",
     "positions",
+    "sized",
     "split_hot",
     "unkeyed",
+    "unsized",
     "wide_quantiles",
 ]

@@ -22,6 +22,7 @@ POS = "_pos"
 BLOCK = "_block"
 HOME = "_home"
 _SERIES = "_series"
+_SIZE = "series_rows"
 
 # Rows that one window task should hold.
 TARGET_ROWS = 2_000_000
@@ -57,6 +58,8 @@ def hot_groups(df: DataFrame, group: Sequence[str], *aggs: Column, target_rows:
     row per map task, and the result is small enough to broadcast whatever the data: at most
     ``limit`` rows. A caller that knows no group has more than ``at_most`` rows saves the job.
     """
+    if at_most is None:
+        at_most = known_size(df, group)
     if at_most is not None and at_most <= (target_rows or TARGET_ROWS):
         return None
     found = (
@@ -72,8 +75,37 @@ def hot_groups(df: DataFrame, group: Sequence[str], *aggs: Column, target_rows:
     return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
+def known_size(df: DataFrame, group: Sequence[str]) -> int | None:
+    """Rows of the largest group as measured by an operator before, if its result came down to this frame."""
+    for c in group:
+        found = df.schema[c].metadata.get(_SIZE) if c in df.columns else None
+        if found and set(found["keys"]) <= set(group):
+            return found["rows"]
+    return None
+
+
+def sized(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """The frame with the rows of its largest series noted in its schema, and that number.
+
+    The note stays with the key column through filters, projections and grouping, so that operators chained on the
+    result measure nothing again. It is a matter of layout only: should later rows exceed it, results stay the same.
+    """
+    rows = largest_group(df, keys)
+    note = {**df.schema[keys[0]].metadata, _SIZE: {"keys": list(keys), "rows": rows}}
+    return df.withColumn(keys[0], F.col(keys[0]).alias(keys[0], metadata=note)), rows
+
+
+def unsized(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The frame without such a note: for operators that add rows to a series."""
+    noted = [c for c in keys if _SIZE in df.schema[c].metadata]
+    return df.withColumns({c: F.col(c).alias(c, metadata={k: v for k, v in df.schema[c].metadata.items() if k != _SIZE}) for c in noted}) if noted else df
+
+
 def largest_group(df: DataFrame, group: Sequence[str]) -> int:
     """Rows of the largest group: one number, for operators that lay out the same rows several times."""
+    known = known_size(df, group)
+    if known is not None:
+        return known
     sizes = df.groupBy(*group).agg(F.count("*").alias("_rows"))
     return sizes.agg(F.max("_rows")).first()[0] or 0
 

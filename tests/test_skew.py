@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -131,3 +133,36 @@ def test_text_ties_with_a_common_beginning_are_cut(spark):
     rows = spark.range(5000).select(F.lit("k").alias("key"), F.lit("2024-01-01").cast("timestamp_ntz").alias("ts"), F.format_string("event-%06d", "id").alias("name"))
     sizes = [r["count"] for r in split_hot(rows, ["key"], "ts", "name", target_rows=100).groupBy("_chunk").count().collect()]
     assert sum(sizes) == 5000 and max(sizes) <= 400
+
+
+def test_chained_operators_measure_once(spark, make, monkeypatch):
+    from gridspark.operators import quality, series
+
+    jobs = []
+    measured = type(spark.range(1))
+    for name in ("first", "collect"):
+        def counted(self, *args, f=getattr(measured, name), **more):
+            jobs.append(name)
+            return f(self, *args, **more)
+
+        monkeypatch.setattr(measured, name, counted)
+    df = make([float(i % 50) for i in range(200)]).withColumn("k", F.lit("a"))
+    screened = quality.screen_low(df, ["k"]).drop("screened")
+    after_one = len(jobs)
+    filled = quality.fill_gaps(screened.where("value is null or value < 100"), "linear", ["k"], max_gap_hours=6.0)
+    flagged = quality.flag_outliers(filled, ["k"])
+    quality.quality_control(flagged, ["k"])
+    assert 0 < after_one == len(jobs)
+    assert skew.known_size(flagged, ["k"]) == 200 == skew.known_size(flagged, ["k", "value"])
+    assert skew.known_size(flagged, ["value"]) is None and skew.known_size(series.regular_grid(flagged, ["k"]), ["k"]) is None
+
+
+def test_peak_analysis_reads_its_rows_three_times(spark, make, tmp_path):
+    from gridspark.operators import stats
+
+    make([float(i % 50) for i in range(400)]).withColumn("k", F.lit("a")).write.parquet(f"{tmp_path}/t")
+    out = stats.peak_analysis(spark.read.parquet(f"{tmp_path}/t"), keys=["k"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[[^\]]*\bts#", plan)) == 2  # the first read is over by now
+    row = out.first()
+    assert row["peak_value"] == 49.0 and len(row["peak_hours"]) <= 3 and row["max_consecutive_above_threshold"] == 5
