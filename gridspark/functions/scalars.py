@@ -48,7 +48,7 @@ def licence_area_code(value: str | None) -> str | None:
         return text
     for code, full in LICENCE_AREAS.items():
         if full.upper() == text:
-            raise ValueError(f"This dataset uses abbreviated licence areas. Use '{code}' instead of '{value}'.")
+            raise ValueError(f"licence area {value!r} is written {code!r} in this table")
     return value
 
 

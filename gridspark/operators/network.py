@@ -247,21 +247,26 @@ def transformer_ends(transformers: DataFrame, ends: DataFrame, base_voltages: Da
     return rows.withColumn("substation", F.coalesce("substation", F.lit("Unknown"))).drop("base_voltage_id")
 
 
+def usable_units(transformers: DataFrame, ends: DataFrame, containers: DataFrame) -> DataFrame:
+    """:func:`usable_transformers` of the model tables themselves: ends are paired before names are looked up, so that only pairs are joined."""
+    kept = _paired(ends, [])
+    units = transformers.select(F.col("id").alias("transformer_id"), "name", "container")
+    rows = kept.join(units, "transformer_id").join(containers, "container", "left")
+    return rows.select("transformer_id", "name", F.coalesce("substation", F.lit("Unknown")).alias("substation"), *kept.columns[1:])
+
+
 def usable_transformers(ends: DataFrame) -> DataFrame:
     """Units with exactly two ends and rating, voltage and reactance on the first."""
+    return _paired(ends, ["name", "substation"])
+
+
+def _paired(ends: DataFrame, names: Sequence[str]) -> DataFrame:
     end = F.struct("end_number", "rated_s_mva", "rated_u_kv", "r_ohm", "x_ohm")
-    pairs = ends.groupBy("transformer_id").agg(
-        F.count("*").alias("_n"),
-        F.first("name").alias("name"),
-        F.first("substation").alias("substation"),
-        F.min(end).alias("hv"),
-        F.max(end).alias("lv"),
-    )
+    pairs = ends.groupBy("transformer_id").agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in names], F.min(end).alias("hv"), F.max(end).alias("lv"))
     filled = [F.coalesce(F.col(f"hv.{c}") != 0, F.lit(False)) for c in ("rated_s_mva", "rated_u_kv", "x_ohm")]
     return pairs.where((F.col("_n") == 2) & filled[0] & filled[1] & filled[2]).select(
         "transformer_id",
-        "name",
-        "substation",
+        *names,
         F.col("hv.rated_u_kv").alias("hv_kv"),
         F.col("lv.rated_u_kv").alias("lv_kv"),
         F.col("hv.rated_s_mva").alias("sn_mva"),

@@ -32,7 +32,7 @@ def query(
 ) -> DataFrame:
     """Apply the parameters in the order filter, group or project, sort, page."""
     if columns is not None and select is not None:
-        raise ValueError("Use either 'columns' or 'select', not both.")
+        raise ValueError("'select' and 'columns' say the same: give one of them")
     out = matching(df, where, refine, exclude, polygon, distance)
     chosen = _expressions(select if columns is None else columns)
     if group_by:

@@ -49,7 +49,7 @@ def query_bounds(catalog: Catalog, bounds: Mapping[str, float], datasets: Sequen
     known = catalog.names()
     unknown = [d for d in datasets if d not in known]
     if unknown:
-        raise ValueError(f"Unknown dataset(s): {unknown}. Available: {list(known)}")
+        raise ValueError(f"no tables are named {unknown}; names are {list(known)}")
     ring = bounds_ring(bounds["north"], bounds["south"], bounds["east"], bounds["west"])
     results, errors = {}, {}
     for name in datasets:

@@ -116,7 +116,7 @@ def autocorrelation(
 def seasonal_pattern(df: DataFrame, period: str = "daily", keys: Sequence[str] = (), ts: str = "ts", value: str = "value") -> DataFrame:
     """``(keys..., unit, mean, std, min, max)`` by hour of day, weekday or month."""
     if period not in _UNITS:
-        raise ValueError(f"Unknown period: {period}. Use 'daily', 'weekly', or 'annual'.")
+        raise ValueError(f"period {period!r} is none of ('daily', 'weekly', 'annual')")
     return (
         df.where(F.col(value).isNotNull() & F.col(ts).isNotNull())
         .dropna(subset=list(keys) or [ts])

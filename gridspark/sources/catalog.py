@@ -49,7 +49,7 @@ class Catalog:
         if name in names.values():
             return name
         if name not in names:
-            raise ValueError(f"Unknown dataset: '{name}'. Available datasets: {', '.join(names)}")
+            raise ValueError(f"no table is named {name!r}; names are {', '.join(names)}")
         return names[name]
 
     def register(self, name: str, source: Source, group: str | None = None) -> None:

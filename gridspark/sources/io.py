@@ -55,7 +55,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str |
 def export(df: DataFrame, path: str, format: str = "csv", limit: int | None = None, offset: int | None = None, mode: str = "errorifexists", **params) -> None:
     """Write the rows that the query parameters leave. A limit or offset of zero means none."""
     if format not in EXPORT_FORMATS:
-        raise ValueError(f"Unsupported format: {format}. Supported formats: {', '.join(EXPORT_FORMATS)}")
+        raise ValueError(f"cannot write {format!r}; formats are {', '.join(EXPORT_FORMATS)}")
     writer = query(df, limit=limit or None, offset=offset or 0, **params).write.mode(mode)
     if format == "csv":
         writer.option("header", True).option("sep", ";").csv(path)
@@ -68,7 +68,7 @@ def export(df: DataFrame, path: str, format: str = "csv", limit: int | None = No
 def geojson_features(df: DataFrame, dimensions: str = "raw") -> DataFrame:
     """One GeoJSON Feature per row, as text in ``value``."""
     if dimensions not in ("raw", "2d", "3d"):
-        raise ValueError(f"Unknown dimensions: {dimensions}. Use 'raw', '2d' or '3d'.")
+        raise ValueError(f"dimensions {dimensions!r} are none of ('raw', '2d', '3d')")
     geometry = resolve_geometry(df)
     if dimensions != "raw":
         geometry = (strip_z if dimensions == "2d" else ensure_z)(geometry)

@@ -142,6 +142,18 @@ def _(spark, sf):
     return nw.usable_transformers(model_ends(spark, sf))
 
 
+@check(
+    "usable_units",
+    f"""{ENDS_SQL}, r AS (SELECT *, COUNT(*) OVER (PARTITION BY transformer_id) AS n, ROW_NUMBER() OVER (PARTITION BY transformer_id ORDER BY end_number) AS rn FROM full_ends)
+        SELECT h.transformer_id, h.name, h.substation, ROUND(h.rated_u_kv, 4) AS hv_kv, ROUND(l.rated_u_kv, 4) AS lv_kv, ROUND(h.rated_s_mva, 4) AS sn_mva, ROUND(h.r_ohm, 4) AS r_ohm, ROUND(h.x_ohm, 4) AS x_ohm
+        FROM r h JOIN r l ON l.transformer_id = h.transformer_id AND h.rn = 1 AND l.rn = 2 WHERE h.n = 2 AND h.rated_s_mva <> 0 AND h.rated_u_kv <> 0 AND h.x_ohm <> 0""",
+    digits=4,
+)
+def _(spark, sf):
+    m = {k: frame(spark, sf, v) for k, v in MODEL.items()}
+    return nw.usable_units(m["units"], m["ends"], nw.container_names(m["subs"], m["levels"]))
+
+
 @check(
     "class_capacity_totals",
     """SELECT 'PhotoVoltaicUnit' AS class, COUNT(*) AS units, ROUND(SUM(p_retailprice), 2) AS total_mw FROM {part}

@@ -59,6 +59,25 @@ def _(spark, sf):
     return s.resample(frame(spark, sf, IRREGULAR), "day", K)
 
 
+# A part of the rows lies two months on, so that days between them have none.
+HOLES = f"SELECT key, event_id, CASE WHEN event_id % 5 = 0 THEN ts + INTERVAL '61' DAY ELSE ts END AS ts, value FROM ({IRREGULAR}) i WHERE EXTRACT(day FROM ts) % 7 <> 2 OR event_id % 5 = 0"
+
+
+@check(
+    "resample_daily_with_holes",
+    """WITH s AS (""" + HOLES + """),
+       d AS (SELECT key, date_trunc('day', ts) AS ts, AVG(value) AS mean, MIN(value) AS min, MAX(value) AS max, SUM(value) AS sum, COUNT(value) AS count
+             FROM s GROUP BY 1, 2),
+       b AS (SELECT key, MIN(ts) AS lo, MAX(ts) AS hi FROM d GROUP BY key),
+       g AS (SELECT key, UNNEST(generate_series(lo, hi, INTERVAL 1 DAY)) AS ts FROM b)
+       SELECT g.key, CAST(g.ts AS TIMESTAMP) AS ts, ROUND(mean, 6) AS mean, ROUND(min, 6) AS min, ROUND(max, 6) AS max,
+              ROUND(COALESCE(sum, 0.0), 6) AS sum, CAST(COALESCE(count, 0) AS BIGINT) AS count
+       FROM g LEFT JOIN d ON d.key = g.key AND d.ts = g.ts""",
+)
+def _(spark, sf):
+    return s.resample(frame(spark, sf, HOLES), "day", K)
+
+
 @check(
     "resample_monthly",
     """WITH d AS (SELECT o_orderpriority AS key, date_trunc('month', o_orderdate) AS ts, MIN(o_totalprice) AS min, MAX(o_totalprice) AS max,
@@ -104,7 +123,9 @@ def _(spark, sf):
     return q.summarize_flow_balance(frame(spark, sf, LINE), frame(spark, sf, TRAFO), 0.2)
 
 
-WX = "SELECT date_trunc('hour', ts) AS ts, ROUND(AVG(value), 4) AS temperature FROM {events} GROUP BY 1"
+# Every fifth hour or so has no reading: the last one before it is carried on.
+WX = """SELECT ts, CASE WHEN EXTRACT(hour FROM ts) % 5 = 3 THEN NULL ELSE temperature END AS temperature
+   FROM (SELECT date_trunc('hour', ts) AS ts, ROUND(AVG(value), 4) AS temperature FROM {events} GROUP BY 1) h"""
 
 
 @check(

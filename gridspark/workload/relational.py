@@ -9,7 +9,8 @@ from gridspark.operators import profile as pr
 from gridspark.operators import query as qy
 from gridspark.operators.paging import PageIndex, page_after
 from gridspark.sources import catalog as ct
-from gridspark.sources.io import flatten_records
+from gridspark.sources.io import export, flatten_records, read_delimited
+from gridspark.sources.staging import new_path
 from gridspark.workload.base import check, frame, table
 
 # --- query parameters -------------------------------------------------------------------------
@@ -84,6 +85,14 @@ def _(spark, sf):
     return page_after(table(spark, sf, "orders"), "o_orderstatus", ("F", 700), 300, ["o_orderkey"]).select("o_orderkey", "o_orderstatus")
 
 
+@check("delimited_round_trip", "SELECT o_orderkey, o_orderstatus, ROUND(o_totalprice, 4) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, 'a;\"' || o_orderpriority || '\"' AS note FROM {orders} WHERE o_orderstatus <> 'F'", digits=4)
+def _(spark, sf):
+    path = new_path(spark, "orders_text")
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"), F.concat(F.lit('a;"'), "o_orderpriority", F.lit('"')).alias("note"))
+    export(rows, path, "csv", where="o_orderstatus <> 'F'")
+    return read_delimited(spark, path, "o_orderkey long, o_orderstatus string, o_totalprice double, o_orderdate date, note string")
+
+
 @check("bounded_fetch", "SELECT o_orderkey, o_custkey FROM {orders} WHERE o_orderpriority = '2-HIGH' ORDER BY o_orderdate DESC, o_orderkey LIMIT 200")
 def _(spark, sf):
     return qy.fetch_all(table(spark, sf, "orders"), "o_orderpriority = '2-HIGH'", 200, "-o_orderdate", ["o_orderkey"]).select("o_orderkey", "o_custkey")

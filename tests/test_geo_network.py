@@ -89,7 +89,7 @@ def test_bounds_over_tables(spark, tmp_path):
     found = query_bounds(catalog, BOUNDS, ["secondary_sites", "lv_poles"])
     assert [(r["dataset"], r["name"]) for r in found.union().collect()] == [("secondary_sites", "a")]
     assert list(found.errors) == ["lv_poles"] and found.status().first()["rows"] == 1
-    with pytest.raises(ValueError, match="Unknown dataset"):
+    with pytest.raises(ValueError, match="no tables are named"):
         query_bounds(catalog, BOUNDS, ["nope"])
 
 
