@@ -151,25 +151,31 @@ def wide_quantiles(
         parts.append(rows.select("column", *out, *[F.col("_q")[k].alias(n) for k, n in enumerate(probs)]))
     if many:
         brackets = _brackets(df, plain, many, plist, error)
-        inside = [
-            F.when(plain[c].between(low, high), F.struct(F.lit(c).alias("column"), F.lit(k).alias("_p"), plain[c].alias("_c")))
-            for (c, k), (low, high, _) in brackets.items()
+        # Where both ends of a bracket are the same value, that is the quantile; values of the others are ranked.
+        open_ones = {at: ends for at, ends in brackets.items() if ends[0] < ends[1]}
+        cells = [
+            F.struct(*heads[c], F.lit(r["_n"]).alias("_n"), F.array(*[F.lit(None if (c, k) in open_ones else brackets[c, k][0]).cast("double") for k in range(len(plist))]).alias("_known"))
+            for c, r in many.items()
         ]
-        counted = df.select(F.explode(F.array_compact(F.array(*inside))).alias("_s")).select("_s.*").groupBy("column", "_p", "_c").agg(F.count("*").alias("_k"))
         # One row per column.
-        cells = [F.struct(*heads[c], F.lit(r["_n"]).alias("_n"), F.array(*[F.lit(brackets[c, k][2]) for k in range(len(plist))]).alias("_below")) for c, r in many.items()]
-        known = F.broadcast(df.sparkSession.range(1).select(F.explode(F.array(*cells)).alias("_s")).select("_s.*"))
-        w = Window.partitionBy("column", "_p").orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = counted.withColumn("_end", F.sum("_k").over(w)).join(known, "column")
-        ranked = ranked.withColumn("_end", F.col("_end") + F.get("_below", "_p")).withColumn("_first", F.col("_end") - F.col("_k"))
-        picks = []
-        for k, p in enumerate(plist):
-            h = (F.col("_n") - 1) * F.lit(float(p))
-            for name, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
-                hit = (F.col("_p") == k) & (F.col("_first") <= rank) & (rank < F.col("_end"))
-                picks.append(F.max(F.when(hit, F.col("_c"))).alias(f"_{name}{k}"))
-        rows = ranked.groupBy("column", "_n", *out).agg(*picks)
-        parts.append(rows.select("column", *out, *_interpolated(probs, "a column")))
+        known = df.sparkSession.range(1).select(F.explode(F.array(*cells)).alias("_s")).select("_s.*")
+        picks = [(k, name, rank((F.col("_n") - 1) * F.lit(float(p)))) for k, p in enumerate(plist) for name, rank in (("lo", F.floor), ("hi", F.ceil))]
+        if open_ones:
+            inside = [F.when(plain[c].between(low, high), F.struct(F.lit(c).alias("column"), F.lit(k).alias("_p"), plain[c].alias("_c"))) for (c, k), (low, high, _) in open_ones.items()]
+            # Most rows lie in no bracket: they are left out before anything is put together for them.
+            near = _any([plain[c].between(low, high) for (c, _), (low, high, _) in open_ones.items()])
+            counted = df.where(near).select(F.explode(F.array_compact(F.array(*inside))).alias("_s")).select("_s.*").groupBy("column", "_p", "_c").agg(F.count("*").alias("_k"))
+            below = df.sparkSession.createDataFrame([(c, k, below) for (c, k), (_, _, below) in open_ones.items()], "column string, _p int, _below long")
+            rows_of = df.sparkSession.createDataFrame([(c, r["_n"]) for c, r in many.items()], "column string, _n long")
+            w = Window.partitionBy("column", "_p").orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
+            ranked = counted.withColumn("_end", F.sum("_k").over(w)).join(F.broadcast(below), ["column", "_p"]).join(F.broadcast(rows_of), "column")
+            ranked = ranked.withColumn("_end", F.col("_end") + F.col("_below")).withColumn("_first", F.col("_end") - F.col("_k"))
+            found = [F.max(F.when((F.col("_p") == k) & (F.col("_first") <= at) & (at < F.col("_end")), F.col("_c"))).alias(f"_found_{name}{k}") for k, name, at in picks]
+            known = known.join(ranked.groupBy("column").agg(*found), "column", "left")
+        else:
+            known = known.withColumns({f"_found_{name}{k}": F.lit(None).cast("double") for k, name, _ in picks})
+        known = known.withColumns({f"_{name}{k}": F.coalesce(F.get("_known", F.lit(k)), F.col(f"_found_{name}{k}")) for k, name, _ in picks})
+        parts.append(known.select("column", *out, *_interpolated(probs, "a column")))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
