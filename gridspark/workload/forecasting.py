@@ -201,6 +201,21 @@ def _(spark, sf):
     return out.groupBy("l_returnflag", "l_linenumber").agg(F.max("forecast").alias("forecast"))
 
 
+@check(
+    "boosting_bands_by_key",
+    f"""WITH o AS (SELECT *, EXTRACT(dow FROM ts) AS dow FROM ({ORDERS}) x), f AS (SELECT key, dow, AVG(value) AS f FROM o WHERE ts < TIMESTAMP '1998-01-01' GROUP BY 1, 2),
+        s AS (SELECT o.*, f.f FROM o JOIN f USING (key, dow)),
+        b AS (SELECT key, EXTRACT(hour FROM ts) AS h, quantile_cont(value - f, 0.1) AS a, quantile_cont(value - f, 0.5) AS m, quantile_cont(value - f, 0.9) AS z FROM s WHERE ts < TIMESTAMP '1998-01-01' GROUP BY 1, 2)
+        SELECT o_orderkey, ROUND(f, 3) AS forecast, ROUND(f + a, 3) AS p10, ROUND(f + m, 3) AS p50, ROUND(f + z, 3) AS p90 FROM s LEFT JOIN b ON b.key = s.key AND b.h = EXTRACT(hour FROM s.ts) WHERE ts >= TIMESTAMP '1998-01-01'""",
+    digits=3,
+)
+def _(spark, sf):
+    rows = ft.calendar_features(frame(spark, sf, ORDERS).withColumnRenamed("value", "load_mw"), "ts")
+    rows = rows.select("key", "ts", "o_orderkey", "load_mw", "day_of_week", (F.col("ts") < F.lit("1998-01-01").cast(rows.schema["ts"].dataType)).alias("known"))
+    out = fit_predict(rows, K, ["day_of_week"], "load_mw", "known", rounds=1, rate=1.0)
+    return fc.residual_bands(out.where("known"), out.where("not known"), keys=K).select("o_orderkey", "forecast", "p10", "p50", "p90")
+
+
 # --- fitted models: no SQL counterpart --------------------------------------------------------
 
 
