@@ -6,14 +6,16 @@ a frequent word is spread over a whole row or column of shards; equal pairs of a
 
 Training: shards count their pairs; word shards sum what all pair shards know of a word (count, histories before it,
 followers by count); discounts come from counts of counts over the whole corpus; each pair shard asks the word shards
-for the words it has and stores, per pair, sorted hashes and what the pair adds to the back-off score. Scoring: a text's
+for the words it has and stores, per pair, sorted hashes and what the pair adds to the back-off score. Words that make up a
+share of the corpus (a bounded list) are scored where the text is read; of the others a text sends each once. Scoring: a text's
 score is the sum of log10 back-off weight and continuation probability of all its words (word shards) plus those
 additions for the pairs that the model has (pair shards). Shards are memory-mapped from a file by the worker that uses
-them. Nothing passes through the driver but the counts of counts.
+them. Nothing passes through the driver but the counts of counts and that list.
 
 Rows: a null text is empty; every text has one end token. Words are held as 64-bit hashes, pairs within a shard as 40
 bits, so of a million unseen pairs about one per million entries of a shard is taken for a seen one. Without training
-texts every word has probability 1. Repeated ids and null ids are scored as rows of their own.
+texts every word has probability 1. Repeated ids and null ids are scored as rows of their own. Very long texts are taken whole, in memory
+proportional to their words. An empty table gives an empty result. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 BLOCK_WORDS, SHARD_WORDS, PER_WORD_SHARD = 400_000, 1_000_000, 8
 BLOCK_DOCS = 60_000
 CHARS_PER_WORD = 6
+#: Words that make up one in so many tokens, or histories, are known to every scoring task (at most twice as many words as this).
+FREQUENT = 1 << 16
 #: Gains are stored in steps of 1 / GAIN.
 GAIN = 1 << 20
 _PACK, _UNPACK = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
@@ -244,6 +248,35 @@ class Totals:
         return np.where(n > 0, (self.d[1] * stats[2] + self.d[2] * stats[3] + self.d[3] * stats[4]) / np.maximum(n, 1), 1.0)
 
 
+    def values(self, words: np.ndarray, stats: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What one occurrence of each word adds: to the score without pairs, to the base score, to the known words.
+
+        Every word is a word and, but for ends (which are never a history), a history once; starts are histories only.
+        """
+        real = words != START
+        floor = float(np.log10(self.tokens + self.vocabulary + 1))
+        score = np.log10(self.backoff(stats)) + np.where(real, np.log10(self.continuation(stats[1])), 0)
+        return score, np.where(real, np.log10(stats[0] + 1.0) - floor, 0), (stats[0] > 0).astype(float)
+
+
+def _frequent(words: DataFrame, tokens: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted words that occur, or are a history, in one of FREQUENT places, and their statistics."""
+    least = max(1, int(tokens / FREQUENT))
+
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for w, x in zip(b["words"], b["stats"]):
+                w, x = _sorted_array(w), _unplanes(x, np.int64).reshape(6, -1)
+                often = (x[0] >= least) | (x[5] >= least)
+                yield pd.DataFrame({"words": [w[often].tobytes()], "stats": [np.ascontiguousarray(x[:, often].T).tobytes()]})
+
+    found = words.select("words", "stats").mapInPandas(pick, "words binary, stats binary").collect()  # at most 2 * FREQUENT words
+    w = np.concatenate([np.frombuffer(r["words"], np.uint64) for r in found]) if found else np.empty(0, np.uint64)
+    x = np.concatenate([np.frombuffer(r["stats"], np.int64).reshape(-1, 6) for r in found]) if found else np.empty((0, 6), np.int64)
+    order = np.argsort(w)
+    return w[order], np.ascontiguousarray(x[order].T)
+
+
 def train(docs: DataFrame, text_col: str, grid: Grid) -> tuple[DataFrame, DataFrame, Totals]:
     """Pair shards (shard, keys, gains), word shards (wshard, words, stats) and the totals."""
     shards = keep(_count_pairs(docs, text_col, grid), "pairs")
@@ -309,6 +342,8 @@ def _pair_keys(h: np.ndarray, w: np.ndarray) -> np.ndarray:
 def score(docs: DataFrame, model: DataFrame, words: DataFrame, totals: Totals, grid: Grid, id_col: str, text_col: str) -> DataFrame:
     """``id_col, n_tokens, n_known, base_score, score``, one row per document."""
     kind = docs.schema[id_col].dataType.simpleString()
+    often, stats_of_often = _frequent(words, totals.tokens)
+    worth = np.stack(totals.values(often, stats_of_often))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -320,14 +355,22 @@ def score(docs: DataFrame, model: DataFrame, words: DataFrame, totals: Totals, g
             keys = _pair_keys(h, w)
             order = np.argsort(keys)
             out = [("pair", s, block, _sorted_bytes(keys[x]), _planes(d[x]), None, None, None) for s, x in _by_shard(grid.pair(h[order], w[order]), order)]
-            # Every word is a word and, but for ends, a history once; starts are histories only.
+            # Frequent words are summed here, so that no shard gets all texts of one. The others go out once per text, with their number.
             every = np.concatenate([w, np.full(len(texts), START, np.uint64)])
             at = np.concatenate([d, np.arange(len(texts)).astype(np.uint16)])
-            order = np.argsort(every, kind="stable")
-            for s, x in _by_shard(grid.word(every[order]), order):
+            place = np.minimum(np.searchsorted(often, every), max(len(often) - 1, 0))
+            known = often[place] == every if len(often) else np.zeros(len(every), bool)
+            here = np.concatenate([np.bincount(at[known], weights=v[place[known]], minlength=len(texts)) for v in worth])
+            every, at = every[~known], at[~known]
+            order = np.lexsort((at, every))
+            every, at = every[order], at[order]
+            first = np.flatnonzero(np.concatenate([[True], (every[1:] != every[:-1]) | (at[1:] != at[:-1])])) if len(every) else np.empty(0, np.int64)
+            times = np.diff(np.append(first, len(every))).astype(np.uint32)
+            every, at = every[first], at[first]
+            for s, x in _by_shard(grid.word(every), np.arange(len(every))):
                 dw, runs = _runs(every[x])
-                out.append(("word", s, block, _sorted_bytes(dw), _planes(np.diff(np.append(runs, len(x))).astype(np.uint32)), _planes(at[x]), None, None))
-            out.append(("text", block, block, None, None, None, _planes(np.bincount(d, minlength=len(texts)).astype(np.int64)), [r[0] for r in rows]))
+                out.append(("word", s, block, _sorted_bytes(dw), _planes(np.diff(np.append(runs, len(x))).astype(np.uint32)), _planes(at[x]), _planes(times[x]), None))
+            out.append(("text", block, block, _planes(here), None, None, _planes(np.bincount(d, minlength=len(texts)).astype(np.int64)), [r[0] for r in rows]))
             types = [pa.string(), pa.int64(), pa.int64()] + [pa.binary()] * 4 + [pa.list_(ids)]
             for s in range(0, len(out), 64):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[s : s + 64]), types)], names=names)
@@ -336,7 +379,6 @@ def score(docs: DataFrame, model: DataFrame, words: DataFrame, totals: Totals, g
     from pyspark.sql.pandas.types import to_arrow_type
 
     ids = to_arrow_type(docs.schema[id_col].dataType)
-    floor = float(np.log10(totals.tokens + totals.vocabulary + 1))
     columns = ["block", "x", "b4", "ids"]
 
     def look_up(key: tuple, asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
@@ -344,7 +386,7 @@ def score(docs: DataFrame, model: DataFrame, words: DataFrame, totals: Totals, g
         if not len(asked):
             return pd.DataFrame(columns=columns)
         if what == "text":
-            return pd.DataFrame({"block": asked["block"], "x": [None] * len(asked), "b4": asked["b4"], "ids": asked["ids"]})
+            return pd.DataFrame({"block": asked["block"], "x": asked["b1"], "b4": asked["b4"], "ids": asked["ids"]})
         if what == "pair":
             keys = _mapped(_sorted_array(known["b1"].iloc[0])) if len(known) else np.empty(0, np.uint64)
             gains = _mapped(_unplanes(known["b2"].iloc[0], np.uint32)) if len(known) else np.empty(0, np.uint32)
@@ -358,17 +400,16 @@ def score(docs: DataFrame, model: DataFrame, words: DataFrame, totals: Totals, g
             return pd.DataFrame(out, columns=columns)
         every = _mapped(_sorted_array(known["b1"].iloc[0])) if len(known) else np.empty(0, np.uint64)
         stats = _mapped(_unplanes(known["b2"].iloc[0], np.int64)).reshape(6, -1) if len(known) else np.zeros((6, 0), np.int64)
-        for block, b1, b2, b3 in zip(asked["block"], asked["b1"], asked["b2"], asked["b3"]):
-            w, runs, d = _sorted_array(b1), _unplanes(b2, np.uint32).astype(np.int64), _unplanes(b3, np.uint16)
+        for block, b1, b2, b3, b4 in zip(asked["block"], asked["b1"], asked["b2"], asked["b3"], asked["b4"]):
+            w, runs, d, times = _sorted_array(b1), _unplanes(b2, np.uint32).astype(np.int64), _unplanes(b3, np.uint16), _unplanes(b4, np.uint32)
             s = np.zeros((6, len(w)), np.int64)
             if len(every):
                 i = np.minimum(np.searchsorted(every, w), len(every) - 1)
                 hit = every[i] == w
                 s[:, hit] = stats[:, i[hit]]
-            real = w != START
-            values = (np.log10(totals.backoff(s)) + np.where(real, np.log10(totals.continuation(s[1])), 0), np.where(real, np.log10(s[0] + 1.0) - floor, 0), (s[0] > 0).astype(float))
             n = int(d.max()) + 1
-            out.append((block, _planes(np.concatenate([np.bincount(d, weights=np.repeat(v, runs), minlength=n) for v in values])), None, None))
+            sums = [np.bincount(d, weights=np.repeat(v, runs) * times, minlength=n) for v in totals.values(w, s)]
+            out.append((block, _planes(np.concatenate(sums)), None, None))
         return pd.DataFrame(out, columns=columns)
 
     def total(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
@@ -376,7 +417,7 @@ def score(docs: DataFrame, model: DataFrame, words: DataFrame, totals: Totals, g
         tokens = _unplanes(head["b4"], np.int64)
         sums = np.zeros((3, len(tokens)))
         for x in g["x"]:
-            if x is not None:
+            if x:
                 part = _unplanes(x, np.float64).reshape(3, -1)
                 sums[:, : part.shape[1]] += part
         return pd.DataFrame({id_col: pd.Series(list(head["ids"]), dtype="Int64" if kind in ("bigint", "int") else object), "n_tokens": tokens, "n_known": np.rint(sums[2]).astype(np.int64), "base_score": sums[1], "score": sums[0]})

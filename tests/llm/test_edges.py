@@ -119,3 +119,80 @@ def test_every_query_returns_its_rows(spark, name):
     if "held_out" in got.columns:
         parts = 7 if name.startswith("op5") else 5
         assert got.filter(F.col("held_out") != (F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == (2 if parts == 7 else 0))).count() == 0
+
+
+def test_frequent_words_are_scored_alike_where_they_are_read_and_in_shards(spark, monkeypatch):
+    from gridspark.llm import kneser_ney
+
+    docs = odd_docs(spark).unionByName(odd_docs(spark).withColumn("text", F.repeat(F.concat("text", F.lit(" the the end ")), 30)))
+    monkeypatch.setattr(kneser_ney, "BLOCK_WORDS", 2000)
+    monkeypatch.setattr(kneser_ney, "SHARD_WORDS", 3000)
+    found = []
+    for frequent in (1 << 16, 20, 0.5):
+        monkeypatch.setattr(kneser_ney, "FREQUENT", frequent)
+        rows, totals = kneser_ney.train_and_score(docs, common.fold("doc_id", 7) != 2)
+        found.append(sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], round(r["base_score"], 5), round(r["score"], 5)) for r in rows.collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) == docs.count()
+
+
+def test_languages_by_bundling_in_plain_python(spark, monkeypatch):
+    """Prototypes and cosines from lists of numbers, gram by gram."""
+    import math
+
+    import numpy as np
+    from gridspark.llm import hd_language
+
+    monkeypatch.setattr(hd_language, "DIMENSIONS", 64)
+    letters = {}
+
+    def letter(c):
+        if c not in letters:
+            bits = np.random.Generator(np.random.Philox(key=[hd_language.SEED, ord(c)])).integers(0, 2, 64, dtype=np.int8)
+            letters[c] = [2 * int(b) - 1 for b in bits]
+        return letters[c]
+
+    def moved(v, k):
+        return v[-k:] + v[:-k]
+
+    def document(text):
+        kept = []
+        for c in text.lower():
+            if c.isalpha():
+                kept.append(c)
+            elif kept and kept[-1] != " ":
+                kept.append(" ")
+        if not any(c.isalpha() for c in kept):
+            return None
+        line = [" ", *kept, " "]
+        sums = [0] * 64
+        for a, b, c in zip(line, line[1:], line[2:]):
+            for i, (x, y, z) in enumerate(zip(moved(letter(a), 2), moved(letter(b), 1), letter(c))):
+                sums[i] += x * y * z
+        return sums
+
+    def unit(v):
+        n = math.sqrt(sum(x * x for x in v))
+        return [x / n for x in v]
+
+    learned = [("Der Hund läuft.", "de"), ("die Katze schläft", "de"), ("the dog is running", "en"), ("Cats sleep all day", "en"), ("!!", "en"), ("le chien court", None)]
+    asked = ["ein Hund", "a dog and a cat", "ÄÖÜ", "x", "  tail. ", "42 !", "", None]
+    rows = spark.createDataFrame(learned, "text string, lang string")
+    model = hd_language.learn(rows, "text", "lang", dimensions=64)
+    protos = {}
+    for text, lang in learned:
+        v = document(text)
+        if lang and v:
+            protos[lang] = [x + y for x, y in zip(protos.get(lang, [0] * 64), unit(v))]
+    assert model[0] == sorted(protos)
+    for row, lang in zip(model[1], model[0]):
+        assert row.tolist() == pytest.approx(unit(protos[lang]))
+    got = {r["doc_id"]: r for r in hd_language.predict(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(asked):
+        v = document(text) if text else None
+        if v is None:
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+            continue
+        cosines = {lang: sum(x * y for x, y in zip(unit(p), unit(v))) for lang, p in protos.items()}
+        best = max(cosines.values())
+        assert cosines[got[i]["lang_pred"]] == pytest.approx(best) == got[i]["cosine"]
+        assert got[i]["score"] == pytest.approx(1 / sum(math.exp((c - best) / hd_language.TEMPERATURE) for c in cosines.values()))
