@@ -5,7 +5,9 @@ vectors of its letters, permuted by their place; a document bundles (adds) its g
 the documents it was learned from. The language with the largest cosine to a document is predicted.
 
 Rows: null or letterless texts are ``und`` with score 0. Rows without language are not learned from. Without any
-prototype every text is ``und``. Ties go to the language that comes first by code point.
+prototype every text is ``und``. Ties go to the language that comes first by code point. Very long texts are taken whole. Repeated rows
+and ids, and null ids, are judged row by row. An empty table gives an empty result. Columns other than id, text and language are not
+read, so their names cannot clash.
 """
 
 from __future__ import annotations

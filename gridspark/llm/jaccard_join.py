@@ -11,7 +11,8 @@ documents only decides on the order of tokens. Components join links by alternat
 
 Rows: null and empty texts have the empty set and are linked with nothing; a text with fewer words than a shingle has
 the whole as its one shingle. Rows that repeat an id are linked with each other. Rows with null id stay alone, with a
-null component. Sets are held as 64-bit hashes.
+null component. Sets are held as 64-bit hashes. Very long texts are taken whole: a set is one row. An empty table gives an empty result.
+Columns other than id and text are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

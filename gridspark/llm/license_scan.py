@@ -6,7 +6,8 @@ length, then place: one whose interval lies inside that of a settled detection i
 the base phrases; they are always reported and suppress nothing that is not inside them.
 
 Rows: null and empty texts have no words, no labels and score 0. Repeated rows are scanned as they come. Words are
-counted on whole texts; labels are distinct and sorted.
+counted on whole texts, very long ones too; labels are distinct and sorted. An empty table gives an empty result. Columns other than id
+and text are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
