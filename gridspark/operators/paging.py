@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 #: A page that ends within so many rows is found by Spark's top-k, whose tasks hold that many rows each.
 SHALLOW_ROWS = 100_000
 #: Ranges per cut, and sampled rows per range.
-RANGES = 64
-_SAMPLED = 40
+RANGES = 16
+_SAMPLED = 100
 
 
 @dataclass(frozen=True)
