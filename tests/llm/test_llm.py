@@ -139,11 +139,45 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty).count() == 0 and mixing.take(empty).count() == 0
 
 
-def test_newton_meets_token_and_document_constraints(spark):
-    sizes = spark.createDataFrame([("sa", "a", 1 + i % 37) for i in range(500)], "_key string, source string, size long")
-    sources = sizes.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"), F.avg("size").alias("mean"), F.stddev_pop("size").alias("sd")).withColumn("target", F.col("source_size") * 2.5)
-    r = mixing.balance(sizes, sources).first()
-    assert r["a"] == pytest.approx(math.log(2.5), abs=1e-6) and r["b"] == pytest.approx(0, abs=1e-6)
+def brute_tilt(size, target, cap=3):
+    """Root of the words taken in the tilt, by bisection."""
+    u = [1 + math.log1p(x * len(size) / sum(size)) for x in size]
+    low, high = -60.0, math.log(cap)
+    for _ in range(200):
+        t = (low + high) / 2
+        if sum(x * min(cap, math.exp(t * v)) for x, v in zip(size, u)) < target:
+            low = t
+        else:
+            high = t
+    return high
+
+
+def test_newton_meets_token_constraints(spark):
+    rng = random.Random(2)
+    shares = {"a": 2.5, "b": 0.3, "c": 1.0, "d": 3.0, "e": 1e-6, "f": 2.999, "g": 1.2}
+    size = {k: [0, 0, *(int(rng.lognormvariate(4, 1.5)) + 1 for _ in range(300)), 10**6] for k in shares}
+    size["g"] = [7] * 50
+    sizes = spark.createDataFrame([("s" + k, k, x) for k, v in size.items() for x in v], "_key string, source string, size long")
+    sources = spark.createDataFrame([("s" + k, len(v), sum(v), shares[k] * sum(v)) for k, v in size.items()], "_key string, n long, source_size long, target double")
+    for r in mixing.balance(sizes, sources).collect():
+        k = r["_key"][1:]
+        assert r["error"] < 1e-9
+        # Every tilt above log(3) / least exposure takes all that the cap allows.
+        assert k == "d" or r["tilt"] == pytest.approx(brute_tilt(size[k], shares[k] * sum(size[k])), abs=1e-6), k
+        taken = sum(x * min(3, math.exp(r["tilt"] * (1 + math.log1p(x * len(size[k]) / sum(size[k]))))) for x in size[k])
+        assert taken == pytest.approx(shares[k] * sum(size[k]), rel=1e-8)
+
+
+def test_rates_tilt_by_size(spark):
+    rng = random.Random(8)
+    table = [(i, " ".join(["w"] * int(rng.lognormvariate(3.5, 0.8))), "abc"[i % 3]) for i in range(3000)]
+    got = mixing.mix(spark.createDataFrame(table, "doc_id long, text string, source string")).collect()
+    for s in "abc":
+        part = sorted((r for r in got if r["source"] == s and r["size"]), key=lambda r: r["size"])
+        rates = [r["rate"] for r in part]
+        assert rates[0] != rates[-1] and rates == sorted(rates, reverse=part[0]["target"] < part[0]["source_size"])
+        assert sum(r["taken"] for r in part) == pytest.approx(part[0]["target"], rel=0.01)
+        assert all(abs(r["copies"] - r["rate"]) < 1 for r in part)
 
 
 # -- quality
