@@ -1,16 +1,20 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become classes: insult, threat, target, negation, reported speech, clause border, other. Three transducers
-(negation, reported speech, target) are composed into one machine that rewrites the insults and threats of a clause
-into readings: plain, targeted, negated, reported. What is scored is the readings of whole clauses, each with a weight.
+Words become classes: insult, threat, harm, intent, target, negation, reported speech, parts of insulting phrases, clause
+border, other. A transducer that reads from right to left marks what a target follows (its object). Five that read from left
+to right are composed into one machine: insults of several words ("piece of ..."), harm that becomes a threat by intent and
+object ("will ... you", "werde dich ..."), negation, reported speech, a target before. It rewrites a clause into
+readings: plain, targeted, negated, reported. What is scored is the readings of whole clauses, each with a weight.
 
 The insult lexicon is learned from labelled rows: words and word beginnings that stand in many different contexts of
 toxic documents and hardly ever in others. Contexts, not occurrences, are counted, so that copies of a document are
-no evidence. The weights of the readings start at hand-set values and are fitted by a penalised logistic regression.
+no evidence. The weights of the readings start at hand-set values and are fitted by a penalised logistic regression, in which
+sampled rows stand for all labelled rows of their kind. A reading found n times adds its weight log2(1 + n) times: a
+text is not toxic by its length alone.
 
 Rows: null and empty texts get the score of a text without insults. Labels that repeat count once, the worse one.
-Without labels the hand-set weights and the fixed lexicon are used. Very long texts are read whole; a reading counts at
-most MOST times. Repeated rows and null ids are judged row by row, an empty table gives an empty result, and other columns may have any name.
+Without labels the hand-set weights and the fixed lexicon are used. Very long texts are read whole, every
+reading counts. Repeated rows and null ids are judged row by row, an empty table gives an empty result, and other columns may have any name.
 Reruns agree.
 """
 
@@ -35,11 +39,9 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 2500, 20_000
 #: Lengths of word beginnings that may enter the lexicon, and what an entry needs.
 STEMS = range(3, 8)
 MIN_CONTEXTS, MIN_CONTEXT_SHARE, MIN_WEIGHT = 5, 0.004, 4.0
-#: Words after a negation within which an insult counts as negated.
-REACH = 2
+#: Words after a negation within which an insult counts as negated, and after an insult or threat within which a target is its object.
+REACH, OBJECT_REACH = 2, 3
 THRESHOLD = 0.5
-#: A reading counts at most so often in the score: a text is not toxic by its length alone.
-MOST = 4.0
 CACHE_WORDS = 300_000
 
 # Fixed lexicon by class.
@@ -48,6 +50,13 @@ THREAT = "kill murder strangle stab lynch behead umbringen töten ermorden tuer
 TARGET = "you your yours yourself u he she they them him her his their du dich dir ihr euch sie tu te toi vous ils elles tú usted ustedes ellos vosotros".split()
 NEGATION = "not never no isn aren wasn don doesn didn won nicht kein keine niemals pas jamais nunca jamás ningún".split()
 REPORTED = "said says saying wrote writes quoted quotes quote reported reportedly alleged allegedly claimed sagte schrieb zitierte berichtete déclaré affirmé écrit dijo escribió citó afirmó".split()
+INTENT = "will shall gonna going ll werde werden wirst vais va vamos voy".split()
+HARM = "hurt hit beat destroy break burn shoot crush smash verletzen schlagen zerstören verbrennen erschießen frapper détruire brûler casser golpear destruir quemar romper".split()
+# Insults of several words: a piece (of) dirt; shut up, drop dead.
+PIECE = "piece waste pile sack stück haufen tas sac pedazo montón".split()
+OF = "of de".split()
+DIRT = "garbage trash filth dirt rubbish space dreck mist merde ordure basura mierda".split()
+ORDER, WAY = "shut drop".split(), "up dead".split()
 BORDER = "|"
 #: Hand-set weight of each reading, and of a text as such.
 READINGS = {"plain": 1.5, "targeted": 2.5, "negated": 0.4, "reported": 0.5, "threat": 1.5, "targeted threat": 3.0}
@@ -80,31 +89,68 @@ def compose(a: Transducer, b: Transducer, symbols: str) -> Transducer:
     return Transducer(start, arcs)
 
 
-#: Inputs: I insult, T threat, Y target, N negation, R reported speech, O other, | border.
-INPUTS = "ITYNRO|"
+#: Inputs: I insult, T threat, H harm, M intent, P piece, F of, D dirt, E order, X way, Y target, N negation, R reported speech, O other, | border.
+WORDS = "ITHMPFDEXYNRO|"
+#: What a target follows: J insult, U threat, h harm, d dirt, x way.
+WITH_OBJECT = dict(zip("ITHDX", "JUhdx"))
+INPUTS = WORDS + "".join(WITH_OBJECT.values())
+
+
+def _phrases() -> Transducer:
+    """Insults of several words become one at their last word."""
+    arcs = {}
+    for state in ("", "P", "PF", "E"):
+        arcs |= {(state, x): ("", x) for x in INPUTS} | {(state, "P"): ("P", "P"), (state, "E"): ("E", "E")}
+    arcs["P", "F"] = ("PF", "F")
+    for state, last in (("P", "D"), ("PF", "D"), ("E", "X")):
+        arcs |= {(state, last): ("", "I"), (state, WITH_OBJECT[last]): ("", "J")}
+    return Transducer("", arcs)
+
+
+@lru_cache(maxsize=1)
+def objects() -> Transducer:
+    """From right to left: what has a target at most OBJECT_REACH words after it."""
+    arcs = {(k, "Y"): (OBJECT_REACH, "Y") for k in range(OBJECT_REACH + 1)}
+    for k in range(1, OBJECT_REACH + 1):
+        arcs |= {(k, x): (k - 1, WITH_OBJECT.get(x, x)) for x in WORDS if x not in "Y|"} | {(k, BORDER): (0, BORDER)}
+    return Transducer(0, arcs)
 
 
 @lru_cache(maxsize=1)
 def grammar() -> Transducer:
+    intent = {("", "M"): ("will", "M"), ("will", "Y"): ("whom", "Y"), ("will", "h"): ("will", "V"), ("whom", "h"): ("whom", "V"), ("whom", "H"): ("whom", "V"), ("will", BORDER): ("", BORDER), ("whom", BORDER): ("", BORDER)}
+    abusive = "IJTUV"
     negation = {(0, "N"): (REACH, "N")}
     for k in range(1, REACH + 1):
-        negation |= {(k, "O"): (k - 1, "O"), (k, "Y"): (k - 1, "Y"), (k, "R"): (0, "R"), (k, "I"): (0, "i"), (k, "T"): (0, "i"), (k, BORDER): (0, BORDER), (k, "N"): (REACH, "N")}
-    reported = {("open", "R"): ("said", "R"), ("said", "I"): ("said", "r"), ("said", "T"): ("said", "r"), ("said", BORDER): ("open", BORDER)}
+        negation |= {(k, x): (k - 1, x) for x in "OYMHhDdEXx"} | {(k, x): (0, "i") for x in abusive}
+        negation |= {(k, "R"): (0, "R"), (k, BORDER): (0, BORDER), (k, "N"): (REACH, "N")}
+    reported = {("open", "R"): ("said", "R"), ("said", BORDER): ("open", BORDER)} | {("said", x): ("said", "r") for x in abusive}
     target = {("none", "Y"): ("one", "Y"), ("one", "I"): ("one", "J"), ("one", "T"): ("one", "U"), ("one", BORDER): ("none", BORDER)}
-    return compose(compose(Transducer(0, negation), Transducer("open", reported), INPUTS), Transducer("none", target), INPUTS)
+    machine, outputs = _phrases(), INPUTS
+    for start, arcs in (("", intent), (0, negation), ("open", reported), ("none", target)):
+        machine = compose(machine, Transducer(start, arcs), outputs)
+    return machine
+
+
+_READ = {"I": "plain", "J": "targeted", "i": "negated", "r": "reported", "T": "threat", "V": "threat", "U": "targeted threat"}
+#: A clause without all classes of one of these has no reading and is not walked.
+_NEEDED = ("I", "T", "HM", "PD", "EX")
 
 
-_READ = {"I": "plain", "J": "targeted", "i": "negated", "r": "reported", "T": "threat", "U": "targeted threat"}
+def walk(machine: Transducer, symbols) -> list[str]:
+    state, out = machine.start, []
+    for x in symbols:
+        state, y = machine.step(state, x)
+        out.append(y)
+    return out
 
 
 def readings(classes: str) -> np.ndarray:
-    """How often each reading occurs in a text given as classes; clauses without insult or threat are not walked."""
-    out, machine = dict.fromkeys(READINGS, 0), grammar()
+    """How often each reading occurs in a text given as classes."""
+    out = dict.fromkeys(READINGS, 0)
     for clause in classes.split(BORDER):
-        if "I" in clause or "T" in clause:
-            state = machine.start
-            for x in clause:
-                state, y = machine.step(state, x)
+        if any(all(x in clause for x in needed) for needed in _NEEDED):
+            for y in walk(grammar(), reversed(walk(objects(), reversed(clause)))):
                 if y in _READ:
                     out[_READ[y]] += 1
     return np.array(list(out.values()), dtype=float)
@@ -115,7 +161,7 @@ class Lexicon(dict):
 
     def __init__(self, stems: frozenset, words: frozenset):
         self.stems, self.insults = stems, words | frozenset(INSULT)
-        self.fixed = {w: c for c, ws in (("R", REPORTED), ("N", NEGATION), ("Y", TARGET), ("T", THREAT)) for w in ws}
+        self.fixed = {w: c for c, ws in (("F", OF), ("P", PIECE), ("D", DIRT), ("E", ORDER), ("X", WAY), ("M", INTENT), ("H", HARM), ("R", REPORTED), ("N", NEGATION), ("Y", TARGET), ("T", THREAT)) for w in ws}
 
     def __missing__(self, w: str) -> str:
         if w[0] in ".!?;:\n":
@@ -139,7 +185,7 @@ def _lexicon(stems: frozenset, words: frozenset) -> Lexicon:
 
 
 def _features(counts: np.ndarray) -> np.ndarray:
-    return np.minimum(counts, MOST)
+    return np.log2(1 + counts)
 
 
 def _forms(rows: DataFrame) -> DataFrame:
@@ -180,21 +226,22 @@ def _clean_counts(rows: DataFrame, forms: frozenset) -> DataFrame:
     return rows.mapInPandas(run, "form string, n long").groupBy("form").agg(F.sum("n").alias("clean"))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """_id, _text, _y of the bounded sample of labelled training rows; equal texts once."""
+def labelled(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, label_col: str) -> tuple[DataFrame, list[float]]:
+    """_id, _text, _y of the bounded sample of labelled training rows, equal texts once; share of the rows of label 0 and 1 in it."""
     y = labels.filter(training & F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("_y"))
     sizes = {r[0]: r[1] for r in y.groupBy("_y").count().collect()}  # two rows
-    share = F.when(F.col("_y") == 1, min(1.0, SAMPLE_TOXIC / max(sizes.get(1, 0), 1))).otherwise(min(1.0, SAMPLE_CLEAN / max(sizes.get(0, 0), 1)))
+    shares = [min(1.0, most / max(sizes.get(k, 0), 1)) for k, most in enumerate((SAMPLE_CLEAN, SAMPLE_TOXIC))]
+    share = F.when(F.col("_y") == 1, shares[1]).otherwise(shares[0])
     y = keep(y.filter(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < share * 1_000_000), "labels")
     rows = only_ids(docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col), F.col(text_col).cast("string").alias("_text")), y.select(id_col), id_col, True)
     rows = rows.join(y, id_col).groupBy(F.sha2("_text", 256).alias("_h")).agg(F.min_by(F.struct(F.xxhash64(id_col).alias("_id"), "_text", "_y"), F.col(id_col)).alias("r"))
-    return keep(rows.select("r.*"), "labelled")
+    return keep(rows.select("r.*"), "labelled"), shares
 
 
 def learn(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> dict:
     """Lexicon and weights. What reaches the driver is bounded by the sample: forms of at most SAMPLE_TOXIC documents,
     and one row of counts per sampled document."""
-    rows = labelled(docs, labels, training, id_col, text_col, label_col)
+    rows, shares = labelled(docs, labels, training, id_col, text_col, label_col)
     toxic, clean = rows.filter("_y = 1"), rows.filter("_y = 0")
     n_toxic, n_clean = toxic.count(), clean.count()
     stems, words = set(), set()
@@ -213,18 +260,21 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "d
     model = {"stems": frozenset(stems), "words": frozenset(words), "bias": BIAS, "weights": np.array(list(READINGS.values()))}
     if n_toxic and n_clean:
         got = counts(rows, model, "_id", "_text", "_y").select("_counts", "_y").collect()  # bounded by the sample
-        model["bias"], model["weights"] = _fit(np.array([r["_counts"] for r in got]), np.array([float(r["_y"]) for r in got]))
+        model["bias"], model["weights"] = _fit(np.array([r["_counts"] for r in got]), np.array([float(r["_y"]) for r in got]), shares)
     return model
 
 
-def _fit(counts: np.ndarray, y: np.ndarray, penalty: float = 2.0, steps: int = 25) -> tuple[float, np.ndarray]:
-    """Logistic regression by Newton's method, drawn to the hand-set weights; both kinds weigh as in the sample."""
+def _fit(counts: np.ndarray, y: np.ndarray, shares: list[float], penalty: float = 2.0, steps: int = 25) -> tuple[float, np.ndarray]:
+    """Logistic regression by Newton's method, drawn to the hand-set weights. A row weighs 1 / the share of its kind that was
+    sampled (1 on average), so that both kinds weigh as among all labelled rows."""
+    weight = 1 / np.where(y == 1, shares[1], shares[0])
+    weight = weight / weight.mean()
     x = np.hstack([np.ones((len(y), 1)), _features(counts)])
     prior = np.array([BIAS, *READINGS.values()])
     t, pull = prior.copy(), np.diag([1e-3, *[penalty] * len(READINGS)])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ t, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + pull + 1e-9 * np.eye(len(t)), x.T @ (p - y) + pull @ (t - prior))
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + pull + 1e-9 * np.eye(len(t)), x.T @ (weight * (p - y)) + pull @ (t - prior))
         t = t - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
@@ -250,7 +300,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     rows = counts(docs, model, id_col, text_col)
     line = F.lit(float(model["bias"]))
     for k, w in enumerate(model["weights"]):
-        line = line + F.lit(float(w)) * F.least(F.get("_counts", F.lit(k)), F.lit(MOST))
+        line = line + F.lit(float(w)) * F.log2(1 + F.get("_counts", F.lit(k)))
     s = 1 / (1 + F.exp(-line))
     return rows.select(id_col, s.alias("score"), (s >= THRESHOLD).cast("int").alias("predicted"), *[F.get("_counts", F.lit(k)).cast("long").alias("n_" + r.replace(" ", "_")) for k, r in enumerate(READINGS)])
 
@@ -270,7 +320,7 @@ def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def stays(found: np.ndarray) -> bool:
         line = bias
         for w, n in zip(weights, found.tolist()):
-            line += w * min(n, MOST)
+            line += w * math.log2(1 + n)
         return 1 / (1 + math.exp(-line)) < THRESHOLD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

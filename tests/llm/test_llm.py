@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -10,6 +11,7 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -498,10 +500,70 @@ def test_grammar_reads_clauses():
     assert read("you are a grobian") == {"targeted": 1}
     assert read("not an oaf") == {"negated": 1}
     assert read("she said: oaf") == {"plain": 1} and read("she said oaf") == {"reported": 1}
-    assert read("I will kill you") == {"threat": 1} and read("you I will kill") == {"targeted threat": 1}
+    assert read("I will kill you") == {"targeted threat": 1} and read("you I will kill") == {"targeted threat": 1}
+    assert read("I will kill time") == {"threat": 1} and read("I will not kill you") == {"negated": 1}
+    assert read("I will hurt you") == read("ich werde dich schlagen") == {"threat": 1}
+    assert read("you will break it") == read("the storm hit you") == read("a piece of cake") == read("get up, sit down") == {}
+    assert read("what a piece of garbage") == {"plain": 1} and read("you pile of trash") == {"targeted": 1}
+    assert read("not a piece of garbage") == {"negated": 1} and read("shut up") == {"plain": 1} and read("shut up you") == {"targeted": 1}
+    assert read("what an oaf you are") == {"targeted": 1} and read("what an oaf. You know") == {"plain": 1}
+    assert read("oaf " * 50) == {"plain": 50}
     assert read("a quiet text") == {} and read("") == {}
 
 
+def brute_readings(clause):
+    """The readings of a clause by rules over places."""
+    out = Counter()
+    negated_until, said = 0, False
+    for p, x in enumerate(clause):
+        object_after = "Y" in clause[p + 1 : p + 1 + toxicity.OBJECT_REACH]
+        phrase = x == "D" and (clause[:p].endswith("P") or clause[:p].endswith("PF")) or x == "X" and clause[:p].endswith("E")
+        harm = x in "Hh" and "M" in clause[:p] and (object_after or "Y" in clause[clause.index("M") : p])
+        if x == "N":
+            negated_until = toxicity.REACH
+        elif x == "R":
+            said, negated_until = True, 0
+        elif x in "IT" or phrase or harm:
+            if negated_until:
+                out["negated"] += 1
+            elif said:
+                out["reported"] += 1
+            elif harm:
+                out["threat"] += 1
+            elif x == "T":
+                out["targeted threat" if object_after or "Y" in clause[:p] else "threat"] += 1
+            else:
+                out["targeted" if object_after or "Y" in clause[:p] else "plain"] += 1
+            negated_until = 0
+        elif x not in "PF":
+            negated_until = max(negated_until - 1, 0)
+    return dict(out)
+
+
+def test_composed_machine_equals_rules():
+    def same(clause):
+        got = {k: int(n) for k, n in zip(toxicity.READINGS, toxicity.readings(clause)) if n}
+        assert got == brute_readings(clause), clause
+
+    symbols = toxicity.WORDS.replace("|", "")
+    for n in range(5):
+        for clause in itertools.product(symbols, repeat=n):
+            same("".join(clause))
+    rng = random.Random(6)
+    for _ in range(20_000):
+        same("".join(rng.choices(symbols, k=rng.randint(5, 14))))
+
+
+def test_toxicity_fit_does_not_depend_on_the_sample():
+    rng = np.random.default_rng(3)
+    y = (rng.random(40_000) < 0.2).astype(float)
+    counts = rng.poisson(np.where(y == 1, 1.2, 0.2)[:, None] * np.ones(6))
+    bias, weights = toxicity._fit(counts, y, [1.0, 1.0])
+    chosen = (y == 1) | (rng.random(len(y)) < 0.25)
+    bias2, weights2 = toxicity._fit(counts[chosen], y[chosen], [0.25, 1.0])
+    assert bias2 == pytest.approx(bias, abs=0.15) and np.abs(weights2 - weights).max() < 0.15
+
+
 def test_toxicity_learns_stems(spark, docs, empty):
     rng = random.Random(4)
     table, labels = [], []
