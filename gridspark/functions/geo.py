@@ -127,29 +127,60 @@ def _edges(ring: Ring) -> list[tuple[float, float, float, float]]:
     return [(*map(float, a), *map(float, b)) for a, b in zip(closed, closed[1:])]
 
 
-def _constant(rows: Sequence[Sequence[float]], names: Sequence[str]) -> Column:
-    """Rows of numbers as one constant array of structs: the plan does not grow with their number."""
-    fields = ",".join(f"{n}:double" for n in names)
-    return F.from_json(F.lit(json.dumps([dict(zip(names, r)) for r in rows])), f"array<struct<{fields}>>")
-
-
 def _box(ring: Ring) -> tuple[float, float, float, float]:
     xs, ys = [float(p[0]) for p in ring], [float(p[1]) for p in ring]
     return min(xs), max(xs), min(ys), max(ys)
 
 
+def _bands(edges: Sequence[tuple[float, float, float, float]], south: float, north: float) -> list[list[tuple[float, float, float, float]]]:
+    """The edges that reach into each of a number of level bands between south and north, as many as there are edges at most.
+
+    Long edges stand in many bands: bands become fewer until all lists together have eight times the edges at most.
+    """
+    count = max(1, len(edges))
+    while count > 1 and sum(_band(max(y1, y2), south, north, count) - _band(min(y1, y2), south, north, count) + 1 for _, y1, _, y2 in edges) > 8 * len(edges):
+        count //= 2
+    bands: list[list[tuple[float, float, float, float]]] = [[] for _ in range(count)]
+    for edge in edges:
+        for at in range(_band(min(edge[1], edge[3]), south, north, count), _band(max(edge[1], edge[3]), south, north, count) + 1):
+            bands[at].append(edge)
+    return bands
+
+
+def _band(y: float, south: float, north: float, count: int) -> int:
+    return min(count - 1, max(0, math.floor((y - south) / ((north - south) or 1.0) * count)))
+
+
+def _band_of(y: Column, south: float, north: float, count: int) -> Column:
+    """:func:`_band` of a column: the same steps on the same doubles, and never falling in y, so no edge is missed."""
+    at = F.floor((y.cast("double") - F.lit(south)) / F.lit((north - south) or 1.0) * F.lit(float(count)))
+    return F.when(y.isNotNull(), F.least(F.lit(count - 1), F.greatest(F.lit(0), at))).cast("int")
+
+
+def _banded(bands: Sequence[Sequence[Sequence[float]]], names: Sequence[str]) -> Column:
+    """Lists of rows of numbers as one constant array of arrays of structs."""
+    fields = ",".join(f"{n}:double" for n in names)
+    return F.from_json(F.lit(json.dumps([[dict(zip(names, r)) for r in band] for band in bands])), f"array<array<struct<{fields}>>>")
+
+
 def point_in_ring(lon: Column, lat: Column, ring: Ring) -> Column:
-    """Even-odd test of a point, after a bounding-box test that a scan can use."""
+    """Even-odd test of a point, after a bounding-box test that a scan can use; only edges in the point's level band are looked at."""
     west, east, south, north = _box(ring)
     # Level edges are never crossed.
-    slopes = [(x1, y1, y2, (x2 - x1) / (y2 - y1)) for x1, y1, x2, y2 in _edges(ring) if y1 != y2]
+    bands = _bands([e for e in _edges(ring) if e[1] != e[3]], south, north)
+    slopes = _banded([[(x1, y1, y2, (x2 - x1) / (y2 - y1)) for x1, y1, x2, y2 in band] for band in bands], ("x1", "y1", "y2", "slope"))
+
+    def odd(at: Column) -> Column:
+        x, y = at["x"], at["y"]
+
+        def crossed(e: Column) -> Column:
+            return F.when(((y < e["y1"]) != (y < e["y2"])) & (x < (y - e["y1"]) * e["slope"] + e["x1"]), 1).otherwise(0)
 
-    def crossed(e: Column) -> Column:
-        at = (lat - e["y1"]) * e["slope"] + e["x1"]
-        return F.when(((lat < e["y1"]) != (lat < e["y2"])) & (lon < at), 1).otherwise(0)
+        near = F.get(slopes, _band_of(y, south, north, len(bands)))
+        return F.coalesce(F.aggregate(near, F.lit(0), lambda acc, e: acc + crossed(e)), F.lit(0)) % 2 == 1
 
-    crossings = F.aggregate(_constant(slopes, ("x1", "y1", "y2", "slope")), F.lit(0), lambda acc, e: acc + crossed(e))
-    return lon.between(west, east) & lat.between(south, north) & (crossings % 2 == 1)
+    # Place columns may be long expressions, which a filter would work out again for every edge.
+    return lon.between(west, east) & lat.between(south, north) & _once(F.struct(lon.alias("x"), lat.alias("y")), odd)
 
 
 def geometry_paths(geometry: Column) -> Column:
@@ -245,14 +276,18 @@ def intersects_ring(geometry: Column, ring: Ring) -> Column:
     boxes are compared first: of the geometry, then of each of its segments.
     """
     west, east, south, north = _box(ring)
-    edges = _constant(_edges(ring), ("x1", "y1", "x2", "y2"))
+    bands = _bands(_edges(ring), south, north)
+    edges = _banded(bands, ("x1", "y1", "x2", "y2"))
     px, py = (F.lit(float(v)) for v in ring[0])
 
     def across(seg: Column) -> Column:
         a, b = seg["a"], seg["b"]
         near = (F.greatest(a[0], b[0]) >= west) & (F.least(a[0], b[0]) <= east)
         near = near & (F.greatest(a[1], b[1]) >= south) & (F.least(a[1], b[1]) <= north)
-        return near & F.exists(edges, lambda e: _crosses(seg, e))
+        # Edges of the bands that the segment reaches into: others lie above or below it.
+        low, high = (_band_of(f(a[1], b[1]), south, north, len(bands)) for f in (F.least, F.greatest))
+        reached = F.slice(edges, low + 1, F.greatest(high - low + 1, F.lit(0)))
+        return near & F.exists(reached, lambda band: F.exists(band, lambda e: _crosses(seg, e)))
 
     def meets(g: Column) -> Column:
         def tests(paths: Column) -> Column:
