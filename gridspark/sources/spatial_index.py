@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridspark.functions.cells import BOX, INDEX_COLUMNS, cell_columns
 from gridspark.functions.geo import geometry_box, resolve_geometry
+from gridspark.sources.staging import counted, spread, staged
 
 #: Rows of a file and bytes of a row group (compressed rows of a group share one entry of least and greatest values).
 ROWS_PER_FILE = 2_000_000
@@ -25,13 +26,19 @@ def with_cells(df: DataFrame) -> DataFrame:
 
 
 def write_indexed(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, row_group_bytes: int = ROW_GROUP_BYTES, mode: str = "errorifexists") -> None:
-    """Write a table sorted by level and cell. Rows of one crowded cell are dealt over files by a hash of the row."""
+    """Write a table sorted by level and cell. Rows of one crowded cell are dealt over files by a hash of the row.
+
+    Geometry text is read by all tasks that run at once, and once only: the ranges of several files are found from boxes written before.
+    """
     taken = [c for c in INDEX_COLUMNS if c in df.columns]
     if taken:
         raise ValueError(f"columns are named like index columns: {taken}")
-    rows = with_cells(df)
-    files = max(1, -(-df.count() // rows_per_file))
-    spread = F.xxhash64(*[F.col(n) for n in BOX], F.monotonically_increasing_id())
-    rows = rows.withColumn("_spread", spread).repartitionByRange(files, "_level", "_z", "_spread").sortWithinPartitions("_level", "_z").drop("_spread")
+    count, tasks = counted(df)
+    files = max(1, -(-count // rows_per_file))
+    rows = with_cells(spread(df, count, tasks))
+    if files > 1:
+        rows = staged(rows, "cells")
+    dealt = F.xxhash64(*[F.col(n) for n in BOX], F.monotonically_increasing_id())
+    rows = rows.withColumn("_spread", dealt).repartitionByRange(files, "_level", "_z", "_spread").sortWithinPartitions("_level", "_z").drop("_spread")
     # A page is read or left out as a whole as well: small ones, by their own least and greatest values.
     rows.write.mode(mode).option("parquet.block.size", row_group_bytes).option("parquet.page.row.count.limit", 5000).parquet(path)

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows that are worth a task of their own.
+ROWS_PER_TASK = 10_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,3 +32,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def counted(df: DataFrame) -> tuple[int, int]:
+    """Rows of a frame, and in how many tasks they come."""
+    return df.groupBy(F.spark_partition_id()).count().agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
+
+
+def spread(df: DataFrame, rows: int | None = None, tasks: int | None = None) -> DataFrame:
+    """The rows over as many tasks as run at once, where they come in fewer: a small file may hold long work.
+
+    ``rows`` and ``tasks`` are those of :func:`counted`, where they are known.
+    """
+    if rows is None or tasks is None:
+        rows, tasks = counted(df)
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+    return df.repartition(wanted) if tasks < wanted else df
