@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -22,6 +23,9 @@ HORIZONS = {"30min": 1, "1hr": 2, "6hr": 12, "24hr": 48}
 MIN_TRAIN, MIN_TEST = 50, 10
 # Rows that a leaf needs at least: nodes of fewer than ten rows are not split.
 LEAF_ROWS = 5
+#: Training rows of one task of a fit, at least; rows up to which horizons are fitted side by side, and how many at once.
+FIT_ROWS = 20_000
+SIDE_BY_SIDE_ROWS, MAX_AT_ONCE = 1_000_000, 4
 
 
 def _assembled(features: Sequence[str], output: str = "features") -> VectorAssembler:
@@ -171,29 +175,36 @@ def evaluate_horizons(df: DataFrame, train_end: str, test_start: str, ts: str =
     """``(horizon, model, mae, rmse, mape, r2, train_rows, test_rows)`` for persistence and a fitted model.
 
     Lags and rolling values are those known at forecast time. A horizon with fewer than 50 training or 10
-    test rows gets no model: its metrics are null.
+    test rows gets no model: its metrics are null. Horizons of few rows are worked on side by side.
     """
     base = load_features(df, (), ts, value)
     lags = [c for c in base.columns if c.startswith("load_lag_") or "rolling" in c]
     # Fitting reads its rows many times over, so they are kept while a horizon is worked on.
     base = base.dropna(subset=[value, *lags]).persist()
-    found = []
+
+    def evaluate(item: tuple[str, int]) -> list[tuple]:
+        label, steps = item
+        rows = horizon_frame(base, steps, (), ts, value).dropna(subset=["target", "persist"])
+        rows = calendar_features(rows, "target_ts").persist()
+        try:
+            train, test = time_split(rows, train_end, test_start, ts)
+            counts = train.count(), test.count()
+            # One row of metrics each.
+            persistence = (label, "Persistence", *forecast_metrics(test, "target", "persist").first(), *counts)
+            metrics = (None,) * 4
+            if counts[0] >= MIN_TRAIN and counts[1] >= MIN_TEST:
+                # A fit is thousands of short jobs: a task for every few rows would cost more than it works.
+                fitted = make([*CALENDAR, *lags], "target", **model_args).fit(train.coalesce(-(-counts[0] // FIT_ROWS)))
+                metrics = forecast_metrics(predict(fitted, test), "target", "forecast").first()
+            return [persistence, (label, model_name, *metrics, *counts)]
+        finally:
+            rows.unpersist()
+
     try:
-        for label, steps in horizons.items():
-            rows = horizon_frame(base, steps, (), ts, value).dropna(subset=["target", "persist"])
-            rows = calendar_features(rows, "target_ts").persist()
-            try:
-                train, test = time_split(rows, train_end, test_start, ts)
-                counts = train.count(), test.count()
-                # One row of metrics each.
-                found.append((label, "Persistence", *forecast_metrics(test, "target", "persist").first(), *counts))
-                metrics = (None,) * 4
-                if counts[0] >= MIN_TRAIN and counts[1] >= MIN_TEST:
-                    scored = predict(make([*CALENDAR, *lags], "target", **model_args).fit(train), test)
-                    metrics = forecast_metrics(scored, "target", "forecast").first()
-                found.append((label, model_name, *metrics, *counts))
-            finally:
-                rows.unpersist()
+        # While one horizon's job is planned another's runs; many rows keep all tasks busy by one horizon, and need the room.
+        at_once = len(horizons) if base.count() <= SIDE_BY_SIDE_ROWS else 1
+        with ThreadPoolExecutor(max(1, min(MAX_AT_ONCE, at_once))) as pool:
+            found = [row for part in pool.map(evaluate, horizons.items()) for row in part]
     finally:
         base.unpersist()
     schema = "horizon string, model string, mae double, rmse double, mape double, r2 double, train_rows long, test_rows long"
