@@ -26,7 +26,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,7 +41,8 @@ MIN_CONTEXTS, MIN_CONTEXT_SHARE, MIN_WEIGHT = 5, 0.004, 4.0
 #: Words after a negation within which an insult counts as negated, and after an insult or threat within which a target is its object.
 REACH, OBJECT_REACH = 2, 3
 THRESHOLD = 0.5
-CACHE_WORDS = 300_000
+#: Words whose class a worker remembers, and texts that it holds at a time.
+CACHE_WORDS, TEXTS = 60_000, 256
 
 # Fixed lexicon by class.
 INSULT = "idiot idiots moron morons imbecile cretin scum vermin loser losers dumbass bastard bastards idiota imbécil estúpido cabrón connard salaud crétin imbécile dummkopf arschloch vollidiot".split()
@@ -179,11 +179,16 @@ class Lexicon(dict):
         return "".join(map(self.__getitem__, _TOKENS.findall(text.lower())))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _lexicon(stems: frozenset, words: frozenset) -> Lexicon:
     return Lexicon(stems, words)
 
 
+def _parts(b: pa.RecordBatch, size: int = TEXTS) -> Iterator[pa.RecordBatch]:
+    for s in range(0, b.num_rows, size):
+        yield b.slice(s, size)
+
+
 def _features(counts: np.ndarray) -> np.ndarray:
     return np.log2(1 + counts)
 
@@ -191,19 +196,20 @@ def _features(counts: np.ndarray) -> np.ndarray:
 def _forms(rows: DataFrame) -> DataFrame:
     """Distinct (form, document, context) of the rows' words; a form is '=word' or a word beginning."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for s in range(0, len(b), 64):
+            for part in _parts(b, 64):
                 seen = set()
-                for i, text in zip(b["_id"].iloc[s : s + 64], b["_text"].iloc[s : s + 64]):
+                for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     w = ["", *re.findall(r"[^\W\d_]+", text.lower()), ""]
                     for p, x, n in zip(w, w[1:], w[2:]):
                         context = hash_text(p + " " + n)
                         seen.add(("=" + x, i, context))
                         seen.update((x[:k], i, context) for k in STEMS if k <= len(x))
-                yield pd.DataFrame(list(seen), columns=["form", "doc", "context"])
+                form, doc, context = zip(*seen) if seen else ((), (), ())
+                yield pa.RecordBatch.from_arrays([pa.array(form, pa.string()), pa.array(doc, pa.int64()), pa.array(context, pa.int64())], names=["form", "doc", "context"])
 
-    return rows.mapInPandas(run, "form string, doc long, context long")
+    return rows.select("_id", "_text").mapInArrow(run, "form string, doc long, context long")
 
 
 def hash_text(s: str) -> int:
@@ -211,19 +217,18 @@ def hash_text(s: str) -> int:
 
 
 def _clean_counts(rows: DataFrame, forms: frozenset) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, int] = {}
-        for b in batches:
-            for text in b["_text"]:
-                found = set()
-                for x in set(re.findall(r"[^\W\d_]+", text.lower())):
-                    found.update(f for f in ("=" + x, *(x[:k] for k in STEMS if k <= len(x))) if f in forms)
-                for f in found:
-                    total[f] = total.get(f, 0) + 1
+        for text in (t for b in batches for part in _parts(b) for t in part.column(0).to_pylist()):
+            found = set()
+            for x in set(re.findall(r"[^\W\d_]+", text.lower())):
+                found.update(f for f in ("=" + x, *(x[:k] for k in STEMS if k <= len(x))) if f in forms)
+            for f in found:
+                total[f] = total.get(f, 0) + 1
         if total:
-            yield pd.DataFrame({"form": list(total), "n": list(total.values())})
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["form", "n"])
 
-    return rows.mapInPandas(run, "form string, n long").groupBy("form").agg(F.sum("n").alias("clean"))
+    return rows.select("_text").mapInArrow(run, "form string, n long").groupBy("form").agg(F.sum("n").alias("clean"))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, label_col: str) -> tuple[DataFrame, list[float]]:
@@ -286,13 +291,13 @@ def counts(docs: DataFrame, model: dict, id_col: str, text_col: str, *more: str)
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in (id_col, *more))
     stems, words = model["stems"], model["words"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = _lexicon(stems, words)
-        for b in batches:
-            texts = b.pop("_text")
-            yield b.assign(_counts=[readings(lexicon.classes(t or "")) for t in texts])
+        for part in (p for b in batches for p in _parts(b)):
+            found = pa.array([readings(lexicon.classes(t or "")) for t in part.columns[-1].to_pylist()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], found], names=[id_col, *more, "_counts"])
 
-    return docs.select(id_col, *more, F.col(text_col).cast("string").alias("_text")).mapInPandas(run, f"{kinds}, _counts array<double>")
+    return docs.select(id_col, *more, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{kinds}, _counts array<double>")
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -325,8 +330,8 @@ def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = _lexicon(stems, words)
-        for b in batches:
-            texts = b.column(place).cast(pa.string()).to_pylist()
-            yield b.filter(pa.array([stays(readings(lexicon.classes(t or ""))) for t in texts], pa.bool_()))
+        for part in (p for b in batches for p in _parts(b)):
+            texts = part.column(place).cast(pa.string()).to_pylist()
+            yield part.filter(pa.array([stays(readings(lexicon.classes(t or ""))) for t in texts], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
