@@ -19,16 +19,16 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read
+from .common import in_arrow, read
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words kept by a worker, and documents taken at a time.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 60_000
 BLOCK_DOCS = 128
 #: Words of more bytes are merged one by one.
 LONG_WORD = 256
@@ -213,23 +213,23 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     kind = docs.schema[id_col].dataType.simpleString()
     tail = "ids_sha256 string, decoded_sha256 string" if digest else "ids array<long>, decoded string"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(path)
         for b in batches:
-            for s in range(0, len(b), BLOCK_DOCS):
-                part = b.iloc[s : s + BLOCK_DOCS]
-                got = e.encode_block(part["_text"].tolist())
-                out = {id_col: part["_id"].array, "n_tokens": [len(i) // 4 for i, _ in got]}
+            for s in range(0, b.num_rows, BLOCK_DOCS):
+                part = b.slice(s, BLOCK_DOCS)
+                got = e.encode_block(part.column(1).to_pylist())
+                out = {id_col: part.column(0), "n_tokens": pa.array([len(i) // 4 for i, _ in got], pa.int64())}
                 if digest:
-                    out["ids_sha256"] = [hashlib.sha256(i).hexdigest() for i, _ in got]
-                    out["decoded_sha256"] = [hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for _, t in got]
+                    out["ids_sha256"] = pa.array([hashlib.sha256(i).hexdigest() for i, _ in got], pa.string())
+                    out["decoded_sha256"] = pa.array([hashlib.sha256(t.encode("utf-8", "replace")).hexdigest() for _, t in got], pa.string())
                 else:
-                    out["ids"] = [np.frombuffer(i, "<u4").astype(np.int64) for i, _ in got]
-                    out["decoded"] = [t for _, t in got]
-                yield pd.DataFrame(out)
+                    out["ids"] = pa.array([np.frombuffer(i, "<u4").astype(np.int64) for i, _ in got], pa.list_(pa.int64()))
+                    out["decoded"] = pa.array([t for _, t in got], pa.string())
+                yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
     rows = docs.selectExpr(f"`{id_col}` as _id", f"cast(`{text_col}` as string) as _text")
-    return rows.mapInPandas(run, f"`{id_col}` {kind}, n_tokens long, {tail}")
+    return in_arrow(rows, run, f"`{id_col}` {kind}, n_tokens long, {tail}")
 
 
 def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:

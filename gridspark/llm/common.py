@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: White space and word of the word-based operators.
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A table of at most so many rows may be broadcast; the row count is measured first.
 BROADCAST_ROWS = 200_000
+#: Bytes of a batch of rows on its way to a Python worker.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -52,6 +57,18 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return kept
 
 
+def in_arrow(rows: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """``rows.mapInArrow(run, schema)`` in batches of about BATCH_BYTES.
+
+    By default a task's texts (up to 64 MB) stand at once in the executor's buffers and in its worker, and neither gives all of that
+    back. The bound is a session setting, read when the result is written, so it stays; a lower one is left.
+    """
+    spark = rows.sparkSession
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH)) > BATCH_BYTES:
+        spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
+    return rows.mapInArrow(run, schema)
+
+
 def attach(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, salt_by: list[str], how: str = "inner", small: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``rows`` with ``table`` (one row per key, keys not null); ``weight`` of the table is how many rows have the key.
 

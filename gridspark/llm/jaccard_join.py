@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import attach, keep, only_ids, read
+from .common import attach, in_arrow, keep, only_ids, read
 from .hashing import blocks, mix, word_hashes
 
 WORDS = 5
@@ -80,7 +80,7 @@ def sets(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS) -> Dat
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in got], pa.int64()), _lists(got)], names=["_id", "n", "set"])
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(run, f"_id {kind}, n long, set array<long>")
+    return in_arrow(rows, run, f"_id {kind}, n long, set array<long>")
 
 
 def frequent(docs: DataFrame, id_col: str, text_col: str, words: int) -> np.ndarray:
@@ -122,7 +122,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, simila
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(x, pa.int64()) for x in (n, k1, k2)], _lists(list(bands)), _lists(list(prefix))], names=["_id", "n", "k1", "k2", "bands", "prefix"])
 
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(run, f"_id {kind}, n long, k1 long, k2 long, bands array<long>, prefix array<long>")
+    return in_arrow(rows, run, f"_id {kind}, n long, k1 long, k2 long, bands array<long>, prefix array<long>")
 
 
 def _similar(a: Column, b: Column, similarity: int) -> Column:

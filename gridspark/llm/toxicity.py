@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, keep, only_ids, read
+from .common import fold, in_arrow, keep, only_ids, read
 
 #: Labelled documents learned from, at most about so many of each kind, chosen by a hash of the id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2500, 20_000
@@ -209,7 +209,7 @@ def _forms(rows: DataFrame) -> DataFrame:
                 form, doc, context = zip(*seen) if seen else ((), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(form, pa.string()), pa.array(doc, pa.int64()), pa.array(context, pa.int64())], names=["form", "doc", "context"])
 
-    return rows.select("_id", "_text").mapInArrow(run, "form string, doc long, context long")
+    return in_arrow(rows.select("_id", "_text"), run, "form string, doc long, context long")
 
 
 def hash_text(s: str) -> int:
@@ -228,7 +228,7 @@ def _clean_counts(rows: DataFrame, forms: frozenset) -> DataFrame:
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["form", "n"])
 
-    return rows.select("_text").mapInArrow(run, "form string, n long").groupBy("form").agg(F.sum("n").alias("clean"))
+    return in_arrow(rows.select("_text"), run, "form string, n long").groupBy("form").agg(F.sum("n").alias("clean"))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, training: Column, id_col: str, text_col: str, label_col: str) -> tuple[DataFrame, list[float]]:
@@ -297,7 +297,7 @@ def counts(docs: DataFrame, model: dict, id_col: str, text_col: str, *more: str)
             found = pa.array([readings(lexicon.classes(t or "")) for t in part.columns[-1].to_pylist()], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], found], names=[id_col, *more, "_counts"])
 
-    return docs.select(id_col, *more, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{kinds}, _counts array<double>")
+    return in_arrow(docs.select(id_col, *more, F.col(text_col).cast("string").alias("_text")), run, f"{kinds}, _counts array<double>")
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -334,4 +334,4 @@ def reject(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             texts = part.column(place).cast(pa.string()).to_pylist()
             yield part.filter(pa.array([stays(readings(lexicon.classes(t or ""))) for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)
